@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def keep_first(df: DataFrame, keys: str | list[str], order: str | list[str]) -> DataFrame:
-    """The first row per key in the given order; rows with a null or empty key are dropped.
+def keep_first(df: DataFrame, keys: str | list[str], order: str | list[str], drop_empty: bool = True) -> DataFrame:
+    """The first row per key in the given order; rows with a null or empty key are dropped unless told otherwise.
 
     An aggregate, not a window: every task keeps one row per key before the shuffle, so a key that holds a third of
     all rows costs no more than any other, and nothing is sorted.
@@ -14,7 +14,9 @@ def keep_first(df: DataFrame, keys: str | list[str], order: str | list[str]) ->
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
     kinds = dict(df.dtypes)
-    present = df.filter(" and ".join(f"`{k}` is not null" + (f" and `{k}` <> ''" if kinds[k] == "string" else "") for k in keys))
+    present = df
+    for k in keys if drop_empty else []:
+        present = present.filter(F.col(f"`{k}`") != "" if kinds[k] == "string" else F.col(f"`{k}`").isNotNull())
     rest = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(f"`{c}`") for c in rest])
     first = present.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
