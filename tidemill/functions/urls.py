@@ -141,19 +141,14 @@ def next_page_url(links: Column, url: Column) -> Column:
     Only the first match of each counts, and it must have an address.
     """
 
-    def address(test) -> Column:
-        return let(F.get(F.filter(links, test), F.lit(0))["href"], lambda h: F.when(h != "", h))
-
     def has_next(field: str):
         return lambda a: F.contains(F.lower(a[field]), F.lit("next"))
 
-    found = F.coalesce(
-        address(lambda a: F.array_contains(F.split(a["rel"], r"\s+"), "next")),
-        address(has_next("text")),
-        address(has_next("class")),
-        address(has_next("aria")),
-    )
-    return let(found, lambda h: F.when(h.isNotNull(), resolve_url(url, h)))
+    def found(anchors: Column) -> Column:
+        tests = [lambda a: F.array_contains(F.split(a["rel"], r"\s+"), "next"), *map(has_next, ("text", "class", "aria"))]
+        return F.coalesce(*[F.nullif(F.get(F.filter(anchors, t), F.lit(0))["href"], F.lit("")) for t in tests])
+
+    return let(let(links, found), lambda h: F.when(h.isNotNull(), resolve_url(url, h)))
 
 
 def next_candidate(next_url: Column, url: Column, start_url: Column, page_num: Column) -> Column:
