@@ -25,7 +25,7 @@ def decode(x: str) -> str:
 def without_elements(x: str, tags=DROPPED_TAGS) -> str:
     x = f"regexp_replace({x}, '(?s)<!--.*?-->', chr(1), 'g')"
     for tag in tags:
-        x = rf"regexp_replace({x}, '(?is)<{tag}{_ATTRS}>.*?</{tag}\s*>', chr(1), 'g')" if tag != "header" else x
+        x = rf"regexp_replace({x}, '(?is)<{tag}{_ATTRS}>.*?</{tag}\s*>', chr(1), 'g')"
     return x
 
 
@@ -46,7 +46,10 @@ def main_text(html: str) -> str:
     return f"nullif(left(array_to_string({stripped(kept)}, chr(10)), 5000), '')"
 
 
-TOKENS = rf"regexp_extract_all({{}}, '[\s]*[{_WORD}]+|[\s]*[^{_WORD}\s]|[\s]+$')"
+def tokens(text: str) -> str:
+    return rf"regexp_extract_all({text}, '[\s]*[{_WORD}]+|[\s]*[^{_WORD}\s]|[\s]+$')"
+
+
 _LINKS = r"""
 links as (
   select page_id, url, unnest(range(len(m))) as pos, unnest(m) as tag
@@ -216,7 +219,7 @@ looked_up as (
     cast(case when best.s >= {threshold} then best.s else 0 end as integer) as match_score
   from (
     select n.name, max(struct_pack(s := {score(form("n.name"), form("s.seed"))}, p := -s.seed_pos, seed := s.seed)) as best
-    from (select distinct name from {names}) n cross join {seeds} s group by n.name
+    from (select distinct name from {names}) n left join {seeds} s on true group by n.name
   )
 )"""
 
@@ -267,7 +270,7 @@ FLAT_ORDERS = """select o_orderkey as id, o_orderstatus as order_o_orderstatus,
 
 
 def oracles() -> dict[str, str]:
-    chunks = f"""with cleaned as (select page_id, {TOKENS.format(clean_text("html"))} as toks from pages),
+    chunks = f"""with cleaned as (select page_id, {tokens(clean_text("html"))} as toks from pages),
       windows as (
         select page_id, cast(i as integer) as chunk_no, list_slice(toks, i * 200 + 1, i * 200 + 200) as w
         from (select page_id, toks, unnest(range((len(toks) + 199) // 200)) as i from cleaned)
@@ -284,7 +287,7 @@ def oracles() -> dict[str, str]:
         "clean_html": f"select page_id, {clean_text('html')} as text from pages",
         "chunk_pages": f"{chunks} select page_id, chunk_no, cast(len(w) as integer) as n_tokens, array_to_string(w, '') as chunk_text from windows",
         "chunk_counts": f"{chunks} select page_id, count(*) as n_chunks, cast(sum(len(w)) as bigint) as n_tokens from windows group by page_id",
-        "token_counts": f"select doc_id, cast(len({TOKENS.format('text')}) as bigint) as n_tokens from documents",
+        "token_counts": f"select doc_id, cast(len({tokens('text')}) as bigint) as n_tokens from documents",
         "main_text": f"select page_id, {main_text('html')} as body from pages",
         "page_links": f"""with {_LINKS} select page_id, pos, {decode("regexp_extract(tag, 'href=" + '"([^"]*)"' + "', 1)")} as href,
             nullif({decode("regexp_extract(tag, '(?s)>(.*)</a>', 1)")}, '') as text from links""",
