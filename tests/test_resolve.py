@@ -93,6 +93,14 @@ def test_scores_of_known_pairs():
     assert round(fuzzy.ratio("this is a test", "this is a test!")) == 97
 
 
+def test_bit_parallel_edits():
+    names = random_names(60)
+    for a in names:
+        for b in names[:20]:
+            if a and b:
+                assert fuzzy._edits(a, b) == lev(a, b), (a, b)
+
+
 def test_shared_key_for_every_accepted_pair():
     names = sorted({form(n) for n in random_names(350, seed=11)} - {""})
     listed = fuzzy.ReferenceList(list(enumerate(names)), "wratio")

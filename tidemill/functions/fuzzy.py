@@ -13,6 +13,8 @@ tokens, except where one form is a token of at most two characters: then that li
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable
+from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
@@ -80,11 +82,18 @@ def levenshtein_score(a: Column, b: Column) -> Column:
 # --- scorers used inside Arrow batches -----------------------------------------------------------
 
 
-def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one bit per character of ``a``."""
+@lru_cache(8192)
+def _masks(text: str) -> dict[str, int]:
+    """For each character the positions it takes, one bit each."""
     masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
+    for i, ch in enumerate(text):
         masks[ch] = masks.get(ch, 0) | (1 << i)
+    return masks
+
+
+def _lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one bit per character of ``a``."""
+    masks = _masks(a)
     full = (1 << len(a)) - 1
     row = full
     for ch in b:
@@ -176,31 +185,65 @@ def plain_ratio(a: str, b: str) -> float:
     return ratio(a, b) if a and b else 0.0
 
 
-SCORERS = {"wratio": wratio, "ratio": plain_ratio}
+def _edits(a: str, b: str) -> int:
+    """Levenshtein distance, one bit per character of ``a``."""
+    masks, full, last = _masks(a), (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, distance = full, 0, len(a)
+    for ch in b:
+        hit = masks.get(ch, 0)
+        same = (((hit & up) + up) ^ up) | hit | down
+        right, left = down | ~(same | up), up & same
+        distance += bool(right & last) - bool(left & last)
+        right, left = (right << 1) | 1, left << 1
+        up, down = (left | ~(same | right)) & full, right & same & full
+    return distance
+
+
+def levenshtein(a: str, b: str) -> float:
+    """The same as ``levenshtein_score``."""
+    if not a or not b:
+        return 0.0
+    longest = max(len(a), len(b))
+    return float((longest - _edits(a, b)) * 100 // longest)
 
 
-def token_linked(a: str, b: str) -> bool:
-    """True for a shared token between forms whose lengths differ by a factor of 1.5 to 8."""
-    short, long = sorted((len(a), len(b)))
-    return 1.5 * short <= long <= 8 * short and not set(a.split()).isdisjoint(b.split())
+SCORERS = {"wratio": wratio, "ratio": plain_ratio, "levenshtein": levenshtein}
 
 
 class ReferenceList:
-    """A checked, small list of reference forms with an index on their keys; built once per task."""
+    """A checked, small list of reference forms with an index on their keys, held by a task."""
 
-    def __init__(self, refs: list[tuple[int, str]], scorer: str, all_refs: bool = False):
-        self.refs = refs
+    def __init__(self, refs: Iterable[tuple[int, str]], scorer: str, all_refs: bool = False):
+        self.refs: list[tuple[int, str]] = []
         self.score = SCORERS[scorer]
         self.all_refs = all_refs
         self.by_key: dict[str, list[int]] = defaultdict(list)
         self.short: list[int] = []
-        for i, (_, text) in enumerate(refs):
-            if not text:
-                continue
-            for key in _key_set(text):
-                self.by_key[key].append(i)
-            if _short(text):
-                self.short.append(i)
+        for pos, text in refs:
+            self.add(pos, text)
+
+    def add(self, pos: int, text: str) -> None:
+        i = len(self.refs)
+        self.refs.append((pos, text))
+        for key in _key_set(text) if text else ():
+            self.by_key[key].append(i)
+        if _short(text):
+            self.short.append(i)
+
+    def first(self, text: str, threshold: int) -> tuple[int, float] | None:
+        """Position and score of the first reference at or above the threshold."""
+        return next(self._accepted(text, threshold), None)
+
+    def best(self, text: str, threshold: int) -> tuple[int, float] | None:
+        """Position and score of the best such reference; the first of equals."""
+        return max(self._accepted(text, threshold), key=lambda hit: hit[1], default=None)
+
+    def _accepted(self, text: str, threshold: int):
+        for i in self.candidates(text):
+            pos, ref = self.refs[i]
+            score = self.score(text, ref)
+            if round(score) >= threshold:
+                yield pos, score
 
     def candidates(self, text: str):
         """Indexes, in list order, of the references that can reach the minimum threshold."""

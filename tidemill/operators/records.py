@@ -130,49 +130,77 @@ def flatten(df: DataFrame) -> DataFrame:
 # --- validation ---------------------------------------------------------------------------------------
 
 
-def _read(root: Column, f: T.StructField, parents: tuple[str, ...] = ()) -> tuple[Column, Column]:
-    """Value and errors of one field of a variant object.
+_NO_ERRORS = "array<string>"
 
-    A key that is missing takes the default; an explicit null is an error unless the field may be null.
-    """
-    here = (*parents, f.name)
-    path = ".".join(here)
-    pointer = "$" + "".join(f"['{p}']" for p in here)
-    # The kind of a missing key is null, that of an explicit null is VOID.
-    kind = F.schema_of_variant(F.try_variant_get(root, pointer, "variant"))
-    text = F.try_variant_get(root, pointer, "string")
-    errors = F.array().cast("array<string>")
-    if isinstance(f.dataType, T.StructType):
-        read = [(g, *_read(root, g, here)) for g in f.dataType.fields]
-        is_object = kind.startswith("OBJECT")
-        value = F.when(is_object, F.struct(*[v.alias(g.name) for g, v, _ in read]))
-        wrong = F.when(is_object, F.flatten(F.array(*[e for _, _, e in read]))).otherwise(F.array(F.lit(f"{path}: not an object")))
-    else:
-        if isinstance(f.dataType, T.ArrayType):
-            value = F.when(kind.startswith("ARRAY") & ~kind.rlike("ARRAY<(?!STRING>|VOID>)"), F.try_variant_get(root, pointer, "array<string>"))
-        elif isinstance(f.dataType, T.IntegerType):
-            whole = text.rlike(r"^\s*[+-]?[0-9]+(\.0*)?\s*$") & (kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "STRING"))
-            value = F.when(whole, F.btrim(text).try_cast("decimal(38,2)").try_cast("int"))
-        elif isinstance(f.dataType, T.BooleanType):
-            plain = F.lower(F.btrim(text))
-            value = F.when(plain.isin("true", "1", "yes", "on", "t", "y"), True).when(plain.isin("false", "0", "no", "off", "f", "n"), False)
-        elif isinstance(f.dataType, T.TimestampType):
-            value = F.when(kind == "STRING", parse_iso_date(text)).when(
-                kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE"), F.timestamp_seconds(text.try_cast("double"))
-            )
-        else:
-            value = F.when(kind == "STRING", text)
-        if "enum" in f.metadata:
-            value = F.when(value.isin(f.metadata["enum"]), value)
-        wrong = F.when(value.isNull(), F.array(F.lit(f"{path}: invalid"))).otherwise(errors)
+
+def _check(f: T.StructField, path: str, kind: Column, value: Column, wrong: Column) -> tuple[Column, Column]:
+    """Apply default and null rules: ``kind`` is null for a missing key and VOID for an explicit null."""
+    none = F.array().cast(_NO_ERRORS)
     if "default" in f.metadata:
         value = F.when(kind.isNull(), F.lit(f.metadata["default"]).cast(f.dataType)).otherwise(value)
-        wrong = F.when(kind.isNull(), errors).otherwise(wrong)
+        return value, F.when(kind.isNull(), none).otherwise(wrong)
     if f.nullable:
-        wrong = F.when(kind.isNull() | (kind == "VOID"), errors).otherwise(wrong)
-    else:
-        wrong = F.when(kind.isNull() & F.lit("default" not in f.metadata), F.array(F.lit(f"{path}: missing"))).otherwise(wrong)
-    return value, wrong
+        return value, F.when(kind.isNull() | (kind == "VOID"), none).otherwise(wrong)
+    return value, F.when(kind.isNull(), F.array(F.lit(f"{path}: missing"))).otherwise(wrong)
+
+
+def _leaf(f: T.StructField, kind: Column, text: Column, items: Column | None) -> Column:
+    """The typed value of a scalar or list, null when it does not fit the type."""
+    number = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE")
+    if isinstance(f.dataType, T.ArrayType):
+        return F.when(kind.isin("ARRAY<STRING>", "ARRAY<VOID>"), items)
+    if isinstance(f.dataType, T.IntegerType):
+        whole = text.rlike(r"^\s*[+-]?[0-9]+(\.0*)?\s*$") & (number | (kind == "STRING"))
+        return F.when(whole, F.btrim(text).try_cast("decimal(38,2)").try_cast("int"))
+    if isinstance(f.dataType, T.BooleanType):
+        plain = F.lower(F.btrim(text))
+        return F.when(plain.isin("true", "1", "yes", "on", "t", "y"), True).when(
+            plain.isin("false", "0", "no", "off", "f", "n"), False
+        )
+    if isinstance(f.dataType, T.TimestampType):
+        return F.when(kind == "STRING", parse_iso_date(text)).when(number, F.timestamp_seconds(text.try_cast("double")))
+    value = F.when(kind == "STRING", text)
+    return F.when(value.isin(f.metadata["enum"]), value) if "enum" in f.metadata else value
+
+
+def _read(root: Column, f: T.StructField, parents: tuple[str, ...] = ()) -> Column:
+    """``struct<value, errors>`` of one field of a variant object; kind and text are looked up once."""
+    here = (*parents, f.name)
+    path = ".".join(here)
+    pointer = "$" + "".join(f"['{p}']" for p in here)
+    found = [F.schema_of_variant(F.try_variant_get(root, pointer, "variant")).alias("kind")]
+    if isinstance(f.dataType, T.ArrayType):
+        found.append(F.try_variant_get(root, pointer, "array<string>").alias("items"))
+    elif not isinstance(f.dataType, T.StructType):
+        found.append(F.try_variant_get(root, pointer, "string").alias("text"))
+
+    def judged(b: Column) -> Column:
+        kind = b["kind"]
+        if isinstance(f.dataType, T.StructType):
+            inner = F.struct(*[_read(root, g, here).alias(g.name) for g in f.dataType.fields])
+
+            def opened(fields: Column) -> Column:
+                value = F.struct(*[fields[g.name]["value"].alias(g.name) for g in f.dataType.fields])
+                errors = F.flatten(F.array(*[fields[g.name]["errors"] for g in f.dataType.fields]))
+                return F.struct(value.alias("value"), errors.alias("errors"))
+
+            def closed(read: Column) -> Column:
+                broken = F.array(F.lit(f"{path}: not an object"))
+                value, errors = _check(f, path, kind, read["value"], F.coalesce(read["errors"], broken))
+                return F.struct(value.alias("value"), errors.alias("errors"))
+
+            return let(F.when(kind.startswith("OBJECT"), let(inner, opened)), closed)
+        leaf = _leaf(f, kind, b["text"] if "text" in names else None, b["items"] if "items" in names else None)
+
+        def checked(value: Column) -> Column:
+            wrong = F.when(value.isNull(), F.array(F.lit(f"{path}: invalid"))).otherwise(F.array().cast(_NO_ERRORS))
+            value, errors = _check(f, path, kind, value, wrong)
+            return F.struct(value.alias("value"), errors.alias("errors"))
+
+        return let(leaf, checked)
+
+    names = {"items"} if isinstance(f.dataType, T.ArrayType) else {"text"}
+    return let(F.struct(*found), judged)
 
 
 def parse_record(json: Column, schema: T.StructType | str) -> Column:
@@ -180,25 +208,29 @@ def parse_record(json: Column, schema: T.StructType | str) -> Column:
     schema = RECORDS[schema] if isinstance(schema, str) else schema
 
     def read(node: Column) -> Column:
-        fields = [(f, *_read(node, f)) for f in schema.fields]
-        record = F.struct(*[v.alias(f.name) for f, v, _ in fields])
-        broken = F.array(F.lit("not an object"))
-        errors = F.when(
-            F.schema_of_variant(node).startswith("OBJECT"), F.flatten(F.array(*[e for _, _, e in fields]))
-        ).otherwise(broken)
-        return let(
-            F.coalesce(errors, broken), lambda e: F.struct(F.when(F.size(e) == 0, record).alias("record"), e.alias("errors"))
-        )
+        fields = F.struct(*[_read(node, f).alias(f.name) for f in schema.fields])
+
+        def judged(read: Column) -> Column:
+            errors = F.flatten(F.array(*[read[f.name]["errors"] for f in schema.fields]))
+            record = F.struct(*[read[f.name]["value"].alias(f.name) for f in schema.fields])
+            return F.struct(F.when(F.size(errors) == 0, record).alias("record"), errors.alias("errors"))
+
+        broken = F.struct(F.lit(None).alias("record"), F.array(F.lit("not an object")).alias("errors"))
+        return F.when(F.schema_of_variant(node).startswith("OBJECT"), let(fields, judged)).otherwise(broken)
 
     return let(F.try_parse_json(json), read)
 
 
+def parse_valid(df: DataFrame, json: str, schema: T.StructType | str) -> DataFrame:
+    """Rows whose JSON is a valid record, with ``record`` in place of the JSON column.
+
+    The record comes out of a generator: a filter on it would be pushed below and parse every row a second time.
+    """
+    found = F.filter(F.array(parse_record(F.col(json), schema)["record"]), lambda r: r.isNotNull())
+    return df.select(*[c for c in df.columns if c != json], F.explode(found).alias("record"))
+
+
 def conform(df: DataFrame, json: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
     """Split rows by validity: ``(valid with record, rejected with errors)``; the JSON column is dropped from the valid."""
-    parsed = df.withColumn("_parsed", parse_record(F.col(json), schema))
-    valid = parsed.filter(F.col("_parsed.record").isNotNull())
-    kept = [c for c in df.columns if c != json]
-    return (
-        valid.select(*kept, F.col("_parsed.record").alias("record")),
-        parsed.filter(F.col("_parsed.record").isNull()).select(*df.columns, F.col("_parsed.errors").alias("errors")),
-    )
+    failed = F.filter(F.array(parse_record(F.col(json), schema)["errors"]), lambda e: F.size(e) > 0)
+    return parse_valid(df, json, schema), df.select(*df.columns, F.explode(failed).alias("errors"))

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemill.functions import fuzzy
 from tidemill.session import cut, is_small
@@ -44,38 +44,27 @@ def _linked_by_token(a: Column, b: Column) -> Column:
     return near & F.arrays_overlap(fuzzy.tokens(a), fuzzy.tokens(b))
 
 
-def _shipped_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str, keep: str) -> DataFrame:
-    """Pairs with a checked, small reference list held by every task (as one broadcast variable)."""
+def _shipped_matches(left: DataFrame, refs: DataFrame, threshold: int, scorer: str, best: bool) -> DataFrame:
+    """One pair per form, with its best or else its first accepted reference.
+
+    The checked, small reference list goes to every task as one broadcast variable.
+    """
     spark = left.sparkSession
-    rows = [(r.pos, r.form) for r in refs.select("pos", "form").orderBy("pos").collect()]
-    held = spark.sparkContext.broadcast(rows)
-    by_tokens = _token_is_enough(scorer, threshold)
+    listed = [(r.pos, r.form) for r in refs.select("pos", "form").orderBy("pos").collect()]
+    held = spark.sparkContext.broadcast(listed)
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        listed = fuzzy.ReferenceList(held.value, scorer, all_refs=threshold < fuzzy.MIN_THRESHOLD)
+        known = fuzzy.ReferenceList(held.value, scorer, all_refs=threshold < fuzzy.MIN_THRESHOLD)
+        find = known.best if best else known.first
         for batch in batches:
-            out = []
-            for pos, text in zip(batch["pos"], batch["form"]):
-                best = None
-                for i in listed.candidates(text):
-                    ref_pos, ref = listed.refs[i]
-                    if keep == "links" and (ref_pos >= pos or (by_tokens and fuzzy.token_linked(text, ref))):
-                        continue
-                    score = listed.score(text, ref)
-                    if round(score) < threshold:
-                        continue
-                    if keep == "links":
-                        out.append((pos, ref_pos, score))
-                    elif best is None or score > best[2]:
-                        best = (pos, ref_pos, score)
-                        if keep == "first":
-                            break
-                if best:
-                    out.append(best)
-            yield pd.DataFrame(out, columns=["pos", "ref_pos", "score"])
+            found = [(pos, find(text, threshold)) for pos, text in zip(batch["pos"], batch["form"])]
+            rows = [(pos, *hit) for pos, hit in found if hit]
+            yield pd.DataFrame(rows, columns=["pos", "ref_pos", "score"])
 
     kind = left.schema["pos"].dataType.simpleString()
-    return left.select("pos", "form").mapInPandas(match, f"pos {kind}, ref_pos long, score double")
+    # Scoring is the costly part: an explicit number of partitions keeps a short list from ending up in one task.
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return left.select("pos", "form").repartition(n).mapInPandas(match, f"pos {kind}, ref_pos long, score double")
 
 
 def _scored(pairs: DataFrame, scorer: str) -> DataFrame:
@@ -165,8 +154,8 @@ def _earliest_by_token(forms: DataFrame, refs: DataFrame) -> DataFrame:
 
 def _best_match(forms: DataFrame, refs: DataFrame, threshold: int, scorer: str) -> DataFrame:
     """``pos, ref_pos, score`` of the best reference per form; ties go to the earliest reference."""
-    if scorer != "levenshtein" and is_small(refs, SHIPPED_REFS):
-        return _shipped_pairs(forms, refs, threshold, scorer, "best")
+    if is_small(refs, SHIPPED_REFS):
+        return _shipped_matches(forms, refs, threshold, scorer, best=True)
     pairs = _keyed_pairs(forms, refs, threshold, scorer)
     if _token_is_enough(scorer, threshold):
         by_token = _earliest_by_token(forms, refs).withColumn("score", F.lit(fuzzy.TOKEN_SCORE))
@@ -214,8 +203,8 @@ def _lifted_pairs(forms: DataFrame, refs: DataFrame) -> DataFrame:
 
 def _first_match(forms: DataFrame, refs: DataFrame, threshold: int, scorer: str) -> DataFrame:
     """``pos, ref_pos`` of the earliest accepted reference per form."""
-    if scorer != "levenshtein" and is_small(refs, SHIPPED_REFS):
-        return _shipped_pairs(forms, refs, threshold, scorer, "first").select("pos", "ref_pos")
+    if is_small(refs, SHIPPED_REFS):
+        return _shipped_matches(forms, refs, threshold, scorer, best=False).select("pos", "ref_pos")
     pairs = _keyed_pairs(forms, refs, threshold, scorer).select("pos", "ref_pos")
     if _token_is_enough(scorer, threshold):
         pairs = pairs.unionByName(_earliest_by_token(forms, refs))
@@ -248,6 +237,26 @@ def canonicalize(
 # --- batch deduplication -------------------------------------------------------------------------------
 
 
+def _leaders_in_order(forms: DataFrame, threshold: int, scorer: str) -> tuple[DataFrame, DataFrame]:
+    """Leaders and followers of a slice checked to be small: one pass in order of position."""
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        leaders = fuzzy.ReferenceList([], scorer, all_refs=threshold < fuzzy.MIN_THRESHOLD)
+        for batch in batches:
+            found = []
+            for pos, text in zip(batch["pos"], batch["form"]):
+                hit = leaders.first(text, threshold)
+                if hit is None:
+                    leaders.add(pos, text)
+                found.append(hit[0] if hit else None)
+            yield batch.assign(ref_pos=pd.array(found, dtype="Int64"))
+
+    ordered = forms.select("pos", "form").repartition(1).sortWithinPartitions("pos")
+    settled = cut(ordered.mapInPandas(settle, "pos long, form string, ref_pos long"))
+    leads = F.col("ref_pos").isNull()
+    return settled.filter(leads).select("pos", "form"), settled.filter(~leads).select("pos", "ref_pos")
+
+
 def _leader_rounds(forms: DataFrame, threshold: int, scorer: str, max_rounds: int) -> tuple[DataFrame, DataFrame]:
     """Leaders of a slice and ``pos, ref_pos`` of its followers.
 
@@ -255,11 +264,7 @@ def _leader_rounds(forms: DataFrame, threshold: int, scorer: str, max_rounds: in
     one with an earlier leader follows, one whose earlier linked names all follow leads. Followers get their
     leader after the last round, because a nearer undecided name may still become one.
     """
-    if scorer != "levenshtein" and is_small(forms, SHIPPED_REFS):
-        links = _shipped_pairs(forms, forms, threshold, scorer, "links")
-    else:
-        links = _keyed_pairs(forms, forms, threshold, scorer, earlier_only=True)
-    links = cut(links.select("pos", "ref_pos"))
+    links = cut(_keyed_pairs(forms, forms, threshold, scorer, earlier_only=True).select("pos", "ref_pos"))
     by_token = _token_is_enough(scorer, threshold)
     tokens = _token_rows(forms) if by_token else None
 
@@ -276,20 +281,24 @@ def _leader_rounds(forms: DataFrame, threshold: int, scorer: str, max_rounds: in
         # The lowest position counts only when it is an earlier one.
         return lowest.select("pos", *[F.when(F.col(c) < F.col("pos"), F.col(c)).alias(c) for c in ("leader", "waiting")])
 
-    state = forms.select("pos", F.lit(_UNDECIDED).alias("status"))
-    for _ in range(max_rounds):
+    def advance(state: DataFrame) -> DataFrame:
         settled = (
             F.when(F.col("status") != _UNDECIDED, F.col("status"))
             .when(F.col("leader").isNotNull(), _FOLLOWER)
             .when(F.col("waiting").isNull(), _LEADER)
             .otherwise(_UNDECIDED)
         )
-        state = cut(state.join(neighbours(state), "pos", "left").select("pos", settled.alias("status")))
-        if state.filter(F.col("status") == _UNDECIDED).isEmpty():
+        return state.join(neighbours(state), "pos", "left").select("pos", settled.alias("status"))
+
+    state = forms.select("pos", F.lit(_UNDECIDED).alias("status"))
+    for _ in range(max_rounds):
+        undecided = Observation()
+        state = cut(advance(state).observe(undecided, F.count_if(F.col("status") == _UNDECIDED).alias("n")))
+        if not undecided.get["n"]:
             break
     else:
         raise RuntimeError(f"names still undecided after {max_rounds} rounds; raise max_rounds")
-    leaders = forms.join(state.filter(F.col("status") == _LEADER), "pos", "left_semi")
+    leaders = forms.join(state.filter(F.col("status") == _LEADER), "pos", "left_semi").select("pos", "form")
     followers = state.filter(F.col("status") == _FOLLOWER).join(neighbours(state), "pos")
     return leaders, followers.select("pos", F.col("leader").alias("ref_pos"))
 
@@ -321,7 +330,10 @@ def _cluster(forms: DataFrame, threshold: int, scorer: str, first_slice: int, ma
             hits = cut(_first_match(part, leaders, threshold, scorer))
             parts.append(hits)
             part = cut(part.join(hits, "pos", "left_anti"))
-        new, followers = _leader_rounds(part, threshold, scorer, max_rounds)
+        if is_small(part, SHIPPED_REFS):
+            new, followers = _leaders_in_order(part, threshold, scorer)
+        else:
+            new, followers = _leader_rounds(part, threshold, scorer, max_rounds)
         parts.append(followers)
         leaders = cut(new if leaders is None else leaders.unionByName(new))
     merged = reduce(DataFrame.unionByName, parts)

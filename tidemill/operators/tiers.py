@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemill.operators.records import parse_record
+from tidemill.operators.records import parse_valid
 
 RATE_LIMIT = "rate_limit"
 
@@ -25,9 +25,9 @@ def first_valid_by_tier(
         .groupBy(key, "tier")
         .agg(F.min_by(F.struct("json", "error"), "attempt").alias("answer"))
         .filter(F.col("answer.error").isNull())
-        .withColumn("record", parse_record(F.col("answer.json"), schema)["record"])
-        .filter(F.col("record").isNotNull())
+        .select(key, "tier", F.col("answer.json").alias("json"))
     )
+    answers = parse_valid(answers, "json", schema)
     first = answers.groupBy(key).agg(F.min("tier").alias("tier"), F.min_by("record", "tier").alias("record"))
     return requests.join(first, key, "left")
 

@@ -1,4 +1,4 @@
-"""Session settings and the two helpers every multi-step job needs: checkpoints and scratch paths."""
+"""Session settings and the helpers every multi-step job needs: scratch tables and size checks."""
 
 from __future__ import annotations
 
@@ -52,15 +52,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the reliable checkpoint folder and drop the lineage.
+    """Write the rows to the shared scratch folder and read them back, which drops the lineage.
 
-    The copy lives in the shared folder, so losing an executor does not lose it.
+    The copy outlives any executor, the rows are computed once (a checkpoint computes them twice), and the
+    planner knows the size of what it reads, so it can tell small sides from large ones.
     """
-    spark = df.sparkSession
-    root = scratch_root(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:

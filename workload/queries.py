@@ -40,7 +40,7 @@ def stamp_text(ts: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events", spread=True).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -287,7 +287,7 @@ def order_json(spark, sf_dir) -> DataFrame:
         F.lit('Z", "content": '), content, F.lit("}"),
     )
     broken = F.when(priority.startswith("4"), F.substring(envelope, 1, 60)).otherwise(envelope)
-    return table(spark, sf_dir, "orders").select("o_orderkey", broken.alias("json"))
+    return table(spark, sf_dir, "orders", spread=True).select("o_orderkey", broken.alias("json"))
 
 
 @query
