@@ -24,8 +24,8 @@ def test_flatten(spark):
 
 def check(spark, schema, docs):
     df = spark.createDataFrame([(i, d if isinstance(d, str) or d is None else json.dumps(d)) for i, d in enumerate(docs)], "i int, j string")
-    rows = df.select("i", R.parse_record(F.col("j"), schema).alias("p")).orderBy("i").collect()
-    return [(r.p.record.asDict(True) if r.p.record else None, r.p.errors) for r in rows]
+    rows = R.parse_records(df, "j", schema).orderBy("i").collect()
+    return [(r.record.asDict(True) if r.record else None, r.errors) for r in rows]
 
 
 def test_lax_coercion_defaults_and_nulls(spark):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemill.functions.dates import parse_iso_date
-from tidemill.functions.strings import let
 from tidemill.operators.filters import instant
 
 # The allowed pricing models and the schema version.
@@ -130,95 +129,103 @@ def flatten(df: DataFrame) -> DataFrame:
 # --- validation ---------------------------------------------------------------------------------------
 
 
-_NO_ERRORS = "array<string>"
+def _quoted(value) -> str:
+    return str(value).lower() if isinstance(value, (bool, int)) else "'" + str(value).replace("'", "\\'") + "'"
 
 
-def _check(f: T.StructField, path: str, kind: Column, value: Column, wrong: Column) -> tuple[Column, Column]:
-    """Apply default and null rules: ``kind`` is null for a missing key and VOID for an explicit null."""
-    none = F.array().cast(_NO_ERRORS)
-    if "default" in f.metadata:
-        value = F.when(kind.isNull(), F.lit(f.metadata["default"]).cast(f.dataType)).otherwise(value)
-        return value, F.when(kind.isNull(), none).otherwise(wrong)
-    if f.nullable:
-        return value, F.when(kind.isNull() | (kind == "VOID"), none).otherwise(wrong)
-    return value, F.when(kind.isNull(), F.array(F.lit(f"{path}: missing"))).otherwise(wrong)
+def _error(path: str, what: str) -> str:
+    return f"array('{path}: {what}')"
+
 
+_NO_ERRORS = "cast(array() as array<string>)"
 
-def _leaf(f: T.StructField, kind: Column, text: Column, items: Column | None) -> Column:
+
+def _leaf(f: T.StructField, kind: str, text: str) -> Column:
     """The typed value of a scalar or list, null when it does not fit the type."""
-    number = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE")
+    number = f"(startswith({kind}, 'DECIMAL') or {kind} in ('BIGINT', 'DOUBLE'))"
     if isinstance(f.dataType, T.ArrayType):
-        return F.when(kind.isin("ARRAY<STRING>", "ARRAY<VOID>"), items)
+        return F.expr(f"case when {kind} in ('ARRAY<STRING>', 'ARRAY<VOID>') then {text} end")
     if isinstance(f.dataType, T.IntegerType):
-        whole = text.rlike(r"^\s*[+-]?[0-9]+(\.0*)?\s*$") & (number | (kind == "STRING"))
-        return F.when(whole, F.btrim(text).try_cast("decimal(38,2)").try_cast("int"))
+        whole = rf"rlike({text}, r'^\s*[+-]?[0-9]+(\.0*)?\s*$') and ({number} or {kind} = 'STRING')"
+        return F.expr(f"case when {whole} then try_cast(try_cast(btrim({text}) as decimal(38,2)) as int) end")
     if isinstance(f.dataType, T.BooleanType):
-        plain = F.lower(F.btrim(text))
-        return F.when(plain.isin("true", "1", "yes", "on", "t", "y"), True).when(
-            plain.isin("false", "0", "no", "off", "f", "n"), False
+        return F.expr(
+            f"case when lower(btrim({text})) in ('true', '1', 'yes', 'on', 't', 'y') then true "
+            f"when lower(btrim({text})) in ('false', '0', 'no', 'off', 'f', 'n') then false end"
         )
     if isinstance(f.dataType, T.TimestampType):
-        return F.when(kind == "STRING", parse_iso_date(text)).when(number, F.timestamp_seconds(text.try_cast("double")))
-    value = F.when(kind == "STRING", text)
-    return F.when(value.isin(f.metadata["enum"]), value) if "enum" in f.metadata else value
-
+        seconds = F.expr(f"case when {number} then timestamp_seconds(try_cast({text} as double)) end")
+        return F.when(F.col(kind) == "STRING", parse_iso_date(F.col(text))).otherwise(seconds)
+    allowed = f" and {text} in ({', '.join(map(_quoted, f.metadata['enum']))})" if "enum" in f.metadata else ""
+    return F.expr(f"case when {kind} = 'STRING'{allowed} then {text} end")
 
-def _read(root: Column, f: T.StructField, parents: tuple[str, ...] = ()) -> Column:
-    """``struct<value, errors>`` of one field of a variant object; kind and text are looked up once."""
-    here = (*parents, f.name)
-    path = ".".join(here)
-    pointer = "$" + "".join(f"['{p}']" for p in here)
-    found = [F.schema_of_variant(F.try_variant_get(root, pointer, "variant")).alias("kind")]
-    if isinstance(f.dataType, T.ArrayType):
-        found.append(F.try_variant_get(root, pointer, "array<string>").alias("items"))
-    elif not isinstance(f.dataType, T.StructType):
-        found.append(F.try_variant_get(root, pointer, "string").alias("text"))
-
-    def judged(b: Column) -> Column:
-        kind = b["kind"]
-        if isinstance(f.dataType, T.StructType):
-            inner = F.struct(*[_read(root, g, here).alias(g.name) for g in f.dataType.fields])
 
-            def opened(fields: Column) -> Column:
-                value = F.struct(*[fields[g.name]["value"].alias(g.name) for g in f.dataType.fields])
-                errors = F.flatten(F.array(*[fields[g.name]["errors"] for g in f.dataType.fields]))
-                return F.struct(value.alias("value"), errors.alias("errors"))
+def _judge(f: T.StructField, path: tuple[str, ...], number: dict[tuple[str, ...], int]) -> tuple[str, str]:
+    """SQL for value and errors of a field: ``kind`` is null for a missing key and VOID for an explicit null.
 
-            def closed(read: Column) -> Column:
-                broken = F.array(F.lit(f"{path}: not an object"))
-                value, errors = _check(f, path, kind, read["value"], F.coalesce(read["errors"], broken))
-                return F.struct(value.alias("value"), errors.alias("errors"))
-
-            return let(F.when(kind.startswith("OBJECT"), let(inner, opened)), closed)
-        leaf = _leaf(f, kind, b["text"] if "text" in names else None, b["items"] if "items" in names else None)
+    A missing key takes the default; an explicit null is an error unless the field may be null.
+    """
+    i, where = number[path], ".".join(path)
+    kind = f"_k{i}"
+    if isinstance(f.dataType, T.StructType):
+        parts = [(g.name, *_judge(g, (*path, g.name), number)) for g in f.dataType.fields]
+        is_object = f"startswith({kind}, 'OBJECT')"
+        value = f"case when {is_object} then named_struct({', '.join(f"'{n}', {v}" for n, v, _ in parts)}) end"
+        inner = f"flatten(array({', '.join(e for _, _, e in parts)}))"
+        errors = f"case when {is_object} then {inner} else {_error(where, 'not an object')} end"
+    else:
+        value = f"_x{i}"
+        errors = f"case when {value} is null then {_error(where, 'invalid')} else {_NO_ERRORS} end"
+    if "default" in f.metadata:
+        value = f"case when {kind} is null then {_quoted(f.metadata['default'])} else {value} end"
+        return value, f"case when {kind} is null then {_NO_ERRORS} else {errors} end"
+    if f.nullable:
+        return value, f"case when {kind} is null or {kind} = 'VOID' then {_NO_ERRORS} else {errors} end"
+    return value, f"case when {kind} is null then {_error(where, 'missing')} else {errors} end"
 
-        def checked(value: Column) -> Column:
-            wrong = F.when(value.isNull(), F.array(F.lit(f"{path}: invalid"))).otherwise(F.array().cast(_NO_ERRORS))
-            value, errors = _check(f, path, kind, value, wrong)
-            return F.struct(value.alias("value"), errors.alias("errors"))
 
-        return let(leaf, checked)
+def _nodes(schema: T.StructType, parents: tuple[str, ...] = ()):
+    """Every field of a schema with its path, nested ones too."""
+    for f in schema.fields:
+        here = (*parents, f.name)
+        yield here, f
+        if isinstance(f.dataType, T.StructType):
+            yield from _nodes(f.dataType, here)
 
-    names = {"items"} if isinstance(f.dataType, T.ArrayType) else {"text"}
-    return let(F.struct(*found), judged)
 
+def parse_records(df: DataFrame, json: str, schema: T.StructType | str) -> DataFrame:
+    """Adds ``record`` and ``errors``: the typed record and what is wrong with it; the record is null when anything is.
 
-def parse_record(json: Column, schema: T.StructType | str) -> Column:
-    """``struct<record, errors>``: the typed record and what is wrong with it; the record is null when anything is."""
+    One projection parses, the next looks up kind and text of every field, the next gives them types: plain columns that
+    compile to one generated loop, each computed once.
+    """
     schema = RECORDS[schema] if isinstance(schema, str) else schema
-
-    def read(node: Column) -> Column:
-        fields = F.struct(*[_read(node, f).alias(f.name) for f in schema.fields])
-
-        def judged(read: Column) -> Column:
-            errors = F.flatten(F.array(*[read[f.name]["errors"] for f in schema.fields]))
-            record = F.struct(*[read[f.name]["value"].alias(f.name) for f in schema.fields])
-            return F.struct(F.when(F.size(errors) == 0, record).alias("record"), errors.alias("errors"))
-
-        broken = F.struct(F.lit(None).alias("record"), F.array(F.lit("not an object")).alias("errors"))
-        return F.when(F.schema_of_variant(node).startswith("OBJECT"), let(fields, judged)).otherwise(broken)
-
-    return let(F.try_parse_json(json), read)
+    nodes = list(_nodes(schema))
+    number = {path: i for i, (path, _) in enumerate(nodes)}
+    found, typed = ["schema_of_variant(_v) as _k"], [F.col("_k")]
+    for i, (path, f) in enumerate(nodes):
+        pointer = "$." + ".".join(path)
+        found.append(f"schema_of_variant(try_variant_get(_v, '{pointer}', 'variant')) as _k{i}")
+        typed.append(F.col(f"_k{i}"))
+        if not isinstance(f.dataType, T.StructType):
+            kind = "array<string>" if isinstance(f.dataType, T.ArrayType) else "string"
+            found.append(f"try_variant_get(_v, '{pointer}', '{kind}') as _t{i}")
+            typed.append(_leaf(f, f"_k{i}", f"_t{i}").alias(f"_x{i}"))
+    parts = [(f.name, *_judge(f, (f.name,), number)) for f in schema.fields]
+    record = f"named_struct({', '.join(f"'{n}', {v}" for n, v, _ in parts)})"
+    errors = f"flatten(array({', '.join(e for _, _, e in parts)}))"
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    return (
+        df.select(*kept, F.try_parse_json(F.col(json)).alias("_v"))
+        .select(*kept, *map(F.expr, found))
+        .select(*kept, *typed)
+        .select(
+            *kept,
+            F.expr(f"{record} as record"),
+            F.expr(f"case when startswith(_k, 'OBJECT') then {errors} else array('not an object') end as errors"),
+        )
+        .select(*kept, F.expr("case when size(errors) = 0 then record end as record"), "errors")
+    )
 
 
 def parse_valid(df: DataFrame, json: str, schema: T.StructType | str) -> DataFrame:
@@ -226,11 +233,13 @@ def parse_valid(df: DataFrame, json: str, schema: T.StructType | str) -> DataFra
 
     The record comes out of a generator: a filter on it would be pushed below and parse every row a second time.
     """
-    found = F.filter(F.array(parse_record(F.col(json), schema)["record"]), lambda r: r.isNotNull())
-    return df.select(*[c for c in df.columns if c != json], F.explode(found).alias("record"))
+    parsed = parse_records(df, json, schema)
+    found = F.when(F.size("errors") == 0, F.array("record"))
+    return parsed.select(*[c for c in df.columns if c != json], F.explode(found).alias("record"))
 
 
 def conform(df: DataFrame, json: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
     """Split rows by validity: ``(valid with record, rejected with errors)``; the JSON column is dropped from the valid."""
-    failed = F.filter(F.array(parse_record(F.col(json), schema)["errors"]), lambda e: F.size(e) > 0)
-    return parse_valid(df, json, schema), df.select(*df.columns, F.explode(failed).alias("errors"))
+    failed = F.when(F.size("errors") > 0, F.array("errors"))
+    rejected = parse_records(df, json, schema).select(*df.columns, F.explode(failed).alias("errors"))
+    return parse_valid(df, json, schema), rejected

@@ -21,6 +21,8 @@ def get_session(app: str = "tidemill", master: str | None = None, **conf) -> Spa
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call sites for every column expression make building a large plan several times slower.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
