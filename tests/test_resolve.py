@@ -138,6 +138,13 @@ def test_batch_cases(spark):
     assert dedup(spark, [], None) == {}
 
 
+def test_split_hot_keys_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "SHIPPED_REFS", 0)
+    monkeypatch.setattr(resolve, "HOT_ROWS", 7)
+    names, seeds = random_names(80, seed=8), ["Open AI", "Data Works"]
+    assert dedup(spark, names, seeds, first_slice=30) == model(names, seeds)[0]
+
+
 @pytest.mark.parametrize("small_refs", [True, False])
 @pytest.mark.parametrize("scorer", ["wratio", "levenshtein"])
 def test_equals_the_sequential_loop(spark, monkeypatch, scorer, small_refs):

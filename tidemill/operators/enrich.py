@@ -10,13 +10,15 @@ from tidemill.functions.urls import last_segment, repo_key
 
 
 def _left_join(df: DataFrame, key: Column, lookup: DataFrame, lookup_key: Column, values: dict[str, Column]) -> DataFrame:
-    """Left join on an expression. Rows without a key can match nothing, so they go round the join, not through it."""
+    """Left join on a text key. Rows without a key get one that matches nothing and differs from row to row.
+
+    Nulls would all go to one task; this spreads them, and the same row always goes the same way.
+    """
     right = lookup.select(lookup_key.alias("_rk"), *[v.alias(k) for k, v in values.items()]).filter(F.col("_rk").isNotNull())
     unique = right.groupBy("_rk").agg(*[F.first(k).alias(k) for k in values])
-    keyed = df.withColumn("_lk", key)
-    with_key, without = keyed.filter(F.col("_lk").isNotNull()), keyed.filter(F.col("_lk").isNull())
-    joined = with_key.join(unique, F.col("_lk") == F.col("_rk"), "left").select(*df.columns, *values)
-    return joined.unionByName(without.drop("_lk"), allowMissingColumns=True)
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*df.columns).cast("string"))
+    keyed = df.withColumn("_lk", F.coalesce(key, spread))
+    return keyed.join(unique, F.col("_lk") == F.col("_rk"), "left").select(*df.columns, *values)
 
 
 def attach_full_text(news: DataFrame, pages: DataFrame, url: str = "url", max_chars: int = 5000) -> DataFrame:

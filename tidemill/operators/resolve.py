@@ -23,6 +23,8 @@ from tidemill.session import cut, is_small
 
 #: Reference lists up to this size are shipped to the tasks; longer ones are joined on keys.
 SHIPPED_REFS = 2_000
+#: A key with more rows than this is split into parts of this size.
+HOT_ROWS = 100_000
 _UNDECIDED, _LEADER, _FOLLOWER = 0, 1, 2
 
 
@@ -79,6 +81,19 @@ def _scored(pairs: DataFrame, scorer: str) -> DataFrame:
     return pairs.withColumn("score", scores("form", "ref_form"))
 
 
+def _salted(keyed: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split the rows of hot keys into salts and repeat their references once per salt.
+
+    Counts combine before the shuffle, and at most one key in ``HOT_ROWS`` rows is hot, so that list is short.
+    """
+    hot = keyed.groupBy("key").count().filter(F.col("count") > HOT_ROWS)
+    salts = hot.select(F.col("key").alias("_hot"), F.ceil(F.col("count") / HOT_ROWS).cast("int").alias("_salts"))
+    n = F.coalesce("_salts", F.lit(1))
+    left = keyed.join(salts, F.col("key") == F.col("_hot"), "left").withColumn("salt", F.pmod(F.xxhash64("pos"), n).cast("int"))
+    right = refs.join(salts, F.col("ref_key") == F.col("_hot"), "left").withColumn("ref_salt", F.explode(F.sequence(F.lit(0), n - 1)))
+    return left.drop("_hot", "_salts"), right.drop("_hot", "_salts")
+
+
 def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str, earlier_only: bool = False) -> DataFrame:
     """All accepted pairs that share a key and are not linked by a token anyway.
 
@@ -97,9 +112,9 @@ def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str,
         wanted = wanted & (F.col("ref_pos") < F.col("pos"))
 
     def meet(left_keys: Column, ref_keys: Column, test: Column) -> DataFrame:
-        keyed_a = a.select("*", F.explode(left_keys).alias("key"))
-        keyed_b = b.select("*", F.explode(ref_keys).alias("ref_key"))
-        return keyed_a.join(keyed_b, (F.col("key") == F.col("ref_key")) & test).select("pos", "form", "ref_pos", "ref_form")
+        keyed_a, keyed_b = _salted(a.select("*", F.explode(left_keys).alias("key")), b.select("*", F.explode(ref_keys).alias("ref_key")))
+        same = (F.col("key") == F.col("ref_key")) & (F.col("salt") == F.col("ref_salt"))
+        return keyed_a.join(keyed_b, same & test).select("pos", "form", "ref_pos", "ref_form")
 
     form, ref_form = F.col("form"), F.col("ref_form")
     pairs = (

@@ -34,7 +34,5 @@ def first_valid_by_tier(
 
 def alive_tiers(tiers: DataFrame, health: DataFrame, key: str = "tier") -> DataFrame:
     """Tiers that passed their health check; all of them when none did. The tier list is a handful of rows."""
-    checked = tiers.join(health.select(key, F.col("alive").alias("_alive")), key, "left")
-    n_alive = health.join(tiers, key, "left_semi").agg(F.count_if("alive").alias("_n_alive"))
-    # One aggregate row joins every tier.
-    return checked.join(F.broadcast(n_alive)).filter(F.col("_alive") | (F.col("_n_alive") == 0)).select(*tiers.columns)
+    alive = health.filter("alive").join(tiers, key, "left_semi")
+    return tiers if alive.isEmpty() else tiers.join(alive, key, "left_semi")

@@ -11,6 +11,7 @@ from tidemill.operators.limits import MAX_PAGES, page_quota
 from tidemill.operators.records import RECORDS, SCHEMA_VERSION, flatten, record_type
 from tidemill.operators.resolve import canonicalize
 from tidemill.operators.tiers import first_valid_by_tier
+from tidemill.session import cut
 from tidemill.sources.cards import card_text
 
 _NAME_FIELD = {"STARTUP": "entityName", "PRODUCT": "startupName", "ECOMMERCE_PRODUCT": "productName"}
@@ -39,6 +40,8 @@ def directory_records(
     judged = cards.withColumn("name", name).withColumn(
         "accepted", F.col("long_enough") & (F.col("record").isNotNull() | F.col("name").isNotNull())
     )
+    # The quota reads the cards twice; pages and answers are parsed once.
+    judged = cut(judged.drop("req_id", "tier"))
     taken = page_quota(judged, "accepted", max_records).filter("accepted")
     content = schema["content"].dataType
     guess = {
@@ -73,7 +76,7 @@ def directory(
     """Flat records with canonical names, and the mapping log of the lookups."""
     kind = record_type(entity_type)
     field = _NAME_FIELD[kind]
-    records = directory_records(pages, responses, entity_type, as_of, max_records)
+    records = cut(directory_records(pages, responses, entity_type, as_of, max_records))
     named = records.withColumn("raw_name", F.col(f"content.{field}"))
     resolved = canonicalize(named, seeds, "raw_name", **match)
     envelope = ["schemaVersion", "recordType", "source", "content", "collectedAt"]

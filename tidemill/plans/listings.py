@@ -12,6 +12,7 @@ from tidemill.operators.filters import instant
 from tidemill.operators.limits import category_cap
 from tidemill.operators.records import SCHEMA_VERSION
 from tidemill.operators.resolve import canonicalize
+from tidemill.session import cut
 from tidemill.sources.cards import company_cards, selector_cards
 from tidemill.sources.catalog import scan_catalog, scan_food
 from tidemill.sources.sinks import union_ragged
@@ -73,7 +74,7 @@ def company_list(pages: DataFrame, seeds: DataFrame, site: str, source_name: str
 
     Names are looked up as they are, without cleaning.
     """
-    first = keep_first(company_cards(pages), "name", ["page_num", "pos"])
+    first = cut(keep_first(company_cards(pages), "name", ["page_num", "pos"]))
     resolved = canonicalize(first, seeds, "name", clean=False, **match)
     missing = F.lit(None).cast("string")
     rows = resolved.select(
