@@ -129,6 +129,14 @@ def test_seed_cases(spark):
     assert len(DEFAULT_SEEDS) == load_seeds(spark).count() == 50
 
 
+def test_seed_files(spark, tmp_path):
+    cases = {"good": ('["B", "A"]', ["B", "A"]), "empty": ("[]", []), "bad": ("{not json", list(DEFAULT_SEEDS))}
+    for name, (content, expected) in cases.items():
+        (tmp_path / name).write_text(content)
+        assert [r.seed for r in load_seeds(spark, str(tmp_path / name)).orderBy("seed_pos").collect()] == expected
+    assert load_seeds(spark, str(tmp_path / "missing")).count() == load_seeds(spark, seeds=[]).count() == 50
+
+
 def test_batch_cases(spark):
     got = dedup(spark, ["Acme AI Solutions", "Acme AI Solution"], None)
     assert got["Acme AI Solutions"] == got["Acme AI Solution"]

@@ -9,7 +9,7 @@ def keep_first(df: DataFrame, keys: str | list[str], order: str | list[str], dro
     """The first row per key in the given order; rows with a null or empty key are dropped unless told otherwise.
 
     An aggregate, not a window: every task keeps one row per key before the shuffle, so a key that holds a third of
-    all rows costs no more than any other, and nothing is sorted.
+    all rows moves no more data than any other.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)

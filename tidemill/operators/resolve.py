@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions import fuzzy
 from tidemill.session import cut, is_small
@@ -307,9 +307,8 @@ def _leader_rounds(forms: DataFrame, threshold: int, scorer: str, max_rounds: in
 
     state = forms.select("pos", F.lit(_UNDECIDED).alias("status"))
     for _ in range(max_rounds):
-        undecided = Observation()
-        state = cut(advance(state).observe(undecided, F.count_if(F.col("status") == _UNDECIDED).alias("n")))
-        if not undecided.get["n"]:
+        state = cut(advance(state))
+        if state.filter(F.col("status") == _UNDECIDED).isEmpty():
             break
     else:
         raise RuntimeError(f"names still undecided after {max_rounds} rounds; raise max_rounds")

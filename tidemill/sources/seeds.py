@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import json
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 logger = logging.getLogger(__name__)
 
@@ -25,12 +25,16 @@ def load_seeds(spark: SparkSession, path: str | None = None, seeds: list[str] |
 
     A missing or broken file falls back to the defaults, as does an empty list; an empty list in a file does not.
     """
-    names = list(seeds) if seeds else list(DEFAULT_SEEDS)
     if path:
         try:
-            text = "\n".join(r.value for r in spark.read.text(path).collect())
-            names = json.loads(text)
-        except Exception as error:  # missing path or invalid JSON
-            logger.warning("seed file %s not usable (%s); using the defaults", path, error)
-            names = list(DEFAULT_SEEDS)
+            listed = spark.read.text(path, wholetext=True).select(F.from_json("value", "array<string>").alias("names"))
+            if not listed.filter("names is not null").isEmpty():
+                return listed.select(F.posexplode("names").alias("seed_pos", "seed")).select(
+                    F.col("seed_pos").cast("long").alias("seed_pos"), "seed"
+                )
+            logger.warning("seed file %s is no JSON array; using the defaults", path)
+        except AnalysisException as error:
+            logger.warning("seed file %s not readable (%s); using the defaults", path, error)
+        return load_seeds(spark)
+    names = list(seeds) if seeds else list(DEFAULT_SEEDS)
     return spark.createDataFrame(list(enumerate(names)), "seed_pos long, seed string")
