@@ -81,6 +81,41 @@ def _scored(pairs: DataFrame, scorer: str) -> DataFrame:
     return pairs.withColumn("score", scores("form", "ref_form"))
 
 
+def _may_match(a: Column, b: Column, threshold: int, scorer: str) -> Column:
+    """A native test every accepted pair passes, so that the join drops most other pairs itself.
+
+    Levenshtein distance never exceeds the count of insertions and deletions the ratios are made of, so each ratio above
+    its bound gives a bound on the distance.
+    """
+    if scorer == "levenshtein":
+        return fuzzy.levenshtein_score(a, b) >= threshold
+    bound = threshold - 0.5
+
+    def near(x: Column, y: Column, loss: float, extra: Column | float = 0) -> Column:
+        return F.levenshtein(x, y) <= (F.length(x) + F.length(y) + extra) * loss + 1e-6
+
+    def window(x: Column, y: Column) -> Column:
+        short, long = F.least(F.length(x), F.length(y)), F.greatest(F.length(x), F.length(y))
+        # Outside the window everything is lost, inside it little; a window cut off at an end is counted twice.
+        return F.levenshtein(x, y) <= long - short + short * (4 * (1 - bound / 90)) + 1e-6
+
+    if scorer == "ratio":
+        return near(a, b, 1 - bound / 100)
+    sorted_a, sorted_b = (F.array_sort(F.split(x, r"\s+")) for x in (a, b))
+    set_a, set_b = F.array_distinct(sorted_a), F.array_distinct(sorted_b)
+    join = lambda words: F.array_join(words, " ")
+    common = F.array_intersect(set_a, set_b)
+    only_a, only_b = join(F.array_except(set_a, common)), join(F.array_except(set_b, common))
+    shared, gap = F.length(join(common)), F.least(F.size(common), F.lit(1))
+    loss = 1 - bound / 95
+    rest = F.least(F.length(only_a), F.length(only_b))
+    by_set = (shared > 0) & ((rest == 0) | (rest + 1 <= (shared * 2 + rest + 1) * loss + 1e-6))
+    alike = near(a, b, 1 - bound / 100) | by_set | near(join(sorted_a), join(sorted_b), loss) | near(only_a, only_b, loss, (shared + gap) * 2)
+    inside = window(a, b) | window(join(sorted_a), join(sorted_b)) | window(join(set_a), join(set_b))
+    similar_length = F.greatest(F.length(a), F.length(b)) < F.least(F.length(a), F.length(b)) * 1.5
+    return F.when(similar_length, alike).otherwise(inside)
+
+
 def _salted(keyed: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split the rows of hot keys into salts and repeat their references once per salt.
 
@@ -97,7 +132,7 @@ def _salted(keyed: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str, earlier_only: bool = False) -> DataFrame:
     """All accepted pairs that share a key and are not linked by a token anyway.
 
-    Lengths and token links are tested inside the join, so only pairs that need a score leave it.
+    Lengths, token links and a distance bound are tested inside the join, so few pairs leave it that are not accepted.
     """
     if threshold < fuzzy.MIN_THRESHOLD:
         raise ValueError(f"thresholds below {fuzzy.MIN_THRESHOLD} need at most {SHIPPED_REFS} reference names")
@@ -110,6 +145,7 @@ def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str,
         wanted = wanted & ~_linked_by_token(F.col("form"), F.col("ref_form"))
     if earlier_only:
         wanted = wanted & (F.col("ref_pos") < F.col("pos"))
+    wanted = wanted & _may_match(F.col("form"), F.col("ref_form"), threshold, scorer)
 
     def meet(left_keys: Column, ref_keys: Column, test: Column) -> DataFrame:
         keyed_a, keyed_b = _salted(a.select("*", F.explode(left_keys).alias("key")), b.select("*", F.explode(ref_keys).alias("ref_key")))
