@@ -40,10 +40,19 @@ def _token_is_enough(scorer: str, threshold: int) -> bool:
     return scorer == "wratio" and round(fuzzy.TOKEN_SCORE) >= threshold
 
 
-def _linked_by_token(a: Column, b: Column) -> Column:
-    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    near = (long >= short * 1.5) & (long <= short * 8)
-    return near & F.arrays_overlap(fuzzy.tokens(a), fuzzy.tokens(b))
+def _prepared(forms: DataFrame, prefix: str = "") -> DataFrame:
+    """Forms with their sorted words, the words as a set and the sorted text: what every pair test needs, once per name."""
+    words = F.array_sort(F.split("form", " +"))
+    return forms.select("pos", "form", words.alias("words")).select(
+        F.col("pos").alias(f"{prefix}pos"), F.col("form").alias(f"{prefix}form"),
+        F.array_distinct("words").alias(f"{prefix}words"), F.array_join("words", " ").alias(f"{prefix}sorted"),
+    )
+
+
+def _linked_by_token() -> Column:
+    """One shared token between forms whose lengths differ by a factor of 1.5 to 8."""
+    short, long = (f(F.length("form"), F.length("ref_form")) for f in (F.least, F.greatest))
+    return (long >= short * 1.5) & (long <= short * 8) & F.arrays_overlap("words", "ref_words")
 
 
 def _shipped_matches(left: DataFrame, refs: DataFrame, threshold: int, scorer: str, best: bool) -> DataFrame:
@@ -81,12 +90,13 @@ def _scored(pairs: DataFrame, scorer: str) -> DataFrame:
     return pairs.withColumn("score", scores("form", "ref_form"))
 
 
-def _may_match(a: Column, b: Column, threshold: int, scorer: str) -> Column:
-    """A native test every accepted pair passes, so that the join drops most other pairs itself.
+def _may_match(threshold: int, scorer: str) -> Column:
+    """A native test on prepared forms that every accepted pair passes, so that the join drops most other pairs itself.
 
     Levenshtein distance never exceeds the count of insertions and deletions the ratios are made of, so each ratio above
     its bound gives a bound on the distance.
     """
+    a, b = F.col("form"), F.col("ref_form")
     if scorer == "levenshtein":
         return fuzzy.levenshtein_score(a, b) >= threshold
     bound = threshold - 0.5
@@ -101,8 +111,7 @@ def _may_match(a: Column, b: Column, threshold: int, scorer: str) -> Column:
 
     if scorer == "ratio":
         return near(a, b, 1 - bound / 100)
-    sorted_a, sorted_b = (F.array_sort(F.split(x, r"\s+")) for x in (a, b))
-    set_a, set_b = F.array_distinct(sorted_a), F.array_distinct(sorted_b)
+    sorted_a, sorted_b, set_a, set_b = (F.col(c) for c in ("sorted", "ref_sorted", "words", "ref_words"))
     join = lambda words: F.array_join(words, " ")
     common = F.array_intersect(set_a, set_b)
     only_a, only_b = join(F.array_except(set_a, common)), join(F.array_except(set_b, common))
@@ -110,8 +119,8 @@ def _may_match(a: Column, b: Column, threshold: int, scorer: str) -> Column:
     loss = 1 - bound / 95
     rest = F.least(F.length(only_a), F.length(only_b))
     by_set = (shared > 0) & ((rest == 0) | (rest + 1 <= (shared * 2 + rest + 1) * loss + 1e-6))
-    alike = near(a, b, 1 - bound / 100) | by_set | near(join(sorted_a), join(sorted_b), loss) | near(only_a, only_b, loss, (shared + gap) * 2)
-    inside = window(a, b) | window(join(sorted_a), join(sorted_b)) | window(join(set_a), join(set_b))
+    alike = near(a, b, 1 - bound / 100) | by_set | near(sorted_a, sorted_b, loss) | near(only_a, only_b, loss, (shared + gap) * 2)
+    inside = window(a, b) | window(sorted_a, sorted_b) | window(join(set_a), join(set_b))
     similar_length = F.greatest(F.length(a), F.length(b)) < F.least(F.length(a), F.length(b)) * 1.5
     return F.when(similar_length, alike).otherwise(inside)
 
@@ -137,15 +146,14 @@ def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str,
     if threshold < fuzzy.MIN_THRESHOLD:
         raise ValueError(f"thresholds below {fuzzy.MIN_THRESHOLD} need at most {SHIPPED_REFS} reference names")
     by_tokens = _token_is_enough(scorer, threshold)
-    a = left.select("pos", "form")
-    b = refs.select(F.col("pos").alias("ref_pos"), F.col("form").alias("ref_form"))
+    a, b = _prepared(left), _prepared(refs, "ref_")
     short, long = (f(F.length("form"), F.length("ref_form")) for f in (F.least, F.greatest))
     wanted = long <= short * 8
     if by_tokens:
-        wanted = wanted & ~_linked_by_token(F.col("form"), F.col("ref_form"))
+        wanted = wanted & ~_linked_by_token()
     if earlier_only:
         wanted = wanted & (F.col("ref_pos") < F.col("pos"))
-    wanted = wanted & _may_match(F.col("form"), F.col("ref_form"), threshold, scorer)
+    wanted = wanted & _may_match(threshold, scorer)
 
     def meet(left_keys: Column, ref_keys: Column, test: Column) -> DataFrame:
         keyed_a, keyed_b = _salted(a.select("*", F.explode(left_keys).alias("key")), b.select("*", F.explode(ref_keys).alias("ref_key")))
@@ -234,9 +242,8 @@ def _lifted_pairs(forms: DataFrame, refs: DataFrame) -> DataFrame:
     def asked(text: Column) -> Column:
         return F.when(F.length(text) <= 10, F.array(F.substring(text, 1, 5))).otherwise(runs(text, 5))
 
-    def keyed(df: DataFrame, key: Column, suffix: str = "") -> DataFrame:
-        named = df.select(F.col("pos").alias(f"{suffix}pos"), F.col("form").alias(f"{suffix}form"))
-        return named.select("*", F.explode(key).alias(f"{suffix}key"))
+    def keyed(df: DataFrame, key: Column, prefix: str = "") -> DataFrame:
+        return _prepared(df, prefix).select("*", F.explode(key).alias(f"{prefix}key"))
 
     form = F.col("form")
     ref_form = F.col("ref_form")
@@ -244,7 +251,7 @@ def _lifted_pairs(forms: DataFrame, refs: DataFrame) -> DataFrame:
         (keyed(forms, asked(form)), keyed(refs, offered(ref_form), "ref_"), F.length(form) < F.length(ref_form)),
         (keyed(forms, offered(form)), keyed(refs, asked(ref_form), "ref_"), F.length(form) > F.length(ref_form)),
     ]
-    linked = _linked_by_token(form, ref_form)
+    linked = _linked_by_token()
     pairs = [
         a.join(b, (F.col("key") == F.col("ref_key")) & order & linked).select("pos", "form", "ref_pos", "ref_form")
         for a, b, order in met
