@@ -2,6 +2,53 @@
 
 from __future__ import annotations
 
+_WORD = r"[^\x20\x09-\x0D]+"
+
+#: Targets by the closed form of the water level, and the sample by one running sum per source.
+MIX = rf"""
+with sized as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::bigint size from documents
+), base as (
+  select *, row_number() over (partition by doc_id, source, size) - 1 copy from sized
+), sources as (
+  select source, sum(size)::bigint source_size, row_number() over (order by source nulls last) - 1 rank from sized group by source
+), weighed as (
+  select *, case rank % 3 when 0 then 5 when 1 then 2 else 1 end weight from sources
+), filled as (
+  select *, sum(source_size) over w - source_size lower_words, sum(weight) over () - (sum(weight) over w - weight) higher_weight,
+         1.5::double * sum(source_size) over () total, row_number() over w n
+  from weighed window w as (order by source_size / weight::double, source rows unbounded preceding)
+), levels as (
+  select arg_min((total - 2.0::double * lower_words) / higher_weight, n) lvl
+  from filled where 2.0::double * source_size / weight >= (total - 2.0::double * lower_words) / higher_weight
+), targets as (
+  select source, source_size, least(2.0::double * source_size, lvl * weight) target from weighed, levels
+), rates as (
+  select *, case when source_size > 0 then target / source_size else 0 end ratio from targets
+), parts as (
+  select *, floor(ratio) whole, ratio - floor(ratio) f, target - floor(ratio) * source_size rest from rates
+), drawn as (
+  select b.*, p.source_size, p.target, p.whole, p.f, p.rest,
+         (('0x' || substr(md5('mix|' || coalesce(doc_id::varchar, '') || '|' || coalesce(b.source, '') || '|' || size || '|' || copy), 1, 13))::bigint::double + 0.5)
+           / 4503599627370496.0::double u
+  from base b join parts p on b.source is not distinct from p.source
+), odds as (
+  select *, case when f > 0 then (u / (1 - u)) / (f / (1 - f)) end o from drawn
+), ranks as (
+  select *, o / (1 + o) c from odds
+), ran as (
+  select *, f > 0 and sum(size) over (partition by source order by c, doc_id, copy rows unbounded preceding) <= rest taken from ranks
+), gaps as (
+  select source, any_value(rest) - coalesce(sum(size) filter (taken), 0) gap from ran where f > 0 group by source
+), closing as (
+  select r.source, r.doc_id, r.size, r.copy from ran r join gaps g on r.source is not distinct from g.source
+  where f > 0 and not taken and abs(gap - size) < gap
+  qualify row_number() over (partition by r.source order by abs(gap - size), c, r.doc_id, r.size, r.copy) = 1
+)
+select r.doc_id, r.size, r.source_size, r.target, (r.size * (r.whole + (r.taken or c.source is not null or c.size is not null)::int))::bigint taken
+from ran r left join closing c on r.source is not distinct from c.source and r.doc_id is not distinct from c.doc_id and r.size = c.size and r.copy = c.copy
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op10_mix_sources": MIX}
