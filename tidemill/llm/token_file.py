@@ -92,10 +92,10 @@ def _decoded(batches: Iterator[pa.RecordBatch], consume) -> Iterator[pa.RecordBa
 def _with_bases(blocks: DataFrame) -> DataFrame:
     """Blocks with ``start`` counted from the first document of the whole set."""
     ids = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
-    totals = blocks.select("shard", ids.alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))  # one row a shard
+    totals = blocks.select("shard", ids.alias("n")).groupBy("shard").agg(F.sum("n").alias("n"))  # one row a shard, so it can be broadcast
     before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     bases = totals.select("shard", F.coalesce(before, F.lit(0)).alias("base"))
-    return blocks.join(bases, "shard").withColumn("start", F.col("start") + F.col("base")).drop("base")
+    return blocks.join(F.broadcast(bases), "shard").withColumn("start", F.col("start") + F.col("base")).drop("base")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
