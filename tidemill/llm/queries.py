@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import packing, pareto, token_file
+from tidemill.llm import cws, packing, pareto, token_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.compare_edited(_table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto.mix(_table(spark, sf_dir, "documents"))
 
