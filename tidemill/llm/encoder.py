@@ -9,6 +9,7 @@ whole tokenizer.
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -123,3 +124,9 @@ class Encoder:
             return ids, offsets
         ids = np.insert(ids, offsets[1:], np.uint32(end_id))
         return ids, offsets + np.arange(len(offsets))
+
+
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of this worker process; tasks that run in it one after the other share what it remembers."""
+    return Encoder(path)

@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemill.llm.encoder import END_ID, Encoder, tokenizer_path
+from tidemill.llm.encoder import END_ID, shared_encoder, tokenizer_path
 from tidemill.llm.words import slices, text_column
 from tidemill.session import cut
 
@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, *, tokenizer: str | None = None, end_id: int | None
     tokenizer = tokenizer or tokenizer_path()
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         for batch in batches:
             for part in slices(batch):
                 ids, offsets = encoder.encode(text_column(part), end_id)

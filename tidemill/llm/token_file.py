@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemill.llm import simple8b
-from tidemill.llm.encoder import END_ID, Encoder, tokenizer_path
+from tidemill.llm.encoder import END_ID, shared_encoder, tokenizer_path
 from tidemill.llm.words import slices, text_column
 from tidemill.session import scratch_path
 
@@ -35,7 +35,7 @@ SCHEMA = "shard int, start long, doc_ids array<long>, lengths array<int>, words
 
 def _blocks(tokenizer: str, end_id: int | None, block_ids: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = Encoder(tokenizer), 0
+        encoder, start = shared_encoder(tokenizer), 0
         shard, doc_ids, lengths, parts, held = None, [], [], [], 0
 
         def block():
