@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import cws, linmax, packing, pareto, token_file
+from tidemill.llm import cws, linmax, packing, pareto, severity, token_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return severity.score(docs, severity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.encode_and_read(_table(spark, sf_dir, "documents"))
 
