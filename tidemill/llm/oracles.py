@@ -49,6 +49,31 @@ select r.doc_id, r.size, r.source_size, r.target, (r.size * (r.whole + (r.taken
 from ran r left join closing c on r.source is not distinct from c.source and r.doc_id is not distinct from c.doc_id and r.size = c.size and r.copy = c.copy
 """
 
+#: Links by counting shared shingles of all pairs; components by spreading the least id.
+NEAR_DEDUP = rf"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') w from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(w) >= 2 then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end) s from words
+), sizes as (
+  select doc_id, count(*) n from shingles group by doc_id
+), shared as (
+  select a.doc_id a, b.doc_id b, count(*) n from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+  select a, b from shared s join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * s.n >= 80 * (x.n + y.n - s.n)
+), both_ways as (
+  select a, b from links union select b, a from links
+), reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select r.doc_id, e.b from reach r join both_ways e on e.a = r.other
+), named as (
+  select doc_id, min(other) component_id from reach group by doc_id
+)
+select d.doc_id, coalesce(n, 0)::bigint n_shingles, component_id, d.doc_id = component_id kept
+from documents d join named using (doc_id) left join sizes using (doc_id)
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op10_mix_sources": MIX}
+    return {"op4_minhash_near_dedup": NEAR_DEDUP, "op10_mix_sources": MIX}

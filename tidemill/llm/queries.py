@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import cws, linmax, packing, pareto, severity, token_file
+from tidemill.llm import bottomk, cws, linmax, packing, pareto, severity, token_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return severity.score(docs, severity.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.encode_and_read(_table(spark, sf_dir, "documents"))
 
