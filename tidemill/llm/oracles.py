@@ -74,6 +74,27 @@ select d.doc_id, coalesce(n, 0)::bigint n_shingles, component_id, d.doc_id = com
 from documents d join named using (doc_id) left join sizes using (doc_id)
 """
 
+#: All pairs.
+NEAR_VECTORS = """
+with recursive vectors as (
+  select vec_id, embedding::double[] v from embeddings
+), usable as (
+  select vec_id, v from vectors
+  where len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(v, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id a, b.vec_id b from usable a join usable b on a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(vec_id, other) as (
+  select vec_id, vec_id from embeddings
+  union
+  select r.vec_id, l.b from reach r join links l on l.a = r.other
+), named as (
+  select vec_id, min(other) component_id from reach group by vec_id
+), counted as (
+  select a vec_id, count(*) n from links group by a
+)
+select n.vec_id, coalesce(c.n, 0)::bigint n_links, component_id, n.vec_id = component_id kept from named n left join counted c using (vec_id)
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op4_minhash_near_dedup": NEAR_DEDUP, "op10_mix_sources": MIX}
+    return {"op4_minhash_near_dedup": NEAR_DEDUP, "op8_embedding_near_dedup": NEAR_VECTORS, "op10_mix_sources": MIX}

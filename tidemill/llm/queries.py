@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import bottomk, cws, linmax, packing, pareto, severity, token_file
+from tidemill.llm import bottomk, crosspolytope, cws, linmax, packing, pareto, severity, token_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.compare_edited(_table(spark, sf_dir, "documents"))
 
