@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import bottomk, crosspolytope, cws, linmax, packing, pareto, severity, token_file
+from tidemill.llm import bottomk, crosspolytope, cws, linmax, packing, pareto, severity, surrogates, token_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return severity.score(docs, severity.fit(docs, _table(spark, sf_dir, "labels")))
