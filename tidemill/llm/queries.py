@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import bottomk, crosspolytope, cws, linmax, packing, pareto, severity, surrogates, token_file
+from tidemill.llm import bottomk, crosspolytope, cws, linmax, main_text, packing, pareto, severity, surrogates, token_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.fit(pages))
+
+
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
