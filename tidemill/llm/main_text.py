@@ -18,7 +18,6 @@ text; repeated rows are treated each; an empty table gives no rows; other column
 from __future__ import annotations
 
 import random
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,7 +32,7 @@ from tidemill.llm.dom import Page
 FIT_PAGES = 160
 FIT_CHARS = 100_000
 LAYOUTS = 4
-_MARKS = re.compile(r"[.,;:!?]")
+_MARKS, _DIGITS = ".,;:!?", "0123456789"
 
 FEATURES = (
     "leaf", "tag", "tokens", "least_above", "most_above", "parent_odds", "depth", "letters", "link_share", "elements", "density", "leaf_letters",
@@ -48,64 +47,76 @@ class Model:
     forest: trees.Forest
 
 
-def describe(page: Page, tags: dict[str, float], tokens: dict[str, float]) -> np.ndarray:
-    """One row of ``FEATURES`` per node."""
-    n = len(page.tag)
-    parent = page.parent
-    own = [len(t) for t in page.text]
-    letters, links, elements, leaves, controls, anchors, height = list(own), list(page.links), [1] * n, [int(bool(t)) for t in page.text], list(page.controls), list(page.anchors), [0] * n
+def describe(pages: list[Page], tags: dict[str, float], tokens: dict[str, float]) -> np.ndarray:
+    """One row of ``FEATURES`` per node of all pages, one page after the other."""
+    parent: list[int] = []
+    roots: list[int] = []
+    for page in pages:
+        first = len(parent)
+        parent += [p + first if p >= 0 else -1 for p in page.parent]
+        roots += [first] * len(page.parent)
+    tag = [t for page in pages for t in page.tag]
+    text = [t for page in pages for t in page.text]
+    n = len(tag)
+    own = [len(t) for t in text]
+    words = [t.count(" ") + 1 if t else 0 for t in text]
+    marks = [sum(map(t.count, _MARKS)) if t else 0 for t in text]
+    digits = [sum(map(t.count, _DIGITS)) if t else 0 for t in text]
+    letters, elements, leaves, height = list(own), [1] * n, [int(bool(t)) for t in text], [0] * n
+    links, controls, anchors, children = ([v for page in pages for v in getattr(page, name)] for name in ("links", "controls", "anchors", "children"))
     for i in range(n - 1, 0, -1):
         p = parent[i]
+        if p < 0:
+            continue
         letters[p] += letters[i]
         links[p] += links[i]
         elements[p] += elements[i]
         leaves[p] += leaves[i]
         controls[p] += controls[i]
         anchors[p] += anchors[i]
-        height[p] = max(height[p], height[i] + 1)
-    tag_odds = [tags.get(t, 0.0) for t in page.tag]
-    token_odds = [sum(sorted((tokens.get(t, 0.0) for t in ts), key=abs)[-2:]) for ts in page.tokens]
+        marks[p] += marks[i]
+        words[p] += words[i]
+        digits[p] += digits[i]
+        if height[p] <= height[i]:
+            height[p] = height[i] + 1
+    known, named = tags.get, tokens.get
+    tag_odds = [known(t, 0.0) for t in tag]
+    token_odds = [sum(sorted((named(t, 0.0) for t in ts), key=abs)[-2:]) if ts else 0.0 for page in pages for ts in page.tokens]
     depth, least, most, start, seen = [0] * n, [0.0] * n, [0.0] * n, [0] * n, 0
-    nth, before, after, last, alike = [0] * n, [0] * n, [0] * n, {}, [0] * n
+    nth, before, after, last, alike = [0] * n, [0] * n, [0] * n, [-1] * n, [0] * n
     kinds: dict[tuple[int, str], int] = defaultdict(int)
-    for i in range(n):
-        p = parent[i]
-        start[i] = seen
-        seen += own[i]
+    for i, p in enumerate(parent):
         if p < 0:
+            seen = own[i]
             continue
+        start[i] = seen
+        seen += own[i]
         depth[i] = depth[p] + 1
         both = tag_odds[p] + token_odds[p]
         least[i], most[i] = min(least[p], both), max(most[p], both)
-        kinds[p, page.tag[i]] += 1
-        if p in last:
-            nth[i] = nth[last[p]] + 1
-            before[i] = letters[last[p]]
-            after[last[p]] = letters[i]
+        kinds[p, tag[i]] += 1
+        if (sibling := last[p]) >= 0:
+            nth[i] = nth[sibling] + 1
+            before[i] = letters[sibling]
+            after[sibling] = letters[i]
         last[p] = i
-    for i in range(1, n):
-        alike[i] = kinds[parent[i], page.tag[i]]
-    marks = [len(_MARKS.findall(t)) if t else 0 for t in page.text]
-    digits = [sum(map(str.isdigit, t[:400])) if t else 0 for t in page.text]
-    words = [t.count(" ") + 1 if t else 0 for t in page.text]
-    for i in range(n - 1, 0, -1):
-        marks[parent[i]] += marks[i]
-        digits[parent[i]] += digits[i]
-        words[parent[i]] += words[i]
-    up = np.maximum(np.array(parent), 0)
-    a = {k: np.array(v, np.float64) for k, v in dict(letters=letters, links=links, elements=elements, leaves=leaves, marks=marks, digits=digits, words=words, controls=controls, anchors=anchors).items()}
-    count = np.array(page.children, np.float64)
-    size = np.maximum(a["letters"], 1)
-    tag, token = np.array(tag_odds), np.array(token_odds)
+    alike = [kinds[p, t] if p >= 0 else 0 for p, t in zip(parent, tag)]
+    up = np.array([p if p >= 0 else i for i, p in enumerate(parent)])
+    letters, links, elements, leaves, marks, digits, words, anchors, count, tag_odds, token_odds = (
+        np.array(v, np.float64) for v in (letters, links, elements, leaves, marks, digits, words, anchors, children, tag_odds, token_odds)
+    )
+    size = np.maximum(letters, 1)
+    whole = size[np.array(roots)]
+    siblings = count[up]
     return np.stack(
         [
-            np.array(own) > 0, tag, token, least, most, (tag + token)[up], depth, np.log1p(a["letters"]), np.minimum(a["links"] / size, 1), np.log(a["elements"]),
-            np.log1p(a["letters"] / a["elements"]), np.log1p(a["letters"] / np.maximum(a["leaves"], 1)), a["letters"] / size[0], np.log1p(count[up]), a["letters"] / size[up],
-            np.array(nth) / np.maximum(count[up], 1), np.log1p(before), np.log1p(after), a["marks"] / np.maximum(a["words"], 1), np.minimum(a["digits"] / size, 1), np.array(start) / size[0],
-            np.log1p(a["controls"]), a["anchors"] / np.maximum(a["words"], 1), height, np.log1p(alike),
+            np.array(own) > 0, tag_odds, token_odds, least, most, (tag_odds + token_odds)[up], depth, np.log1p(letters), np.minimum(links / size, 1), np.log(elements),
+            np.log1p(letters / elements), np.log1p(letters / np.maximum(leaves, 1)), letters / whole, np.log1p(siblings), letters / size[up],
+            np.array(nth) / np.maximum(siblings, 1), np.log1p(before), np.log1p(after), marks / np.maximum(words, 1), digits / size, np.array(start) / whole,
+            np.log1p(controls), anchors / np.maximum(words, 1), height, np.log1p(alike),
         ],
         axis=1,
-    ).astype(np.float64)
+    )
 
 
 def decode(page: Page, odds: np.ndarray) -> list[bool]:
@@ -330,9 +341,10 @@ def fit_pages(htmls: list[str]) -> Model | None:
                 counts["token"][token][yes] += 1
     tags = {t: float(np.log((y + 1) / (n + 1))) for t, (n, y) in counts["tag"].items()}
     tokens = {t: float(np.log((y + 1) / (n + 1))) for t, (n, y) in counts["token"].items() if n + y >= 3}
-    x = np.concatenate([describe(page, tags, tokens)[1:] for page, _ in examples])
-    y = np.concatenate([np.array(label[1:], np.float64) for _, label in examples])
-    return Model(tags, tokens, trees.fit(x, y))
+    x = describe([page for page, _ in examples], tags, tokens)
+    y = np.concatenate([np.array(label, np.float64) for _, label in examples])
+    below = np.concatenate([np.arange(len(label)) > 0 for _, label in examples])  # the page itself is never dropped
+    return Model(tags, tokens, trees.fit(x[below], y[below]))
 
 
 def fit(pages: DataFrame, *, sample: int = FIT_PAGES, chars: int = FIT_CHARS) -> Model | None:
@@ -344,7 +356,7 @@ def fit(pages: DataFrame, *, sample: int = FIT_PAGES, chars: int = FIT_CHARS) ->
 
 def extract_one(html: str, model: Model) -> str:
     page = Page(html)
-    return _text_of(page, decode(page, model.forest.log_odds(describe(page, model.tags, model.tokens))))
+    return _text_of(page, decode(page, model.forest.log_odds(describe([page], model.tags, model.tokens))))
 
 
 def extract(pages: DataFrame, model: Model | None) -> DataFrame:
@@ -354,7 +366,7 @@ def extract(pages: DataFrame, model: Model | None) -> DataFrame:
         read = [Page(h or "") for h in htmls]
         if model is None:
             return ["" for _ in read]
-        odds = model.forest.log_odds(np.concatenate([describe(p, model.tags, model.tokens) for p in read]))
+        odds = model.forest.log_odds(describe(read, model.tags, model.tokens))
         ends = np.cumsum([len(p.tag) for p in read])
         return [_text_of(p, decode(p, odds[e - len(p.tag):e])) for p, e in zip(read, ends.tolist())]
 
