@@ -85,12 +85,16 @@ def _hashed(tables: int, joined: int):
                     vectors = np.array(part.column(2).to_pylist(), np.float64)
                     found = buckets(vectors, tables, joined)
                     n, probes = len(vectors), joined + 1
-                    row = pa.array(np.repeat(np.arange(n), tables * probes))
-                    code = found.reshape(-1)
-                    table = np.tile(np.repeat(np.arange(tables), probes), n)
+                    own = np.ones(found.shape, bool)
+                    own[:, :, 1:] = found[:, :, 1:] != found[:, :, :1]  # in one dimension there is no second axis
+                    own = own.reshape(-1)
+                    row = pa.array(np.repeat(np.arange(n), tables * probes)[own])
+                    code = found.reshape(-1)[own]
+                    table = np.tile(np.repeat(np.arange(tables), probes), n)[own]
+                    home = (np.tile(np.arange(probes), n * tables) == 0)[own]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.tile(np.arange(probes), n * tables) == 0), pa.array(table, pa.int32()), pa.array(code),
+                            pa.array(home), pa.array(table, pa.int32()), pa.array(code),
                             part.column(3).take(row), part.column(0).take(row), part.column(1).take(row),
                             pa.array([v.tobytes() for v in vectors], pa.binary()).take(row), pa.array([f.tobytes() for f in found], pa.binary()).take(row),
                         ],
