@@ -1,0 +1,250 @@
+"""Operators 1, 2 and 3."""
+
+import random
+import re
+from collections import defaultdict
+from html import unescape
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.llm.helpers import SF_DIR
+from tidemill.llm import main_text, severity, surrogates, trees
+from tidemill.llm.dom import Page
+
+
+# --- main text ---------------------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def htmls(spark):
+    return [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").select("html").collect()]
+
+
+@pytest.fixture(scope="module")
+def model(htmls):
+    return main_text.fit_pages(htmls[:100])
+
+
+def _article(html):
+    body = re.sub(r"<[^>]*$", "", html.split("<article>")[1].split("</article>")[0])
+    blocks = (" ".join(unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", body))
+    return "\n".join(b for b in blocks if b)
+
+
+def test_held_out_pages(htmls, model):
+    assert [main_text.extract_one(h, model) for h in htmls[100:]] == [_article(h) for h in htmls[100:]]
+
+
+def test_held_out_layouts(htmls, model):
+    right = wrong = missed = 0
+    for page, main in list(main_text._examples(htmls[100:160], seed=77))[60:]:
+        keep = main_text.decode(page, model.forest.log_odds(main_text.describe([page], model.tags, model.tokens)))
+        got = [bool(k and t) for k, t in zip(keep, page.text)]
+        right += sum(a and b for a, b in zip(got, main))
+        wrong += sum(a and not b for a, b in zip(got, main))
+        missed += sum(b and not a for a, b in zip(got, main))
+    assert right / (right + wrong) > 0.97 and right / (right + missed) > 0.97
+
+
+def test_decoding_is_consistent_and_best():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        page = Page("")
+        for i in range(int(rng.integers(1, 9))):
+            page._add("div", int(rng.integers(0, i + 1)), ())
+        n = len(page.tag)
+        odds = rng.normal(size=n) * 2
+        keep = main_text.decode(page, odds)
+        assert all(keep[page.parent[i]] or not keep[i] for i in range(1, n))
+
+        def score(labels):
+            return sum(-np.logaddexp(0, -odds[i]) if labels[i] else -np.logaddexp(0, odds[i]) for i in range(1, n))
+
+        every = ([True, *(bool(bits >> i & 1) for i in range(n - 1))] for bits in range(2 ** (n - 1)))
+        assert score(keep) >= max(score(x) for x in every if all(x[page.parent[i]] or not x[i] for i in range(1, n))) - 1e-9
+
+
+@pytest.mark.parametrize(
+    "html, texts",
+    [
+        ("", []), ("plain &amp; simple", ["plain & simple"]), ("<p>a<p>b</p>c<br>d", ["a", "b", "c d"]), ("<script>var x='<p>'</script>y<style>p{}</style>", ["y"]),
+        ("<div title='a>b' class=\"x\">t</div", ["t"]), ("<ul><li>1<li>2<ul><li>3</ul><li>4</ul>5", ["1", "2", "3", "4", "5"]), ("<b>x <i>y</b> z", ["x y z"]),
+        ("<table><tr><td>1<td>2<tr><td>3</table>", ["1", "2", "3"]), ("<!-- <p>no</p> -->ok<!-- open", ["ok"]), ("</div></p>x  \n y", ["x y"]), ("a<script>never ends", ["a"]),
+        ("<head><title>T</title></head><body>b", ["b"]), ("<title>T</title>b", ["b"]), ("1 < 2 <3 a", ["1 < 2 <3 a"]), ("&#1;&#x41;&bogus;", ["A&bogus;"]),
+    ],
+)
+def test_reading(html, texts):
+    assert [t for t in Page(html).text if t] == texts
+
+
+def test_extract(spark, htmls, model):
+    rows = [(1, "u", htmls[0], "x"), (1, "u", htmls[0], "x"), (2, None, None, "x"), (None, "v", "", "x"), (4, "w", "<article><p>" + "long words here. " * 50_000, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = [tuple(r) for r in main_text.extract(pages, model).collect()]
+    first = _article(htmls[0])
+    assert got[:2] == [(1, "u", first, len(first))] * 2 and got[2:4] == [(2, None, "", 0), (None, "v", "", 0)]
+    assert got[4][3] == len(("long words here. " * 50_000).strip())
+    assert main_text.fit(pages.limit(0)) is None and main_text.extract(pages, None).select("n_chars").distinct().collect() == [(0,)]
+    assert main_text.extract(pages.limit(0), model).count() == 0
+
+
+def test_trees_learn_interactions():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 4))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
+    forest = trees.fit(x[:2000], y[:2000])
+    assert ((forest.log_odds(x[2000:]) > 0) == y[2000:]).mean() > 0.97
+
+
+# --- severity ----------------------------------------------------------------------------------------------------------------
+
+
+def _table(texts, toxic):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(toxic, pa.int32()), pa.array(texts)], names=["doc_id", "toxic", "text"])
+    return pa.Table.from_batches(list(severity._features(iter([batch]))))
+
+
+def _labelled(seed, n=900):
+    """Toxic texts hold one to six words that begin with a bad stem; the more there are, the worse."""
+    rng = random.Random(seed)
+    common = [f"{a}{b}{c}" for a in ("lo", "mi", "ta", "ren") for b in ("ka", "su", "ve", "no") for c in ("s", "n", "", "lim")]
+    texts, toxic, worse = [], [], []
+    for _ in range(n):
+        k = rng.choice((0, 0, 1, 2, 4, 6))
+        w = rng.choices(common, k=rng.randint(20, 60)) + [rng.choice(("grumf", "bazzel")) + rng.choice(("", "er", "ig", "o")) for _ in range(k)]
+        rng.shuffle(w)
+        texts.append(" ".join(w))
+        toxic.append(int(k > 0))
+        worse.append(k)
+    return texts, toxic, worse
+
+
+def test_held_out_severity():
+    model = severity.fit_table(_table(*_labelled(1)[:2]))
+    assert (np.diff(model.thresholds) > 0).all()
+    texts, toxic, worse = _labelled(2)
+    above = model.probabilities(severity._scores(model, pa.array(texts)))
+    assert ((above[:, 0] >= 0.5) == np.array(toxic, bool)).mean() > 0.97
+    expected, worse = above.sum(axis=1), np.array(worse)
+    means = [expected[worse == k].mean() for k in (0, 1, 2, 4, 6)]
+    assert means == sorted(means) and means[-1] - means[1] > 0.8
+
+
+def test_copies_share_their_weight():
+    """Half of the toxic labels are on copies of one harmless text; its words must not become signs of toxicity."""
+    texts, toxic, _ = _labelled(3)
+    odd = " ".join(f"harmless{i}" for i in range(60))
+    model = severity.fit_table(_table(texts + [odd + f" {i}" for i in range(400)], toxic + [1] * 400))
+    assert any(w.startswith("grumf") for w in model.words) and not any(w.startswith("harmless") for w in model.words)
+
+
+def test_severity_of_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = severity.fit(docs, labels)
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    got = {r.doc_id: r for r in severity.score(docs, model).collect()}
+    clean = [got[i] for i, t in truth.items() if not t and i in got]
+    assert np.mean([r.toxic for r in clean]) < 0.01 and all(0 <= r.severity <= severity.GRADES for r in got.values())
+    assert np.mean([got[i].toxic for i, t in truth.items() if t and i in got]) > 0.7
+    kept = severity.keep_clean(docs, model)
+    assert kept.schema == docs.schema and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.toxic}
+
+
+def test_severity_of_odd_rows(spark):
+    texts, toxic, _ = _labelled(4, 300)
+    labels = spark.createDataFrame([(i, t) for i, t in enumerate(toxic)] + [(None, 1), (5000, None)], "doc_id long, toxic int")
+    rows = [(i, t, 1, "x") for i, t in enumerate(texts)] + [(5000, None, 1, "x"), (None, "", 1, "x"), (0, texts[0], 1, "x"), (5001, "grumfer " * 60_000, 1, "x"), (5002, "lokas " * 60_000 + "grumfer", 1, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int, grade string")
+    model = severity.fit(docs, labels)
+    got = severity.score(docs, model).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[5000].severity == by_id[None].severity and not by_id[5000].toxic and by_id[5001].toxic and not by_id[5002].toxic
+    for only, called in ((0, False), (1, True)):
+        model = severity.fit(docs, labels.withColumn("toxic", labels.toxic * 0 + only))
+        assert {r.toxic for r in severity.score(docs, model).collect()} == {called}
+    assert severity.score(docs.limit(0), severity.fit(docs.limit(0), labels)).count() == 0
+
+
+# --- surrogates --------------------------------------------------------------------------------------------------------------
+
+#: The same patterns for Python's engine.
+EMAIL = re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63}){1,5}", re.A)
+PHONE = re.compile(r"\+\d+ \(\d{3}\) \d{3}-\d{4}(?!\d)")
+IP = re.compile(r"(?<![\w.+-])\d{1,3}(?:\.\d{1,3}){3}(?![\w.]*\d)", re.A)
+CARD = re.compile(r"(?<![\w.+-])\d{13,19}(?!\d)", re.A)
+SECRET = re.compile(r"((?:password|token)\s{0,3}=\s{0,3}\"?)([A-Za-z0-9/+_-]{8,120})")
+
+
+def _luhn(digits):
+    return sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_documents_keep_everything_else(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before = {r.doc_id: r for r in docs.collect()}
+    after = {r.doc_id: r for r in surrogates.pseudonymise(docs).collect()}
+    assert before.keys() == after.keys()
+    became, kinds = defaultdict(set), (EMAIL, PHONE, IP, CARD)
+    for doc_id, old in before.items():
+        new = after[doc_id]
+        assert (new.lang, new.source, new.n_chars) == (old.lang, old.source, len(new.text))
+        for pattern in kinds:
+            was, now = pattern.findall(old.text), pattern.findall(new.text)
+            assert len(was) == len(now)
+            for a, b in zip(was, now):
+                became[a].add(b)
+        for a, b in zip(SECRET.findall(old.text), SECRET.findall(new.text)):
+            assert a[0] == b[0] and len(a[1]) == len(b[1]) and a[1] != b[1]
+            became[a[1]].add(b[1])
+        strip = re.compile("|".join(p.pattern for p in (SECRET, *kinds)), re.A)
+        assert strip.sub("", old.text) == strip.sub("", new.text)
+    assert len(became) > 40 and all(len(b) == 1 for b in became.values())
+    values = [next(iter(b)) for b in became.values()]
+    assert len(set(values)) == len(values) and not set(values) & set(became)
+
+
+CASES = [
+    "Mail John.Smith@Mail.Example.com or john.smith@mail.example.com, jane@mail.example.com.",
+    "Call +1 (586) 555-8430 or +1 586-555-8430; +44 20 7946 0958; 586-555-0000.",
+    "Cards 4111 1111 1111 1111, 4111111111111111, 4111111111111112.",
+    "Mrs. Anna Maria Schmidt met Mr Iwan PETROV and Frau Anna Maria Schmidt; Госпожа Иванова Мария, Κυρία Ελένη Παππά.",
+    "From 10.0.0.1 and 10.0.0.2 (10.0.0.1); DE89370400440532013000; 123-45-6789.",
+    'token = "0641917ea4e9feb9cda83477b57ac2654884f485" password=Abc-12345xyz', "Version 2.0: a=b 12:30 1.2.3", "", None,
+]
+
+
+def test_formats(spark):
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(CASES)] + [(0, CASES[0], "x", "y")], "doc_id long, text string, kind string, h1 string")
+    out = surrogates.pseudonymise(docs)
+    assert out.columns == ["doc_id", "text", "kind", "h1", "n_entities"]
+    rows = out.collect()
+    got = {r.doc_id: r.text for r in rows}
+    assert len(rows) == len(CASES) + 1 and len({r.text for r in rows if r.doc_id == 0}) == 1
+    first, second, third = (x.rstrip(",.") for x in re.findall(r"\S+@\S+", got[0]))
+    assert first.lower() == second and first[0].isupper() and third != second and third.split("@")[1] == second.split("@")[1] and ".example." in second
+    a, b, c, d = re.findall(r"\+?\d[\d ()-]{8,}\d", got[1])
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", a) and re.sub(r"\D", "", a) == re.sub(r"\D", "", b) and c.startswith("+44 ") and re.fullmatch(r"\d{3}-\d{3}-\d{4}", d)
+    x, y, z = re.findall(r"\d(?:[\d ]{14,17})\d", got[2])
+    assert x.replace(" ", "") == y != z and x[4] == " " and y[0] == "4" and _luhn(y)
+    names = re.match(r"Mrs\. (\w+ \w+ \w+) met Mr (\w+ [A-Z]\w+) and Frau (\w+ \w+ \w+); Госпожа (\w+ \w+), Κυρία (\w+ \w+)\.$", got[3])
+    assert names[1] == names[3] != "Anna Maria Schmidt" and names[1].split()[0].lower() in surrogates.GIVEN["latin"]["f"].split()
+    assert names[2].split()[0].lower() in surrogates.GIVEN["latin"]["m"].split() and names[4].split()[0].lower() in surrogates.GIVEN["cyrillic"]["f"].split()
+    assert names[5].split()[0].lower() in surrogates.GIVEN["greek"]["f"].split()
+    ips = re.findall(r"\d+\.\d+\.\d+\.\d+", got[4])
+    assert ips[0] == ips[2] != ips[1] and all(240 <= int(i.split(".")[0]) < 256 for i in ips) and re.search(r"DE\d{20}; \d{3}-\d{2}-\d{4}\.", got[4])
+    assert re.fullmatch(r'token = "[0-9a-f]{40}" password=[A-Z][a-z]{2}-\d{5}[a-z]{3}', got[5]) and got[5] != CASES[5]
+    assert (got[6], got[7], got[8]) == (CASES[6], "", None)
+    assert surrogates.pseudonymise(docs.limit(0)).count() == 0
+    other = {r.doc_id: r.text for r in surrogates.pseudonymise(docs, key="another").collect()}
+    assert all(other[i] != got[i] for i in range(6)) and other[6] == got[6]
+
+
+def test_collisions_are_drawn_again(spark):
+    """More entities than a tight format has room for: all 1000 numbers of a form whose surrogates collide often."""
+    rows = [("ssn", f"{i:03d}", "") for i in range(400)]
+    got = surrogates.assign(spark.createDataFrame(rows, "kind string, normal string, gender string")).collect()
+    assert len({r.normal for r in got}) == 400 == len({r.surrogate for r in got})
+    assert not {r.surrogate for r in got} & {r[1] for r in rows}

@@ -246,7 +246,7 @@ def pseudonymise(docs: DataFrame, *, key: str = KEY) -> DataFrame:
     names = [F.col(f"`{c}`") for c in docs.columns]
     plain = docs.filter(~hinted).select(*names, F.lit(0).alias("n_entities"))
     some = docs.filter(hinted).withColumns({"_h1": _identity()[0], "_h2": _identity()[1]})
-    joined = some.join(per_text, (F.col("_h1") == per_text["h1"]) & (F.col("_h2") == per_text["h2"]), "left")
+    joined = some.join(per_text.toDF("_k1", "_k2", "_new"), (F.col("_h1") == F.col("_k1")) & (F.col("_h2") == F.col("_k2")), "left")
     between = F.split("text", ENTITY, -1)
     text = F.array_join(F.flatten(F.zip_with(between, F.col("_new"), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     replaced = F.when(F.col("_new").isNull(), F.col("text")).otherwise(text)
