@@ -5,7 +5,7 @@ from __future__ import annotations
 _WORD = r"[^\x20\x09-\x0D]+"
 
 #: Targets by the closed form of the water level, and the sample by one running sum per source.
-MIX = rf"""
+_SAMPLED = rf"""
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::bigint size from documents
 ), base as (
@@ -38,14 +38,29 @@ with sized as (
   select *, o / (1 + o) c from odds
 ), ran as (
   select *, f > 0 and sum(size) over (partition by source order by c, doc_id, copy rows unbounded preceding) <= rest taken from ranks
-), gaps as (
+), gap0 as (
   select source, any_value(rest) - coalesce(sum(size) filter (taken), 0) gap from ran where f > 0 group by source
-), closing as (
-  select r.source, r.doc_id, r.size, r.copy from ran r join gaps g on r.source is not distinct from g.source
-  where f > 0 and not taken and abs(gap - size) < gap
-  qualify row_number() over (partition by r.source order by abs(gap - size), c, r.doc_id, r.size, r.copy) = 1
+), free0 as (
+  select * from ran where f > 0 and not taken
+)"""
+
+#: One document more per source, the nearest to what is left, if it brings the total nearer.
+_CLOSE = """, close{n} as (
+  select r.source, r.doc_id, r.size, r.copy, g.gap - r.size gap from free{m} r join gap{m} g on r.source is not distinct from g.source
+  where abs(g.gap - r.size) < g.gap
+  qualify row_number() over (partition by r.source order by abs(g.gap - r.size), c, r.doc_id, r.size, r.copy) = 1
+), gap{n} as (
+  select source, gap from close{n}
+), free{n} as (
+  select * from free{m} r
+  where not exists (select 1 from close{n} k where k.source is not distinct from r.source and k.doc_id is not distinct from r.doc_id and k.size = r.size and k.copy = r.copy)
+)"""
+
+MIX = _SAMPLED + "".join(_CLOSE.format(n=n, m=n - 1) for n in range(1, 5)) + """, closing as (
+  select source, doc_id, size, copy from close1 union all select source, doc_id, size, copy from close2
+  union all select source, doc_id, size, copy from close3 union all select source, doc_id, size, copy from close4
 )
-select r.doc_id, r.size, r.source_size, r.target, (r.size * (r.whole + (r.taken or c.source is not null or c.size is not null)::int))::bigint taken
+select r.doc_id, r.size, r.source_size, r.target, (r.size * (r.whole + (r.taken or c.size is not null)::int))::bigint taken
 from ran r left join closing c on r.source is not distinct from c.source and r.doc_id is not distinct from c.doc_id and r.size = c.size and r.copy = c.copy
 """
 

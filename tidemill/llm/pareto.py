@@ -6,8 +6,8 @@ all words; a source's target stops at ``most`` times its words, and the excess i
 A source whose target is ``r`` times its words takes every document ``floor(r)`` times (certain whole copies). For the rest, ``f =
 r - floor(r)`` of its words, documents are ranked by random odds divided by inclusion odds, ``u / (1 - u)`` over ``f / (1 - f)``
 (times ``importance``, when a column gives one), and taken from the lowest rank on until the next one would pass the target in words. That
-fixes the size of the sample in words; one more document, the one that comes nearest to what is left, closes it when that brings the
-total nearer. The random number is a keyed hash of the row, so reruns agree.
+fixes the size of the sample in words; at most ``CLOSING`` more documents, each the one that comes nearest to what is left, close it as long as
+that brings the total nearer. The random number is a keyed hash of the row, so reruns agree.
 
 No source is sorted as a whole: ranks are summed up in 4096 ranges, the range with the end of the sample in 4096 again, and only rows of that
 small range are put in order.
@@ -26,6 +26,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
+CLOSING = 4
 SEED = "mix"
 
 
@@ -120,15 +121,20 @@ def plan(base: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float =
     taken = (F.col("f") > 0) & (
         F.coalesce(fine < F.col("fine_end"), F.lit(False)) | ((fine == F.col("fine_end")) & F.coalesce(order <= F.col("end"), F.lit(False)))
     )
-    marked = rows.join(ended, "sid", "left").withColumn("taken", F.coalesce(taken, F.lit(False)))
-    gap = F.col("want") - F.col("have")
-    closing = (
-        marked.filter("f > 0 and not taken").groupBy("sid")
-        .agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("off"), "c", "doc_id", "size", "copy")).alias("m"), F.first(gap).alias("gap"))
-        .filter("m.off < gap").select("sid", F.struct("m.c", "m.doc_id", "m.size", "m.copy").alias("close"))
-    )
-    chosen = marked.join(closing, "sid", "left").withColumn("taken", F.col("taken") | F.coalesce(order.eqNullSafe(F.col("close")) & F.col("close").isNotNull(), F.lit(False)))
-    return chosen.select("uid", "doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.col("taken").cast("int")).cast("int").alias("times"))
+    marked = cut(rows.join(ended, "sid", "left").withColumn("taken", F.coalesce(taken, F.lit(False))))
+
+    gaps = ended.select("sid", (F.col("want") - F.col("have")).alias("gap"))
+    left, closed = marked.filter("f > 0 and not taken"), None
+    for _ in range(CLOSING):
+        free = left if closed is None else left.join(closed.select("uid"), "uid", "left_anti")
+        nearest = F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "c", "doc_id", "size", "copy", "uid")).alias("m")
+        more = cut(free.join(gaps, "sid").groupBy("sid").agg(nearest, F.first("gap").alias("gap")).filter("m.off < gap"))
+        closed_now = more.select("m.uid", "sid", "m.size")
+        closed = closed_now if closed is None else closed.unionByName(closed_now)
+        gaps = more.select("sid", (F.col("gap") - F.col("m.size")).alias("gap"))
+    chosen = marked.join(closed.select("uid", F.lit(True).alias("closing")), "uid", "left")
+    times = F.col("whole") + (F.col("taken") | F.coalesce("closing", F.lit(False))).cast("int")
+    return chosen.select("uid", "doc_id", "source", "size", "source_size", "target", times.cast("int").alias("times"))
 
 
 def _base(docs: DataFrame, importance: str | None) -> DataFrame:
