@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 from workload import check
+from workload.oracles import oracles
+from workload.queries import queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not present")
@@ -16,18 +18,19 @@ def database():
     return check.database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracles()))
 def test_equals_sql(spark, database, name):
-    assert check.differences(spark, database, name, SF_DIR) == []
+    assert check.differences(spark, database, queries()[name], oracles()[name], SF_DIR) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - set(entry_point.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracles())))
 def test_gives_rows(spark, name):
-    assert entry_point.queries()[name](spark, SF_DIR).count() > 0
+    assert queries()[name](spark, SF_DIR).count() > 0
 
 
 def test_every_oracle_has_a_query():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+    assert set(queries()) <= set(entry_point.queries())
 
 
 def test_entry(spark):

@@ -37,13 +37,13 @@ def _plain(value):
     return value
 
 
-def differences(spark, con, name: str, sf_dir: str) -> list[str]:
+def differences(spark, con, query, sql: str, sf_dir: str) -> list[str]:
     """What differs between a query and its SQL; empty when nothing does."""
-    df = queries()[name](spark, sf_dir)
+    df = query(spark, sf_dir)
     got_types = {c: _TYPES.get(t, t) for c, t in df.dtypes}
     names = sorted(df.columns)
     got = collections.Counter(tuple(_plain(r[c]) for c in names) for r in df.collect())
-    relation = con.sql(oracles()[name])
+    relation = con.sql(sql)
     want_types = dict(zip(relation.columns, map(str, relation.types)))
     if got_types != want_types:
         return [f"columns differ: {sorted(set(got_types.items()) ^ set(want_types.items()))}"]
@@ -65,7 +65,7 @@ def main(sf_dir: str, only: list[str]) -> int:
     for name in only or [q for q in queries() if q in oracles()]:
         started = time.time()
         try:
-            problems = differences(spark, con, name, sf_dir)
+            problems = differences(spark, con, queries()[name], oracles()[name], sf_dir)
         except Exception as error:
             problems = [str(error)[:1200]]
         failed += bool(problems)
