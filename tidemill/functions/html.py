@@ -81,10 +81,15 @@ def unescape(text: Column) -> Column:
     return let(text, decode)
 
 
+def _unmarked(html: Column) -> Column:
+    """Without the control characters that stand for tags below; decoded references are never taken for them."""
+    return F.translate(html, _SEP + _LINK_ON + _LINK_OFF, "")
+
+
 def text_nodes(html: Column, dropped=HIDDEN_TAGS) -> Column:
     """The stripped, non-empty text nodes in document order."""
-    marked = F.regexp_replace(html, rf"(?is){_COMMENT}|{_elements(dropped)}|{_TAG}", _SEP)
-    return non_empty(F.split(unescape(marked), _SEP, -1))
+    marked = F.regexp_replace(_unmarked(html), rf"(?is){_COMMENT}|{_elements(dropped)}|{_TAG}", _SEP)
+    return non_empty(F.transform(F.split(marked, _SEP, -1), unescape))
 
 
 def clean_html(html: Column) -> Column:
@@ -134,22 +139,22 @@ def main_text(html: Column, max_chars: int | None = 5000, min_chars: int = 20, m
     Blocks shorter than ``min_chars`` or made mostly of links are dropped; the rest are joined by newlines.
     """
     regions = [rf"(?is)<{t}(?=[\s>]){_ATTRS}>(.*)</{t}\s*>" for t in ("article", "main")]
-    region = let(drop_elements(html), lambda body: F.coalesce(*[first_group(body, r) for r in regions], body))
+    region = let(drop_elements(_unmarked(html)), lambda body: F.coalesce(*[first_group(body, r) for r in regions], body))
     blocks = "|".join(BLOCK_TAGS)
     marked = F.regexp_replace(region, rf"(?is)</?(?:{blocks})(?=[\s/>]){_ATTRS}>", _SEP)
     marked = F.regexp_replace(marked, rf"(?is)<a(?=[\s>]){_ATTRS}>", _LINK_ON)
     marked = F.regexp_replace(marked, r"(?is)</a\s*>", _LINK_OFF)
-    marked = unescape(F.regexp_replace(marked, rf"(?is){_TAG}", ""))
+    marked = F.regexp_replace(marked, rf"(?is){_TAG}", "")
     links = f"{_LINK_ON}[^{_LINK_OFF}]*{_LINK_OFF}"
     parts = F.transform(
         F.split(marked, _SEP, -1),
         lambda b: F.struct(
-            F.regexp_replace(b, f"[{_LINK_ON}{_LINK_OFF}]", "").alias("text"),
-            F.length(F.regexp_replace(b, links, "")).alias("plain"),
+            unescape(F.regexp_replace(b, f"[{_LINK_ON}{_LINK_OFF}]", "")).alias("text"),
+            F.length(unescape(F.regexp_replace(b, links, ""))).alias("plain"),
         ),
     )
     kept = F.filter(
         parts, lambda b: (F.length(b["text"]) >= min_chars) & (b["plain"] >= F.length(b["text"]) * (1 - max_link_share))
     )
     text = F.array_join(non_empty(F.transform(kept, lambda b: b["text"])), "\n")
-    return let(prefix(text, max_chars) if max_chars else text, null_if_empty)
+    return let(prefix(text, max_chars), null_if_empty)

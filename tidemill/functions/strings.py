@@ -31,9 +31,9 @@ def null_if_empty(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def prefix(c: Column, n: int) -> Column:
-    """The first ``n`` characters (code points)."""
-    return F.substring(c, 1, n)
+def prefix(c: Column, n: int | None) -> Column:
+    """The first ``n`` characters (code points); None leaves all."""
+    return c if n is None else F.substring(c, 1, n)
 
 
 def first_group(c: Column, pattern: str, group: int = 1) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -38,9 +39,9 @@ COMPANY_PATTERNS = (
 PRICE_MARKS = ("$", "₹", "€", "Rs")
 
 
-def any_of(words) -> str:
-    """A pattern that matches any of the words as a substring."""
-    return "|".join(re.escape(w) for w in words)
+def has_any(text: Column, words) -> Column:
+    """Whether any of the words is a substring; plain searches are several times faster than one pattern."""
+    return reduce(or_, [F.contains(text, F.lit(w)) for w in words])
 
 
 def company_at(title: Column) -> Column:
@@ -75,7 +76,7 @@ def role_family(title: Column, description: Column, rules=ROLE_RULES, default: s
     def chosen(t: Column) -> Column:
         result = F.lit(default)
         for name, words in reversed(rules):
-            result = F.when(t.rlike(any_of(words)), F.lit(name)).otherwise(result)
+            result = F.when(has_any(t, words), F.lit(name)).otherwise(result)
         return result
 
     return let(text, chosen)
@@ -91,7 +92,7 @@ def clean_name(name: Column) -> Column:
 
 
 def not_junk(line: Column, words=JUNK_WORDS) -> Column:
-    return ~F.lower(line).rlike(any_of(words))
+    return let(F.lower(line), lambda x: ~has_any(x, words))
 
 
 def card_lines(text: Column) -> Column:
@@ -106,7 +107,7 @@ def heuristic_name(text: Column, min_chars: int = 15, words=JUNK_WORDS) -> Colum
 
 def heuristic_price(text: Column) -> Column:
     """The first line with a currency mark; null when there is none."""
-    return F.get(F.filter(card_lines(text), lambda x: x.rlike(any_of(PRICE_MARKS))), F.lit(0))
+    return F.get(F.filter(card_lines(text), lambda x: has_any(x, PRICE_MARKS)), F.lit(0))
 
 
 def dollar_price(price: Column) -> Column:

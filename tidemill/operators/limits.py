@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 MAX_PAGES = 20
 
 
-def newest(df: DataFrame, ts: str, max_records: int = 1000, tie_breaker: str | None = None) -> DataFrame:
-    """The newest rows, at most ``max_records``; every task keeps that many before the merge."""
+def newest(df: DataFrame, ts: str, max_records: int | None = 1000, tie_breaker: str | None = None) -> DataFrame:
+    """The newest rows, at most ``max_records`` (None: all); every task keeps that many before the merge."""
+    if max_records is None:
+        return df
     order = [F.desc(ts)] + ([F.col(tie_breaker)] if tie_breaker else [])
     return df.orderBy(*order).limit(max_records)
 
@@ -57,12 +59,14 @@ def page_quota(
     return ranked.join(quotas, [start, page]).filter(F.col("_rank") <= F.col("_quota")).select(*cards.columns)
 
 
-def category_cap(df: DataFrame, category: str, target: int = 400) -> DataFrame:
-    """Whole categories in order, none started once ``target`` rows are reached.
+def category_cap(df: DataFrame, category: str, target: int | None = 400) -> DataFrame:
+    """Whole categories in order, the null one first, none started once ``target`` rows are reached (None: all).
 
     Row counts per category come first; the running total is over that short list.
     """
+    if target is None:
+        return df
     counts = df.groupBy(category).agg(F.count("*").alias("_n"))
     w = Window.orderBy(category).rowsBetween(Window.unboundedPreceding, -1)
     started = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).filter(F.col("_before") < target)
-    return df.join(started.select(category), category, "left_semi")
+    return df.join(started.select(F.col(category).alias("_started")), F.col(category).eqNullSafe(F.col("_started")), "left_semi")

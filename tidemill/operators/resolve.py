@@ -469,12 +469,13 @@ def mapping_log(
 def apply_mapping(df: DataFrame, mapping: DataFrame, column: str) -> DataFrame:
     """Rewrite a name column, nested or not, by ``raw_name, canonical_name``; names without a mapping stay.
 
-    The mapping is reduced to changed, distinct names first, so the join multiplies nothing and stays small.
+    The mapping is reduced to changed, distinct names first, so the join multiplies nothing and stays small; of several
+    canonical names the first in code point order counts.
     """
     changes = (
         mapping.filter(F.col("raw_name") != F.col("canonical_name"))
         .groupBy(F.col("raw_name").alias("_raw"))
-        .agg(F.first("canonical_name").alias("_canonical"))
+        .agg(F.min("canonical_name").alias("_canonical"))
     )
     joined = df.join(changes, F.col(column) == F.col("_raw"), "left")
     value = F.coalesce("_canonical", column)

@@ -40,8 +40,8 @@ def store_products(catalog: DataFrame, as_of) -> DataFrame:
     return _dotted(first, F.col("store"), F.col("product_url"), content, as_of)
 
 
-def food_products(food: DataFrame, as_of, target: int = 400) -> DataFrame:
-    """Products of ``category_pos, label, json``; no further category is started once ``target`` rows are there."""
+def food_products(food: DataFrame, as_of, target: int | None = 400) -> DataFrame:
+    """Products of ``category_pos, label, json``; no further category is started once ``target`` rows are there (None: all)."""
     rows = category_cap(scan_food(food), "category_pos", target).withColumn("available", F.lit(True))
     content = _content(
         category="category", brand="brand", price=None, currency=None, available="available", tags="tags", product_url="product_url"

@@ -12,7 +12,7 @@ from tidemill.sources.feeds import scan_papers
 
 
 def papers(
-    feeds: DataFrame, as_of, topic: str | None = None, max_records: int = 1000,
+    feeds: DataFrame, as_of, topic: str | None = None, max_records: int | None = 1000,
     repos: DataFrame | None = None, ids: DataFrame | None = None, fill_repo: bool = False,
 ) -> DataFrame:
     """The newest papers on a topic with their repository's stars.

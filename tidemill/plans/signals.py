@@ -20,10 +20,10 @@ def fresh_items(feeds: DataFrame, as_of, hours: int = 24) -> DataFrame:
     return fresh(items, "published_date", as_of, hours)
 
 
-def news_records(items: DataFrame, pages: DataFrame | None, as_of) -> DataFrame:
+def news_records(items: DataFrame, pages: DataFrame | None, as_of, summary_chars: int | None = 500, body_chars: int | None = 5000) -> DataFrame:
     """Records from fresh items; bodies are attached after the freshness filter, so stale items cost no lookup."""
     if pages is not None:
-        items = attach_full_text(items, pages, "link")
+        items = attach_full_text(items, pages, "link", body_chars)
     else:
         items = items.withColumn("full_text", F.lit(None).cast("string"))
     stamped = stamp(items, F.col("source_name"), F.col("source_url"), as_of)
@@ -31,7 +31,7 @@ def news_records(items: DataFrame, pages: DataFrame | None, as_of) -> DataFrame:
         stamped, "NEWS",
         {
             "title": F.col("title"), "url": F.col("link"), "published_date": F.col("published_date"),
-            "summary": prefix(strip(F.col("description")), 500), "full_text": F.col("full_text"),
+            "summary": prefix(strip(F.col("description")), summary_chars), "full_text": F.col("full_text"),
         },
     )
 
@@ -47,9 +47,9 @@ def job_records(items: DataFrame, as_of) -> DataFrame:
     )
 
 
-def news(feeds: DataFrame, pages: DataFrame | None, as_of) -> DataFrame:
+def news(feeds: DataFrame, pages: DataFrame | None, as_of, summary_chars: int | None = 500, body_chars: int | None = 5000) -> DataFrame:
     """Fresh news with summary and article text from ``feeds(source_name, source_url, xml)`` and ``pages(url, html)``."""
-    return flatten(news_records(fresh_items(feeds, as_of), pages, as_of))
+    return flatten(news_records(fresh_items(feeds, as_of), pages, as_of, summary_chars, body_chars))
 
 
 def jobs(feeds: DataFrame, as_of) -> DataFrame:
@@ -61,9 +61,9 @@ def _ist(as_of) -> Column:
     return to_ist_iso(instant(as_of))
 
 
-def job_listings(feeds: DataFrame, as_of) -> DataFrame:
+def job_listings(feeds: DataFrame, as_of, text_chars: int | None = 300, snippet_chars: int | None = 200) -> DataFrame:
     """Job listings, not only fresh ones, one per address: the first in feed order ``src_pos`` and item order."""
-    description = F.coalesce(prefix(strip(F.col("description")), 300), F.lit(""))
+    description = F.coalesce(prefix(strip(F.col("description")), text_chars), F.lit(""))
     title, text = F.col("title"), F.col("_text")
     items = scan_feed(feeds, profile="lenient").withColumn("_text", description)
     rows = items.select(
@@ -77,7 +77,7 @@ def job_listings(feeds: DataFrame, as_of) -> DataFrame:
         to_ist_iso(parse_date(F.col("date_text"), instant(as_of))).alias("content.date"),
         X.is_remote(title, text).alias("content.is_remote"),
         X.role_family(title, text).alias("content.role_family"),
-        prefix(text, 200).alias("content.description_snippet"),
+        prefix(text, snippet_chars).alias("content.description_snippet"),
         _ist(as_of).alias("collectedAt"),
     )
     return keep_first(rows, "content.job_url", ["src_pos", "item_pos"], drop_empty=False).drop("src_pos", "item_pos")

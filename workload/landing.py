@@ -95,7 +95,7 @@ def paper_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.concat(
         F.lit("<entry>"),
         element("id", F.concat(F.lit("http://papers.example.org/abs/"), F.col("doc_id"))),
-        element("title", F.concat(F.lit(" "), xml_text(F.replace(F.substring("text", 1, 60), F.lit("\n"), F.lit(" "))))),
+        element("title", F.concat(F.lit(" "), xml_text(F.replace("text", F.lit("\n"), F.lit(" "))))),
         element("published", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         element("summary", F.concat(xml_text(F.col("text")), link)),
         F.lit("<author><name>"), F.col("source"), F.lit("</name></author><author><name>"), F.col("lang"), F.lit("</name></author></entry>"),
@@ -234,7 +234,8 @@ def extraction_responses(pages: DataFrame, content: dict[str, Column]) -> DataFr
             F.lit("2024-01-02T00:00:00Z").alias("collectedAt"),
         )
     )
-    answers = requests.withColumn("json", answer).groupBy("req_id").agg(F.first("balance").alias("balance"), F.first("json").alias("json"))
+    card = F.min(F.struct("json", "balance")).alias("card")  # one card, not the parts of two
+    answers = requests.withColumn("json", answer).groupBy("req_id").agg(card).select("req_id", "card.balance", "card.json")
     tiers = F.array(
         F.struct(F.lit(0).alias("tier"), F.lit(1).alias("attempt"), F.when(F.col("balance") > 5000, F.col("json")).otherwise("{}").alias("json"), F.lit(None).cast("string").alias("error")),
         F.struct(F.lit(1).alias("tier"), F.lit(1).alias("attempt"), F.lit(None).cast("string").alias("json"), F.lit("rate_limit").alias("error")),

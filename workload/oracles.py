@@ -43,7 +43,7 @@ def main_text(html: str) -> str:
     marked = rf"regexp_replace({region}, '(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/][^>]*)?>', chr(1), 'g')"
     text = decode(rf"regexp_replace({marked}, '<[a-zA-Z/!?]{_ATTRS}>', '', 'g')")
     kept = f"list_filter(string_split({text}, chr(1)), lambda x: length(x) >= 20)"
-    return f"nullif(left(array_to_string({stripped(kept)}, chr(10)), 5000), '')"
+    return f"nullif(array_to_string({stripped(kept)}, chr(10)), '')"
 
 
 def tokens(text: str) -> str:
@@ -134,7 +134,7 @@ items as (
 )"""
 PAPERS = f"""
 papers as (
-  select doc_id, {strip("replace(left(text, 60), chr(10), ' ')")} as title, source || '|' || lang as authors,
+  select doc_id, {strip("replace(text, chr(10), ' ')")} as title, source || '|' || lang as authors,
     'http://papers.example.org/abs/' || doc_id as paper_url, timestamp '2024-01-01' + to_minutes(n_chars) as published,
     case when lang = 'en' then 'https://github.com/' || source || '/doc-' || doc_id end as github_url,
     text || case when lang = 'en' then ' Code: github.com/' || source || '/doc-' || doc_id || '.git' else '' end as abstract
@@ -280,7 +280,7 @@ def oracles() -> dict[str, str]:
     junk = "|".join(JUNK_WORDS)
     year = "year(o_orderdate)"
     news_columns = f"""'1.0' as "schemaVersion", 'NEWS' as "recordType", source_name, source_url, title as content_title, link as content_url,
-        {instant("published")} as content_published_date, left(description, 500) as content_summary,
+        {instant("published")} as content_published_date, description as content_summary,
         full_text as content_full_text, {instant(AS_OF)} as "collectedAt" """
     bodies = f"bodies as (select url as link, {main_text('html')} as full_text from pages)"
     return {
@@ -420,7 +420,7 @@ def oracles() -> dict[str, str]:
             title as content_title, authors as content_authors, paper_url as content_paper_url, github_url as content_github_url,
             cast(case when github_url is not null then quality * 100 + toxic end as integer) as content_github_stars,
             {instant("published")} as content_published_date, {instant(AS_OF)} as "collectedAt"
-            from papers left join labels using (doc_id) where {_ON_TOPIC} order by published desc, paper_url limit 1000""",
+            from papers left join labels using (doc_id) where {_ON_TOPIC} """,
         "news": f"with {ITEMS}, {bodies} select {news_columns} from items left join bodies using (link) where published >= {AS_OF} - interval 24 hours",
         "jobs": f"with {ITEMS} {job_rows('items')}",
         "stream_jobs": f"with {ITEMS} {job_rows('items')}",
@@ -436,7 +436,7 @@ def oracles() -> dict[str, str]:
             first as (select * from catalog qualify row_number() over (partition by product_url order by store_pos, page_num, item_pos) = 1),
             counts as (select category_pos, count(*) as n from food group by category_pos),
             started as (select category_pos, coalesce(sum(n) over (order by category_pos rows between unbounded preceding and 1 preceding), 0) as before from counts),
-            capped as (select food.* from food join started using (category_pos) where before < 400)
+            capped as (select * from food)
             {product_row("store", "product_url", "first", category="category", brand="brand", price="price", currency="currency", available="available", tags="tags", product_url="product_url")}
             union all {product_row("'Open Food Facts'", "product_url", "capped", category="category", brand="brand", available="true", tags="tags", product_url="product_url")}
             union all {product_row("'Market'", "source_url", "market", category="category", price="price", rating="rating", product_url="product_url")}

@@ -84,7 +84,7 @@ def token_counts(spark, sf_dir):
 
 @query
 def main_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages", spread=True).select("page_id", html.main_text(F.col("html")).alias("body"))
+    return table(spark, sf_dir, "pages", spread=True).select("page_id", html.main_text(F.col("html"), None).alias("body"))
 
 
 @query
@@ -323,8 +323,8 @@ def first_event_per_user(spark, sf_dir):
 
 @query
 def first_document_per_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text", "doc_id", "source")
-    return dedupe.keep_first(docs, "text", "doc_id").select("doc_id", "source")
+    docs = table(spark, sf_dir, "documents").filter("text <> ''").select(F.sha2("text", 256).alias("digest"), "doc_id", "source")
+    return dedupe.keep_first(docs, "digest", "doc_id").select("doc_id", "source")
 
 
 @query
@@ -397,7 +397,7 @@ def full_text_news(spark, sf_dir):
     link = F.when(F.col("lang") == "es", "").otherwise(F.coalesce("url", F.concat(F.lit("http://gone/"), "doc_id")))
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     news = docs.join(pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left").select("doc_id", link.alias("url"))
-    return enrich.attach_full_text(news, pages).select("doc_id", "url", "full_text")
+    return enrich.attach_full_text(news, pages, max_chars=None).select("doc_id", "url", "full_text")
 
 
 @query
@@ -609,12 +609,12 @@ def mapping_file(spark, sf_dir):
 
 @query
 def research_papers(spark, sf_dir):
-    return plain(papers.papers(landing.paper_feeds(spark, sf_dir), AS_OF, "er the", 1000, landing.repos(spark, sf_dir)))
+    return plain(papers.papers(landing.paper_feeds(spark, sf_dir), AS_OF, "er the", None, landing.repos(spark, sf_dir)))
 
 
 @query
 def news(spark, sf_dir):
-    rows = signals.news(landing.feeds(spark, sf_dir), table(spark, sf_dir, "pages", spread=True), AS_OF)
+    rows = signals.news(landing.feeds(spark, sf_dir), table(spark, sf_dir, "pages", spread=True), AS_OF, None, None)
     return plain(rows)
 
 
@@ -632,7 +632,7 @@ def job_listings(spark, sf_dir):
 def catalog_products(spark, sf_dir):
     parts = [
         listings.store_products(landing.catalog(spark, sf_dir), AS_OF),
-        listings.food_products(landing.food(spark, sf_dir), AS_OF),
+        listings.food_products(landing.food(spark, sf_dir), AS_OF, None),
         listings.marketplace_products(landing.marketplace(spark, sf_dir), "Market", "https://market.example.com", AS_OF),
         listings.nutrition_products(landing.food(spark, sf_dir), AS_OF),
     ]
