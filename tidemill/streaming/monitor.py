@@ -11,14 +11,16 @@ PAYLOAD_SCHEMA = "source_name string, source_url string, xml string"
 
 
 def payload_stream(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """A stream of landed payload rows ``source_name, source_url, xml``."""
-    return spark.readStream.schema(PAYLOAD_SCHEMA).options(**options).format(fmt).load(path)
+    """A stream of landed payload rows ``source_name, source_url, xml`` with ``arrived``, when their file was written."""
+    rows = spark.readStream.schema(PAYLOAD_SCHEMA).options(**options).format(fmt).load(path)
+    return rows.withColumn("arrived", F.col("_metadata.file_modification_time"))
 
 
 def xml_stream(spark: SparkSession, path: str) -> DataFrame:
     """A stream of feed files, one document each; the file name stands in for source name and address."""
     docs = spark.readStream.option("wholetext", True).text(path)
-    return docs.select(F.input_file_name().alias("source_name"), F.input_file_name().alias("source_url"), F.col("value").alias("xml"))
+    name = F.col("_metadata.file_path")
+    return docs.select(name.alias("source_name"), name.alias("source_url"), F.col("value").alias("xml"), F.col("_metadata.file_modification_time").alias("arrived"))
 
 
 def fresh_stream(payloads: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
@@ -26,9 +28,15 @@ def fresh_stream(payloads: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
     return fresh_items(payloads, F.current_timestamp() if as_of is None else as_of, hours)
 
 
-def dedupe_stream(items: DataFrame, key: str = "link", ts: str = "published_date", delay: str = "24 hours") -> DataFrame:
-    """One item per address across polls. The watermark bounds the remembered addresses; it is not the freshness rule."""
-    return items.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def dedupe_stream(items: DataFrame, key: str = "link", arrived: str = "arrived", delay: str = "24 hours") -> DataFrame:
+    """One item per address across polls; items without an address all pass.
+
+    The watermark bounds the remembered addresses. It follows the arrival of the payloads, never a date that a publisher wrote: one
+    date in the future would make everything after it late.
+    """
+    has_key = F.coalesce(F.col(key) != "", F.lit(False))
+    first = items.filter(has_key).withWatermark(arrived, delay).dropDuplicatesWithinWatermark([key])
+    return first.unionByName(items.filter(~has_key))
 
 
 def start_monitor(

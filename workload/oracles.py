@@ -329,9 +329,10 @@ def oracles() -> dict[str, str]:
         "job_rules": f"""with {TITLED} select doc_id, {company_at("title")} as company, {is_remote("title", "description")} as is_remote,
             {role_simple("title")} as role_simple, {role_family("title", "description")} as role_family from titled""",
         "company_from_titles": f"with {TITLED} select doc_id, {company_from_title('title')} as company from titled",
-        "clean_names": rf"""select doc_id, {strip("replace(replace(name, ',', ''), '.', '')")} as name,
+        "clean_names": rf"""select doc_id, line, {strip("replace(replace(name, ',', ''), '.', '')")} as name,
             {form(r"regexp_replace(name, '[\x{80}-\x{ff}]', '', 'g')")} as form
-            from (select doc_id, ' ' || split_part(text, chr(10), 1) as name from documents)""",
+            from (select doc_id, cast(line - 1 as integer) as line, ' ' || lines[line] as name
+              from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as line from (select doc_id, string_split(text, chr(10)) as lines from documents)))""",
         "flatten_orders": FLAT_ORDERS,
         "csv_round_trip": FLAT_ORDERS,
         "conform_orders": f"""select o_orderkey, '1.0' as "record_schemaVersion", 'STARTUP' as "record_recordType",
@@ -413,8 +414,8 @@ def oracles() -> dict[str, str]:
         "company_cards": """select s_name as name, n_name || ' ' || r_name as description, '/companies/' || lower(replace(s_name, '#', '-')) as href,
             cast(2 as bigint) as n_links from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
         "marketplace_cards": f"with {MARKET} select category, product_name, product_url, price, rating from market",
-        "sourced_payloads": f"""with {ITEMS}, sources(src_pos, source_name, n) as (values (0, 'Feed 3', 3), (1, 'Feed 1', 1), (2, 'Feed 0', 0))
-            select distinct src_pos, s.source_name, source_url from items join sources s on source_url = 'http://feeds.example.com/rss' || n""",
+        "sourced_payloads": f"""with {ITEMS}, numbered as (select distinct source_url, cast(regexp_extract(source_url, '([0-9]+)$', 1) as integer) as n from items)
+            select -n as src_pos, 'Feed ' || n as source_name, source_url from numbered where n % 3 <> 2""",
         "collection_round_trip": "select n_nationkey, n_name, cast(2 as bigint) as n_rows from nation",
         "research_papers": f"""with {PAPERS} select '1.0' as "schemaVersion", 'RESEARCH_PAPER' as "recordType", 'ArXiv' as source_name, paper_url as source_url,
             title as content_title, authors as content_authors, paper_url as content_paper_url, github_url as content_github_url,
@@ -424,7 +425,9 @@ def oracles() -> dict[str, str]:
         "news": f"with {ITEMS}, {bodies} select {news_columns} from items left join bodies using (link) where published >= {AS_OF} - interval 24 hours",
         "jobs": f"with {ITEMS} {job_rows('items')}",
         "stream_jobs": f"with {ITEMS} {job_rows('items')}",
-        "stream_dedupe": f"with {ITEMS} select count(distinct link) as n_items from items where published >= {AS_OF} - interval 24 hours",
+        "stream_dedupe": f"""with {ITEMS}, kept as (
+              select * from items union all select * from items where link = ''), found as ({job_rows("kept")})
+            select source_url, content_company, content_date, content_is_remote, content_role_family, count(*) as n_items from found group by all""",
         "job_listings": f"""with {ITEMS}, rows as (
               select *, case when link = '' and not atom then source_url else link end as job_url, left(description, 300) as snippet from items)
             select 'JOB' as "recordType", source_name, source_url, title as content_title, {company_from_title("title")} as content_company,

@@ -246,8 +246,9 @@ def company_from_titles(spark, sf_dir):
 @query
 def clean_names(spark, sf_dir):
     """Names without commas and stops, and the form the scorers compare."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit(" "), landing.headline()).alias("name"))
-    return lines.select("doc_id", text.clean_name(F.col("name")).alias("name"), fuzzy.form(F.col("name")).alias("form"))
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "name"))
+    name = F.concat(F.lit(" "), F.col("name"))
+    return lines.select("doc_id", "line", text.clean_name(name).alias("name"), fuzzy.form(name).alias("form"))
 
 
 # --- records -------------------------------------------------------------------------------------------
@@ -570,7 +571,9 @@ def marketplace_cards(spark, sf_dir):
 def sourced_payloads(spark, sf_dir):
     """Landed documents matched to an ordered source list by address; the rest are dropped."""
     payloads = landing.feeds(spark, sf_dir).select("source_url", F.length("xml").alias("n"))
-    sources = registry.registry(spark, [("jobs", f"Feed {i}", f"http://feeds.example.com/rss{i}") for i in (3, 1, 0)])
+    number = F.regexp_extract("source_url", r"(\d+)$", 1).cast("int")
+    known = payloads.select("source_url", number.alias("n")).distinct().filter("n % 3 <> 2")
+    sources = known.select((-F.col("n")).alias("src_pos"), F.lit("jobs").alias("kind"), F.concat(F.lit("Feed "), "n").alias("source_name"), "source_url")
     return registry.with_source(payloads, sources, "jobs").select("src_pos", "source_name", "source_url")
 
 
@@ -701,11 +704,11 @@ def stream_jobs(spark, sf_dir):
 
 @query
 def stream_dedupe(spark, sf_dir):
-    """Addresses that survive deduplication across polls."""
+    """Items that survive deduplication across polls; those without an address all do."""
     base = scratch_path(spark, "dedupe")
     landed = landing.feeds(spark, sf_dir).select("source_name", "source_url", "xml")
     landed.unionByName(landed).write.parquet(f"{base}/landed")
     items = monitor.dedupe_stream(monitor.fresh_stream(monitor.payload_stream(spark, f"{base}/landed"), AS_OF))
     monitor.start_monitor(items, "jobs", f"{base}/out", f"{base}/checkpoint", AS_OF).awaitTermination()
-    written = spark.read.parquet(f"{base}/out/jobs")
-    return written.agg(F.count("*").alias("n_items"))
+    written = plain(spark.read.parquet(f"{base}/out/jobs"))
+    return written.groupBy("source_url", "content_company", "content_date", "content_is_remote", "content_role_family").agg(F.count("*").alias("n_items"))
