@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +29,24 @@ def get_session(app: str = "tidemill", master: str | None = None, **conf) -> Spa
     }
     for key, value in settings.items():
         builder = builder.config(key, str(value))
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give every Python worker this package, once per application, wherever the driver found it."""
+    context = spark.sparkContext
+    if getattr(context, "_tidemill_shipped", False):
+        return
+    folder = Path(__file__).resolve().parent
+    place = tempfile.TemporaryDirectory()  # executors fetch the file from the driver, so it stays as long as the application
+    archive = Path(place.name) / "tidemill.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(folder.rglob("*.py")):
+            out.write(file, Path(folder.name) / file.relative_to(folder))
+    context.addPyFile(str(archive))
+    context._tidemill_shipped = place
 
 
 def scratch_root(spark: SparkSession) -> str:
