@@ -103,10 +103,26 @@ def test_bit_parallel_edits():
 
 def test_shared_key_for_every_accepted_pair():
     names = sorted({form(n) for n in random_names(350, seed=11)} - {""})
-    listed = fuzzy.ReferenceList(list(enumerate(names)), "wratio")
+    for a in names:
+        for b in names:
+            if round(fuzzy.wratio(a, b)) >= 81 and max(len(a), len(b)) <= 8 * min(len(a), len(b)):
+                inside = (fuzzy._short(a) and fuzzy._short(a) in b) or (fuzzy._short(b) and fuzzy._short(b) in a)
+                assert inside or fuzzy._key_set(a) & fuzzy._key_set(b), (a, b)
+
+
+@pytest.mark.parametrize("threshold", [81, 85, 92])
+def test_rare_keys_hold_a_shared_one(spark, threshold):
+    """For every accepted pair, the shorter name's rarest keys and all keys of the other have one in common."""
+    names = sorted({form(n) for n in random_names(300, seed=12)} - {""})
+    df = spark.createDataFrame(list(enumerate(names)), "pos long, form string")
+    counts = df.select(F.explode(fuzzy.keys(F.col("form"))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    rare = {r.pos: set(r["keys"]) for r in resolve._rare_keys(df, counts, threshold).groupBy("pos").agg(F.collect_set("key").alias("keys")).collect()}
     for i, a in enumerate(names):
-        expected = {j for j, b in enumerate(names) if round(fuzzy.wratio(a, b)) >= 81 and max(len(a), len(b)) <= 8 * min(len(a), len(b))}
-        assert expected <= set(listed.candidates(a)), a
+        for b in names:
+            if len(a) <= len(b) <= 8 * len(a) and round(fuzzy.wratio(a, b)) >= threshold:
+                linked = len(b) >= 1.5 * len(a) and not set(a.split()).isdisjoint(b.split())
+                short = fuzzy._short(a) or (fuzzy._short(b) and fuzzy._short(b) in a)
+                assert linked or short or rare.get(i, set()) & fuzzy._key_set(b), (a, b)
 
 
 def test_native_forms_and_keys_equal_the_python_ones(spark):
@@ -160,17 +176,13 @@ def test_native_test_passes_every_accepted_pair(spark, threshold):
 
 
 def test_split_hot_keys_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(resolve, "SHIPPED_REFS", 0)
     monkeypatch.setattr(resolve, "HOT_ROWS", 7)
     names, seeds = random_names(80, seed=8), ["Open AI", "Data Works"]
     assert dedup(spark, names, seeds, first_slice=30) == model(names, seeds)[0]
 
 
-@pytest.mark.parametrize("small_refs", [True, False])
-@pytest.mark.parametrize("scorer", ["wratio", "levenshtein"])
-def test_equals_the_sequential_loop(spark, monkeypatch, scorer, small_refs):
-    if not small_refs:
-        monkeypatch.setattr(resolve, "SHIPPED_REFS", 0)
+@pytest.mark.parametrize("scorer", ["wratio", "levenshtein", "ratio"])
+def test_equals_the_sequential_loop(spark, scorer):
     names, seeds = random_names(150), ["Open AI", "Data Works", "Zeta Labs"]
     mapping, log = model(names, seeds, scorer=scorer)
     rows = resolve.mapping_log(frame(spark, names), load_seeds(spark, seeds=seeds), scorer=scorer, pairwise=True, first_slice=40)
@@ -179,12 +191,10 @@ def test_equals_the_sequential_loop(spark, monkeypatch, scorer, small_refs):
     assert dedup(spark, names, seeds, scorer=scorer, first_slice=10**6) == mapping
 
 
-def test_large_seed_list_equals_the_shipped_one(spark, monkeypatch):
-    names, seeds = random_names(120, seed=3), random_names(80, seed=4)
-    seeds = list(dict.fromkeys(seeds))
-    shipped = sorted(resolve.canonicalize(frame(spark, names), load_seeds(spark, seeds=seeds)).collect())
-    monkeypatch.setattr(resolve, "SHIPPED_REFS", 0)
-    assert sorted(resolve.canonicalize(frame(spark, names), load_seeds(spark, seeds=seeds)).collect()) == shipped
+def test_thresholds_do_not_depend_on_sizes(spark):
+    for names in (["a b"], random_names(50)):
+        with pytest.raises(ValueError):
+            dedup(spark, names, ["Open AI"], threshold=80)
 
 
 def test_leaders_are_not_connected_components(spark):

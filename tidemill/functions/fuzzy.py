@@ -12,8 +12,6 @@ tokens, except where one form is a token of at most two characters: then that li
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
@@ -45,17 +43,28 @@ def _trigrams(text: Column) -> Column:
     return let(padded, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - 2), lambda i: F.substring(p, i, F.lit(3))))
 
 
+def key_lists(form: Column) -> Column:
+    """The distinct trigrams of a form, of its sorted tokens and of its sorted, distinct tokens, as three lists."""
+    words = F.array_sort(F.split(form, r"\s+"))
+    texts = (form, F.array_join(words, " "), F.array_join(F.array_distinct(words), " "))
+    return F.array(*[F.array_distinct(_trigrams(t)) for t in texts])
+
+
 def keys(form: Column) -> Column:
     """The trigrams of a form and of its sorted tokens; null for an empty form."""
-    words = F.array_sort(F.split(form, r"\s+"))
-    grams = F.array_distinct(
-        F.concat(
-            _trigrams(form),
-            _trigrams(F.array_join(words, " ")),
-            _trigrams(F.array_join(F.array_distinct(words), " ")),
-        )
-    )
-    return F.when(form != "", grams)
+    return F.when(form != "", F.array_distinct(F.flatten(key_lists(form))))
+
+
+def prefix_size(size: Column, threshold: int) -> Column:
+    """How many of the rarest keys of a list must hold one that a longer accepted name shares.
+
+    Accepted texts leave at most this share of the shorter one unmatched: edits of a ratio ``r`` of the longer text are ``(1 - r) / r`` of
+    it, and of two texts of a scaled ratio ``b``, either of which may be the longer one, ``1 - b / (2 - b)``. Each character touches
+    three trigrams, and two more are lost at the ends of a window.
+    """
+    r, b = (threshold - 0.5) / 100, (threshold - 0.5) / 95
+    lost = max((1 - r) / r, 1 - b / (2 - b))
+    return F.ceil(size * (3 * lost)).cast("int") + 3
 
 
 def short_keys(form: Column) -> Column:
@@ -210,54 +219,6 @@ def levenshtein(a: str, b: str) -> float:
 SCORERS = {"wratio": wratio, "ratio": plain_ratio, "levenshtein": levenshtein}
 
 
-class ReferenceList:
-    """A checked, small list of reference forms with an index on their keys, held by a task."""
-
-    def __init__(self, refs: Iterable[tuple[int, str]], scorer: str, all_refs: bool = False):
-        self.refs: list[tuple[int, str]] = []
-        self.score = SCORERS[scorer]
-        self.all_refs = all_refs
-        self.by_key: dict[str, list[int]] = defaultdict(list)
-        self.short: list[int] = []
-        for pos, text in refs:
-            self.add(pos, text)
-
-    def add(self, pos: int, text: str) -> None:
-        i = len(self.refs)
-        self.refs.append((pos, text))
-        for key in _key_set(text) if text else ():
-            self.by_key[key].append(i)
-        if _short(text):
-            self.short.append(i)
-
-    def first(self, text: str, threshold: int) -> tuple[int, float] | None:
-        """Position and score of the first reference at or above the threshold."""
-        return next(self._accepted(text, threshold), None)
-
-    def best(self, text: str, threshold: int) -> tuple[int, float] | None:
-        """Position and score of the best such reference; the first of equals."""
-        return max(self._accepted(text, threshold), key=lambda hit: hit[1], default=None)
-
-    def _accepted(self, text: str, threshold: int):
-        for i in self.candidates(text):
-            pos, ref = self.refs[i]
-            score = self.score(text, ref)
-            if round(score) >= threshold:
-                yield pos, score
-
-    def candidates(self, text: str):
-        """Indexes, in list order, of the references that can reach the minimum threshold."""
-        if not text:
-            return []
-        if self.all_refs:
-            return range(len(self.refs))
-        found = {i for key in _key_set(text) for i in self.by_key.get(key, ())}
-        if _short(text):
-            found.update(i for i, (_, ref) in enumerate(self.refs) if _short(text) in ref)
-        found.update(i for i in self.short if _short(self.refs[i][1]) in text)
-        return sorted(found)
-
-
 def _short(text: str) -> str:
     words = set(text.split())
     return words.pop() if len(words) == 1 and len(min(words)) <= 2 else ""

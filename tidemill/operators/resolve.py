@@ -4,6 +4,7 @@ Every pair that can be accepted shares a key (``functions.fuzzy``), so pairs com
 never from a cross join. Three things keep hot keys from blowing up:
 
 * names are reduced to their distinct forms before anything is compared;
+* of the two names of a pair the shorter one offers only its rarest keys, as many as are sure to hold a shared one;
 * a shared token alone links names whose lengths differ enough, however many carry it; those links are never
   listed but summarised per (token, length) by their earliest position;
 * the batch is taken in slices of doubling size, and each slice meets the representatives found so far before its
@@ -12,17 +13,14 @@ never from a cross join. Three things keep hot keys from blowing up:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions import fuzzy
-from tidemill.session import cut, is_small
+from tidemill.session import cut
 
-#: Reference lists up to this size are shipped to the tasks; longer ones are joined on keys.
-SHIPPED_REFS = 2_000
 #: A key with more rows than this is split into parts of this size.
 HOT_ROWS = 100_000
 _UNDECIDED, _LEADER, _FOLLOWER = 0, 1, 2
@@ -55,29 +53,6 @@ def _linked_by_token() -> Column:
     return (long >= short * 1.5) & (long <= short * 8) & F.arrays_overlap("words", "ref_words")
 
 
-def _shipped_matches(left: DataFrame, refs: DataFrame, threshold: int, scorer: str, best: bool) -> DataFrame:
-    """One pair per form, with its best or else its first accepted reference.
-
-    The checked, small reference list goes to every task as one broadcast variable.
-    """
-    spark = left.sparkSession
-    listed = [(r.pos, r.form) for r in refs.select("pos", "form").orderBy("pos").collect()]
-    held = spark.sparkContext.broadcast(listed)
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = fuzzy.ReferenceList(held.value, scorer, all_refs=threshold < fuzzy.MIN_THRESHOLD)
-        find = known.best if best else known.first
-        for batch in batches:
-            found = [(pos, find(text, threshold)) for pos, text in zip(batch["pos"], batch["form"])]
-            rows = [(pos, *hit) for pos, hit in found if hit]
-            yield pd.DataFrame(rows, columns=["pos", "ref_pos", "score"])
-
-    kind = left.schema["pos"].dataType.simpleString()
-    # Scoring is the costly part: an explicit number of partitions keeps a short list from ending up in one task.
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return left.select("pos", "form").repartition(n).mapInPandas(match, f"pos {kind}, ref_pos long, score double")
-
-
 def _scored(pairs: DataFrame, scorer: str) -> DataFrame:
     if scorer == "levenshtein":
         return pairs.withColumn("score", fuzzy.levenshtein_score(F.col("form"), F.col("ref_form")))
@@ -125,6 +100,15 @@ def _may_match(threshold: int, scorer: str) -> Column:
     return F.when(similar_length, alike).otherwise(inside)
 
 
+def _rare_keys(forms: DataFrame, counts: DataFrame, threshold: int) -> DataFrame:
+    """``pos, key``: of each list of a form's keys the rarest ones, as many as must hold a key shared with any longer accepted name."""
+    lists = forms.filter("form <> ''").select("pos", F.posexplode(fuzzy.key_lists(F.col("form"))).alias("list", "keys"))
+    listed = lists.select("pos", "list", F.size("keys").alias("size"), F.explode("keys").alias("key")).join(counts, "key", "left")
+    ordered = listed.groupBy("pos", "list").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("keys"))
+    some = F.slice("keys", F.lit(1), F.least(F.col("size"), fuzzy.prefix_size(F.col("size"), threshold)))
+    return ordered.select("pos", F.explode(some).alias("k")).filter("k.n > 0").select("pos", F.col("k.key").alias("key")).distinct()
+
+
 def _salted(keyed: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split the rows of hot keys into salts and repeat their references once per salt.
 
@@ -143,8 +127,6 @@ def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str,
 
     Lengths, token links and a distance bound are tested inside the join, so few pairs leave it that are not accepted.
     """
-    if threshold < fuzzy.MIN_THRESHOLD:
-        raise ValueError(f"thresholds below {fuzzy.MIN_THRESHOLD} need at most {SHIPPED_REFS} reference names")
     by_tokens = _token_is_enough(scorer, threshold)
     a, b = _prepared(left), _prepared(refs, "ref_")
     short, long = (f(F.length("form"), F.length("ref_form")) for f in (F.least, F.greatest))
@@ -155,16 +137,25 @@ def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str,
         wanted = wanted & (F.col("ref_pos") < F.col("pos"))
     wanted = wanted & _may_match(threshold, scorer)
 
-    def meet(left_keys: Column, ref_keys: Column, test: Column) -> DataFrame:
-        keyed_a, keyed_b = _salted(a.select("*", F.explode(left_keys).alias("key")), b.select("*", F.explode(ref_keys).alias("ref_key")))
+    def meet(keyed_a: DataFrame, keyed_b: DataFrame, test: Column) -> DataFrame:
+        keyed_a, keyed_b = _salted(keyed_a, keyed_b)
         same = (F.col("key") == F.col("ref_key")) & (F.col("salt") == F.col("ref_salt"))
         return keyed_a.join(keyed_b, same & test).select("pos", "form", "ref_pos", "ref_form")
 
     form, ref_form = F.col("form"), F.col("ref_form")
+
+    def by(df: DataFrame, key: Column, name: str) -> DataFrame:
+        return df.select("*", F.explode(key).alias(name))
+
+    counts = cut(refs.select(F.explode(fuzzy.keys(F.col("form"))).alias("key")).groupBy("key").agg(F.count("*").alias("n")))
+    rare_a, rare_b = _rare_keys(left, counts, threshold), _rare_keys(refs, counts, threshold)
+    rare_b = rare_b.select(F.col("pos").alias("ref_pos"), F.col("key").alias("ref_key"))
+    not_longer = F.length("form") <= F.length("ref_form")
     pairs = (
-        meet(fuzzy.keys(form), fuzzy.keys(ref_form), wanted)
-        .unionByName(meet(fuzzy.short_keys(form), fuzzy.inner_keys(ref_form), wanted))
-        .unionByName(meet(fuzzy.inner_keys(form), fuzzy.short_keys(ref_form), wanted))
+        meet(a.join(rare_a, "pos"), by(b, fuzzy.keys(ref_form), "ref_key"), wanted & not_longer)
+        .unionByName(meet(by(a, fuzzy.keys(form), "key"), b.join(rare_b, "ref_pos"), wanted & ~not_longer))
+        .unionByName(meet(by(a, fuzzy.short_keys(form), "key"), by(b, fuzzy.inner_keys(ref_form), "ref_key"), wanted))
+        .unionByName(meet(by(a, fuzzy.inner_keys(form), "key"), by(b, fuzzy.short_keys(ref_form), "ref_key"), wanted))
         .distinct()
     )
     return _scored(pairs, scorer).filter(_accepted(F.col("score"), threshold)).select("pos", "ref_pos", "score")
@@ -213,8 +204,6 @@ def _earliest_by_token(forms: DataFrame, refs: DataFrame) -> DataFrame:
 
 def _best_match(forms: DataFrame, refs: DataFrame, threshold: int, scorer: str) -> DataFrame:
     """``pos, ref_pos, score`` of the best reference per form; ties go to the earliest reference."""
-    if is_small(refs, SHIPPED_REFS):
-        return _shipped_matches(forms, refs, threshold, scorer, best=True)
     pairs = _keyed_pairs(forms, refs, threshold, scorer)
     if _token_is_enough(scorer, threshold):
         by_token = _earliest_by_token(forms, refs).withColumn("score", F.lit(fuzzy.TOKEN_SCORE))
@@ -261,8 +250,6 @@ def _lifted_pairs(forms: DataFrame, refs: DataFrame) -> DataFrame:
 
 def _first_match(forms: DataFrame, refs: DataFrame, threshold: int, scorer: str) -> DataFrame:
     """``pos, ref_pos`` of the earliest accepted reference per form."""
-    if is_small(refs, SHIPPED_REFS):
-        return _shipped_matches(forms, refs, threshold, scorer, best=False).select("pos", "ref_pos")
     pairs = _keyed_pairs(forms, refs, threshold, scorer).select("pos", "ref_pos")
     if _token_is_enough(scorer, threshold):
         pairs = pairs.unionByName(_earliest_by_token(forms, refs))
@@ -275,8 +262,10 @@ def canonicalize(
     """Adds ``canonical_name`` and ``match_score``: the best seed at or above the threshold, else the name and 0.
 
     ``seeds`` holds ``seed_pos, seed``; equal scores go to the lowest position. ``scorer`` is ``wratio``, ``ratio``
-    or ``levenshtein``.
+    or ``levenshtein``; thresholds below ``fuzzy.MIN_THRESHOLD`` are refused, whatever the sizes.
     """
+    if threshold < fuzzy.MIN_THRESHOLD:
+        raise ValueError(f"threshold {threshold} is below {fuzzy.MIN_THRESHOLD}, where accepted names need not share a key")
     formed = names.withColumn("_form", fuzzy.form(F.col(name), clean))
     # The form itself identifies a name here: whatever is written differently but compares equal is matched once.
     forms = formed.select(F.col("_form").alias("pos"), F.col("_form").alias("form")).filter(F.col("form") != "").distinct()
@@ -295,27 +284,7 @@ def canonicalize(
 # --- batch deduplication -------------------------------------------------------------------------------
 
 
-def _leaders_in_order(forms: DataFrame, threshold: int, scorer: str) -> tuple[DataFrame, DataFrame]:
-    """Leaders and followers of a slice checked to be small: one pass in order of position."""
-
-    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        leaders = fuzzy.ReferenceList([], scorer, all_refs=threshold < fuzzy.MIN_THRESHOLD)
-        for batch in batches:
-            found = []
-            for pos, text in zip(batch["pos"], batch["form"]):
-                hit = leaders.first(text, threshold)
-                if hit is None:
-                    leaders.add(pos, text)
-                found.append(hit[0] if hit else None)
-            yield batch.assign(ref_pos=pd.array(found, dtype="Int64"))
-
-    ordered = forms.select("pos", "form").repartition(1).sortWithinPartitions("pos")
-    settled = cut(ordered.mapInPandas(settle, "pos long, form string, ref_pos long"))
-    leads = F.col("ref_pos").isNull()
-    return settled.filter(leads).select("pos", "form"), settled.filter(~leads).select("pos", "ref_pos")
-
-
-def _leader_rounds(forms: DataFrame, threshold: int, scorer: str, max_rounds: int) -> tuple[DataFrame, DataFrame]:
+def _leader_rounds(forms: DataFrame, threshold: int, scorer: str) -> tuple[DataFrame, DataFrame]:
     """Leaders of a slice and ``pos, ref_pos`` of its followers.
 
     A name leads iff no earlier linked name leads. Each round settles every name whose earlier linked names allow it:
@@ -349,12 +318,9 @@ def _leader_rounds(forms: DataFrame, threshold: int, scorer: str, max_rounds: in
         return state.join(neighbours(state), "pos", "left").select("pos", settled.alias("status"))
 
     state = forms.select("pos", F.lit(_UNDECIDED).alias("status"))
-    for _ in range(max_rounds):
+    # Each round settles at least the earliest undecided name.
+    while not state.filter(F.col("status") == _UNDECIDED).isEmpty():
         state = cut(advance(state))
-        if state.filter(F.col("status") == _UNDECIDED).isEmpty():
-            break
-    else:
-        raise RuntimeError(f"names still undecided after {max_rounds} rounds; raise max_rounds")
     leaders = forms.join(state.filter(F.col("status") == _LEADER), "pos", "left_semi").select("pos", "form")
     followers = state.filter(F.col("status") == _FOLLOWER).join(neighbours(state), "pos")
     return leaders, followers.select("pos", F.col("leader").alias("ref_pos"))
@@ -374,7 +340,7 @@ def _slices(forms: DataFrame, first_slice: int) -> list[tuple[int | None, int |
     return list(zip(bounds, [*bounds[1:], None]))
 
 
-def _cluster(forms: DataFrame, threshold: int, scorer: str, first_slice: int, max_rounds: int) -> DataFrame:
+def _cluster(forms: DataFrame, threshold: int, scorer: str, first_slice: int) -> DataFrame:
     """``pos, ref_pos, score`` for every form that follows an earlier one."""
     leaders, parts = None, []
     for low, high in _slices(forms, first_slice):
@@ -387,10 +353,7 @@ def _cluster(forms: DataFrame, threshold: int, scorer: str, first_slice: int, ma
             hits = cut(_first_match(part, leaders, threshold, scorer))
             parts.append(hits)
             part = cut(part.join(hits, "pos", "left_anti"))
-        if is_small(part, SHIPPED_REFS):
-            new, followers = _leaders_in_order(part, threshold, scorer)
-        else:
-            new, followers = _leader_rounds(part, threshold, scorer, max_rounds)
+        new, followers = _leader_rounds(part, threshold, scorer)
         parts.append(followers)
         leaders = cut(new if leaders is None else leaders.unionByName(new))
     merged = reduce(DataFrame.unionByName, parts)
@@ -400,7 +363,7 @@ def _cluster(forms: DataFrame, threshold: int, scorer: str, first_slice: int, ma
 
 
 def _resolve_batch(
-    names: DataFrame, seeds: DataFrame, threshold: int, scorer: str, clean: bool, first_slice: int, max_rounds: int
+    names: DataFrame, seeds: DataFrame, threshold: int, scorer: str, clean: bool, first_slice: int
 ) -> DataFrame:
     """One row per distinct name: its seed match and, for names no seed changed, the name it merges into."""
     firsts = names.groupBy("name").agg(F.min("pos").alias("pos"))
@@ -412,7 +375,7 @@ def _resolve_batch(
     forms = cut(
         matched.filter(is_open).groupBy("form").agg(F.min("pos").alias("pos"), F.min_by("name", "pos").alias("lead_name"))
     )
-    merged = _cluster(forms, threshold, scorer, first_slice, max_rounds)
+    merged = _cluster(forms, threshold, scorer, first_slice)
     leads = forms.select(F.col("pos").alias("ref_pos"), F.col("lead_name").alias("ref_name"))
     by_form = (
         forms.join(merged, "pos", "left")
@@ -434,20 +397,20 @@ def _resolve_batch(
 
 def dedup_batch(
     names: DataFrame, seeds: DataFrame, threshold: int = 85, scorer: str = "wratio", clean: bool = True,
-    first_slice: int = 1024, max_rounds: int = 200,
+    first_slice: int = 1024,
 ) -> DataFrame:
     """``name, canonical_name`` for every distinct name of a batch ``pos, name``.
 
     Names go to their seed; those no seed changes join the first earlier representative that scores at or above the
     threshold, else become one. The result equals the sequential loop in order of ``pos``.
     """
-    rows = _resolve_batch(names, seeds, threshold, scorer, clean, first_slice, max_rounds)
+    rows = _resolve_batch(names, seeds, threshold, scorer, clean, first_slice)
     return rows.select("name", F.coalesce("merged_name", "canonical_name").alias("canonical_name"))
 
 
 def mapping_log(
     names: DataFrame, seeds: DataFrame, threshold: int = 85, scorer: str = "wratio", clean: bool = True,
-    pairwise: bool = False, first_slice: int = 1024, max_rounds: int = 200,
+    pairwise: bool = False, first_slice: int = 1024,
 ) -> DataFrame:
     """``step, pos, raw_name, canonical_name, match_score``: one row per lookup, and with ``pairwise`` one per merge.
 
@@ -457,7 +420,7 @@ def mapping_log(
     if not pairwise:
         rows = canonicalize(names, seeds, "name", threshold, scorer, clean)
         return rows.select(F.lit(0).alias("step"), "pos", F.col("name").alias("raw_name"), "canonical_name", "match_score")
-    resolved = cut(_resolve_batch(names, seeds, threshold, scorer, clean, first_slice, max_rounds))
+    resolved = cut(_resolve_batch(names, seeds, threshold, scorer, clean, first_slice))
     rows = names.select("pos", "name").join(resolved, "name").withColumnRenamed("name", "raw_name")
     merges = rows.filter(F.col("merged_pos") < F.col("pos")).select(
         F.lit(1).alias("step"), "pos", "raw_name",
