@@ -349,8 +349,11 @@ def fit_pages(htmls: list[str]) -> Model | None:
 
 def fit(pages: DataFrame, *, sample: int = FIT_PAGES, chars: int = FIT_CHARS) -> Model | None:
     """The model of at most ``sample`` pages of ``pages(page_id, html)``, each of at most ``chars`` characters."""
-    small = pages.select("page_id", "html").filter(F.length("html") <= chars)
-    rows = small.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(sample).collect()  # bounded by both parameters
+    small = pages.select("page_id", "html", F.xxhash64("html").alias("hash")).filter(F.length("html") <= chars)
+    chosen = small.select("page_id", "hash").distinct().orderBy(F.xxhash64("page_id"), "page_id", "hash").limit(sample)  # ids only
+    chosen = chosen.select(F.col("page_id").alias("id"), F.col("hash").alias("h"))
+    met = small.join(F.broadcast(chosen), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h")))
+    rows = met.groupBy("id", "h").agg(F.first("html").alias("html")).orderBy("id", "h").collect()  # bounded by both parameters
     return fit_pages([r.html for r in rows])
 
 
