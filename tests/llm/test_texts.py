@@ -101,9 +101,9 @@ def test_trees_learn_interactions():
 # --- severity ----------------------------------------------------------------------------------------------------------------
 
 
-def _table(texts, toxic):
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(toxic, pa.int32()), pa.array(texts)], names=["doc_id", "toxic", "text"])
-    return pa.Table.from_batches(list(severity._features(iter([batch]))))
+def _fitted(spark, texts, toxic):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return severity.fit(docs, spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"))
 
 
 def _labelled(seed, n=900):
@@ -121,8 +121,8 @@ def _labelled(seed, n=900):
     return texts, toxic, worse
 
 
-def test_held_out_severity():
-    model = severity.fit_table(_table(*_labelled(1)[:2]))
+def test_held_out_severity(spark):
+    model = _fitted(spark, *_labelled(1)[:2])
     assert (np.diff(model.thresholds) > 0).all()
     texts, toxic, worse = _labelled(2)
     above = model.probabilities(severity._scores(model, pa.array(texts)))
@@ -132,11 +132,11 @@ def test_held_out_severity():
     assert means == sorted(means) and means[-1] - means[1] > 0.8
 
 
-def test_copies_share_their_weight():
+def test_copies_share_their_weight(spark):
     """Half of the toxic labels are on copies of one harmless text; its words must not become signs of toxicity."""
     texts, toxic, _ = _labelled(3)
     odd = " ".join(f"harmless{i}" for i in range(60))
-    model = severity.fit_table(_table(texts + [odd + f" {i}" for i in range(400)], toxic + [1] * 400))
+    model = _fitted(spark, texts + [odd + f" {i}" for i in range(400)], toxic + [1] * 400)
     assert any(w.startswith("grumf") for w in model.words) and not any(w.startswith("harmless") for w in model.words)
 
 

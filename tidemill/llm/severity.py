@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm import cws
 from tidemill.llm.words import slices, text_column, word_codes
+from tidemill.session import cut
 
 #: The most labelled documents the model is fitted on.
 FIT_ROWS = 8_000
@@ -153,46 +154,46 @@ def _regress(row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.n
     return w, first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
 
 
-def fit_table(sample: pa.Table, grades: int = GRADES) -> Model:
-    """The model of a sample with the columns of ``_features``."""
-    sample = sample.combine_chunks()
-    toxic = sample.column("toxic").to_numpy().astype(np.int64) == 1
-    n = len(toxic)
-    if not toxic.any() or toxic.all():
-        return Model([], np.empty(0), np.arange(grades) + (40.0 if not toxic.any() else -40.0))
-    lists = sample.column("words").combine_chunks()
-    words = lists.flatten().dictionary_encode()
-    column = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    row = np.repeat(np.arange(n), lengths)
-    x = sample.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    sketches = np.frombuffer(b"".join(sample.column("sketch").to_pylist()), np.uint16).reshape(n, -1)
-    weight = _copy_weights(sketches)
-
-    size = len(words.dictionary)
-    in_toxic = np.bincount(column, (weight * toxic)[row], size)
-    in_clean = np.bincount(column, (weight * ~toxic)[row], size)
-    all_toxic, all_clean = weight[toxic].sum(), weight[~toxic].sum()
-    odds = np.log((in_toxic + 0.5) / (all_toxic - in_toxic + 0.5)) - np.log((in_clean + 0.5) / (all_clean - in_clean + 0.5))
-    error = np.sqrt(1 / (in_toxic + 0.5) + 1 / (all_toxic - in_toxic + 0.5) + 1 / (in_clean + 0.5) + 1 / (all_clean - in_clean + 0.5))
-    chosen = (np.abs(odds) >= LEAST_ODDS) & (np.abs(odds) >= LEAST_Z * error)
-    names = words.dictionary.to_numpy(zero_copy_only=False)
-
-    evidence = np.bincount(row, np.where(chosen & (odds > 0), odds, 0)[column] * x, n)
-    grade = _grades(toxic, evidence, grades)
-    index = np.cumsum(chosen) - 1
-    own = chosen[column]
-    w, thresholds = _regress(row[own], index[column[own]], x[own], grade, weight, int(chosen.sum()), grades)
-    return Model(names[chosen].tolist(), w, thresholds)
-
-
 def fit(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, grades: int = GRADES) -> Model:
-    """The model of at most ``rows`` labelled documents of ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``."""
+    """The model of at most ``rows`` labelled documents of ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``.
+
+    Features are counted and chosen by Spark; the driver gets the sample's fingerprints and the occurrences of the chosen features.
+    """
+    spark = docs.sparkSession
     chosen = labels.select("doc_id", "toxic").filter("doc_id is not null and toxic is not null")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
     seen = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "text").limit(rows)
-    return fit_table(seen.mapInArrow(_features, "toxic int, words array<string>, x array<float>, sketch binary").toArrow(), grades)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sample = seen.repartition(parts).mapInArrow(_features, "toxic int, words array<string>, x array<float>, sketch binary")
+    sample = cut(sample.withColumn("row", F.monotonically_increasing_id()))
+
+    known = sample.select("row", "toxic", "sketch").orderBy("row").toArrow().combine_chunks()
+    number = known.column("row").to_numpy()
+    toxic = known.column("toxic").to_numpy().astype(np.int64) == 1
+    if not toxic.any() or toxic.all():
+        return Model([], np.empty(0), np.arange(grades) + (-40.0 if toxic.any() else 40.0))
+    weight = _copy_weights(np.stack([np.frombuffer(s, np.uint16) for s in known.column("sketch").to_pylist()]))
+
+    weights = spark.createDataFrame(pa.table({"row": number, "weight": weight, "bad": toxic}))
+    every = sample.select("row", F.explode(F.arrays_zip("words", "x")).alias("f")).select("row", F.col("f.words").alias("word"), F.col("f.x").alias("x"))
+    counted = every.join(F.broadcast(weights), "row").groupBy("word").agg(F.sum(F.when(F.col("bad"), F.col("weight")).otherwise(0.0)).alias("t"), F.sum(F.when(~F.col("bad"), F.col("weight")).otherwise(0.0)).alias("c"))
+    cells = [F.col("t") + 0.5, float(weight[toxic].sum()) - F.col("t") + 0.5, F.col("c") + 0.5, float(weight[~toxic].sum()) - F.col("c") + 0.5]
+    odds = F.log(cells[0]) - F.log(cells[1]) - F.log(cells[2]) + F.log(cells[3])
+    error = F.sqrt(sum(1 / c for c in cells))
+    telling = counted.select("word", odds.alias("odds"), error.alias("error")).filter((F.abs("odds") >= LEAST_ODDS) & (F.abs("odds") >= LEAST_Z * F.col("error")))
+    telling = cut(telling.select("word", "odds"))
+    words = telling.orderBy("word").toArrow().combine_chunks()
+    found = every.join(F.broadcast(telling.select("word")), "word").orderBy("row", "word").toArrow().combine_chunks()  # the sample bounds both
+
+    names = words.column("word").to_pylist()
+    index = {w: i for i, w in enumerate(names)}
+    row = np.searchsorted(number, found.column("row").to_numpy())
+    column = np.fromiter((index[w] for w in found.column("word").to_pylist()), np.int64, found.num_rows)
+    x = found.column("x").to_numpy().astype(np.float64)
+    evidence = np.bincount(row, np.maximum(words.column("odds").to_numpy(), 0)[column] * x, len(toxic)) if names else np.zeros(len(toxic))
+    w, thresholds = _regress(row, column, x, _grades(toxic, evidence, grades), weight, len(names), grades)
+    return Model(names, w, thresholds)
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:
