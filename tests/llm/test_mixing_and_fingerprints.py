@@ -137,3 +137,15 @@ def test_importance_raises_the_odds(spark):
 def test_numbering_without_one_task(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).alias("x"))
     assert [r["rank"] for r in pareto.ranked(df, F.asc("x")).orderBy("x").collect()] == list(range(1000))
+
+
+@pytest.mark.parametrize("share", [0.3, 0.45])
+def test_mix_walks_on_past_a_giant_document(spark, share):
+    rows = [(1000 * s + i, f"s{s:02}", "word " * (100_000 if i == 500 else 200)) for s in range(8) for i in range(501)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    target = share * 200_000
+    taken = Counter()
+    for r in pareto.mix(docs, weights=(1,), share=share).collect():
+        taken[r.doc_id // 1000] += r.taken
+    assert len(taken) == 8
+    assert all(abs(words - target) <= 100 for words in taken.values()), taken

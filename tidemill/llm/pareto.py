@@ -6,8 +6,10 @@ all words; a source's target stops at ``most`` times its words, and the excess i
 A source whose target is ``r`` times its words takes every document ``floor(r)`` times (certain whole copies). For the rest, ``f =
 r - floor(r)`` of its words, documents are ranked by random odds divided by inclusion odds, ``u / (1 - u)`` over ``f / (1 - f)``
 (times ``importance``, when a column gives one), and taken from the lowest rank on until the next one would pass the target in words. That
-fixes the size of the sample in words; at most ``CLOSING`` more documents, each the one that comes nearest to what is left, close it as long as
-that brings the total nearer. The random number is a keyed hash of the row, so reruns agree.
+fixes the size of the sample in words; ``CLOSING`` more documents, each the one that comes nearest to what is left, close it as long as
+that brings the total nearer. Where documents that are left would still bring it nearer, or the last one passes the target by more than the mean of those
+left, the sample goes on from there down the ranks, past documents that do not fit, until none fits, and the nearest one closes it;
+whichever is nearer to the target counts. The random number is a keyed hash of the row, so reruns agree.
 
 No source is sorted as a whole: ranks are summed up in 4096 ranges, the range with the end of the sample in 4096 again, and only rows of that
 small range are put in order.
@@ -84,6 +86,72 @@ def _end_of(rows: DataFrame, bucket: Column, base: Column) -> DataFrame:
     return over.groupBy("sid").agg(F.min_by(F.struct("bucket", (F.col("through") - F.col("words")).alias("base")), "bucket").alias("b")).select("sid", "b.*")
 
 
+def _ended(drawn: DataFrame) -> DataFrame:
+    """Per source where its documents in rank order pass ``rest``: ``sid, fine_end, end, have, want``; no row where they do not."""
+    wide, fine = F.shiftright("at", 28), F.shiftright("at", 16)
+    first = _end_of(drawn, wide, F.lit(0).cast("long")).withColumnRenamed("bucket", "wide_end").withColumnRenamed("base", "base1")
+    near = drawn.join(first, "sid").filter(wide == F.col("wide_end"))
+    second = _end_of(near, fine, F.col("base1")).withColumnRenamed("bucket", "fine_end").withColumnRenamed("base", "base2")
+    last = near.join(second, "sid").filter(fine == F.col("fine_end"))
+    through = F.col("base2") + F.sum("size").over(Window.partitionBy("sid").orderBy("c", "doc_id", "copy").rowsBetween(Window.unboundedPreceding, 0))
+    return last.withColumn("through", through).withColumn("in_", F.col("through") <= F.col("rest")).groupBy("sid").agg(
+        F.first("fine_end").alias("fine_end"), F.max(F.when(F.col("in_"), _order())).alias("end"),
+        F.coalesce(F.max(F.when(F.col("in_"), F.col("through"))), F.first("base2")).alias("have"), F.first("rest").alias("want"),
+    )
+
+
+def _order() -> Column:
+    return F.struct("c", "doc_id", "size", "copy")
+
+
+def _before_end() -> Column:
+    """Whether a row joined with ``_ended`` comes before the end."""
+    fine = F.shiftright("at", 16)
+    return F.coalesce(fine < F.col("fine_end"), F.lit(False)) | (F.coalesce(fine == F.col("fine_end"), F.lit(False)) & F.coalesce(_order() <= F.col("end"), F.lit(False)))
+
+
+def _nearest(free: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Per source the document that comes nearest to ``gap``, if it brings the total nearer: ``uid, sid, size, gap``."""
+    m = F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "c", "doc_id", "size", "copy", "uid")).alias("m")
+    return cut(free.join(gaps, "sid").groupBy("sid").agg(m, F.first("gap").alias("gap")).filter("m.off < gap").select("m.uid", "sid", "m.size", "gap"))
+
+
+def _walked(left: DataFrame, gaps: DataFrame, closed: DataFrame) -> DataFrame:
+    """``uid`` of the documents that close the samples: ``closed``, or a walk on down the ranks where that leaves room for more."""
+    sums = closed.groupBy("sid").agg(F.sum("size").alias("words"), F.sum(F.when(F.col("size") > F.col("gap"), F.col("size"))).alias("over"))
+    misses = gaps.join(sums, "sid", "left").select("sid", (F.col("gap") - F.coalesce("words", F.lit(0))).alias("miss"), F.coalesce("over", F.lit(0)).alias("over"))
+    unused = left.join(closed.select("uid"), "uid", "left_anti").filter("size > 0")
+    least = unused.groupBy("sid").agg(F.min("size").alias("least"), F.avg("size").alias("mean"))
+    misses = cut(misses.join(least, "sid").filter("(miss > 0 and least < 2 * miss) or (miss < 0 and mean < -miss)"))
+    if misses.isEmpty():
+        return closed.select("uid")
+    # The document that passes the target is put back there, and the ranks are followed past the documents that do not fit.
+    fits = closed.filter("size <= gap").select("uid", "sid", "size")
+    start = misses.select("sid", (F.col("miss") + F.col("over")).alias("gap"))
+    free = cut(left.filter("size > 0").join(fits.select("uid"), "uid", "left_anti").join(misses.select("sid"), "sid", "left_semi"))
+    open_, room, walked = free, start, None
+    while True:
+        fitting = cut(open_.join(room.withColumnRenamed("gap", "rest"), "sid").filter("size <= rest"))
+        if fitting.isEmpty():
+            break
+        ends = cut(_ended(fitting))
+        now = cut(fitting.join(ends, "sid", "left").filter(F.col("want").isNull() | _before_end()).select("uid", "sid", "size", "rest"))
+        walked = now if walked is None else walked.unionByName(now)
+        room = cut(now.groupBy("sid").agg((F.first("rest") - F.sum("size")).alias("gap")))
+        open_ = fitting.drop("rest").join(now.select("uid"), "uid", "left_anti")
+    if walked is not None:
+        taken = walked.groupBy("sid").agg(F.sum("size").alias("words"))
+        start = start.join(taken, "sid", "left").select("sid", (F.col("gap") - F.coalesce("words", F.lit(0))).alias("gap"))
+        free = free.join(walked.select("uid"), "uid", "left_anti")
+    start = cut(start)
+    last = _nearest(free, start)
+    ends = start.join(last.select("sid", "size"), "sid", "left").withColumn("end", F.abs(F.col("gap") - F.coalesce("size", F.lit(0))))
+    better = cut(ends.join(misses, "sid").filter("end < abs(miss)").select("sid"))
+    more = fits.select("uid", "sid").unionByName(last.select("uid", "sid"))
+    more = more if walked is None else more.unionByName(walked.select("uid", "sid"))
+    return more.join(better, "sid", "left_semi").select("uid").unionByName(closed.join(better, "sid", "left_anti").select("uid"))
+
+
 def plan(base: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: str = SEED) -> DataFrame:
     """``base(uid, doc_id, source, size, importance)``, a written table, with ``source_size, target, times``.
 
@@ -106,33 +174,18 @@ def plan(base: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, share: float =
     rows = cut(chance.withColumn("at", F.floor(F.col("c") * float(1 << 40))))
 
     drawn = rows.filter("f > 0")
-    wide, fine = F.shiftright("at", 28), F.shiftright("at", 16)
-    first = _end_of(drawn, wide, F.lit(0).cast("long")).withColumnRenamed("bucket", "wide_end").withColumnRenamed("base", "base1")
-    near = drawn.join(first, "sid").filter(wide == F.col("wide_end"))
-    second = _end_of(near, fine, F.col("base1")).withColumnRenamed("bucket", "fine_end").withColumnRenamed("base", "base2")
-    order = F.struct("c", "doc_id", "size", "copy")
-    last = near.join(second, "sid").filter(fine == F.col("fine_end"))
-    through = F.col("base2") + F.sum("size").over(Window.partitionBy("sid").orderBy("c", "doc_id", "copy").rowsBetween(Window.unboundedPreceding, 0))
-    ended = last.withColumn("through", through).withColumn("in_", F.col("through") <= F.col("rest")).groupBy("sid").agg(
-        F.first("fine_end").alias("fine_end"), F.max(F.when(F.col("in_"), order)).alias("end"),
-        F.coalesce(F.max(F.when(F.col("in_"), F.col("through"))), F.first("base2")).alias("have"), F.first("rest").alias("want"),
-    )
-    ended = cut(ended)
-    taken = (F.col("f") > 0) & (
-        F.coalesce(fine < F.col("fine_end"), F.lit(False)) | ((fine == F.col("fine_end")) & F.coalesce(order <= F.col("end"), F.lit(False)))
-    )
-    marked = cut(rows.join(ended, "sid", "left").withColumn("taken", F.coalesce(taken, F.lit(False))))
+    ended = cut(_ended(drawn))
+    marked = cut(rows.join(ended, "sid", "left").withColumn("taken", (F.col("f") > 0) & _before_end()).drop("fine_end", "end", "have", "want"))
 
     gaps = ended.select("sid", (F.col("want") - F.col("have")).alias("gap"))
-    left, closed = marked.filter("f > 0 and not taken"), None
+    left = marked.filter("f > 0 and not taken").select("uid", "sid", "c", "at", "doc_id", "size", "copy")
+    closed, still = None, gaps
     for _ in range(CLOSING):
-        free = left if closed is None else left.join(closed.select("uid"), "uid", "left_anti")
-        nearest = F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "c", "doc_id", "size", "copy", "uid")).alias("m")
-        more = cut(free.join(gaps, "sid").groupBy("sid").agg(nearest, F.first("gap").alias("gap")).filter("m.off < gap"))
-        closed_now = more.select("m.uid", "sid", "m.size")
-        closed = closed_now if closed is None else closed.unionByName(closed_now)
-        gaps = more.select("sid", (F.col("gap") - F.col("m.size")).alias("gap"))
-    chosen = marked.join(closed.select("uid", F.lit(True).alias("closing")), "uid", "left")
+        more = _nearest(left if closed is None else left.join(closed.select("uid"), "uid", "left_anti"), still)
+        closed = more if closed is None else closed.unionByName(more)
+        still = more.select("sid", (F.col("gap") - F.col("size")).alias("gap"))
+    extra = _walked(left, gaps, closed)
+    chosen = marked.join(extra.select("uid", F.lit(True).alias("closing")), "uid", "left")
     times = F.col("whole") + (F.col("taken") | F.coalesce("closing", F.lit(False))).cast("int")
     return chosen.select("uid", "doc_id", "source", "size", "source_size", "target", times.cast("int").alias("times"))
 
