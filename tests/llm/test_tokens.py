@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import SF_DIR, words
 from tidemill.llm import linmax, packing, simple8b, token_file
@@ -170,6 +171,15 @@ def test_packing_in_many_cells(spark, whole):
     assert used <= len(together.loads) + 3
 
 
+@pytest.mark.parametrize("n", [5000, 20_000])
+def test_packing_of_empty_texts(spark, n):
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "").alias("text"))
+    rows = packing.pack(docs).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(n)) and {r.length for r in rows} == {1}
+    assert len({(r.sequence_id, r.offset) for r in rows}) == n and max(r.offset for r in rows) < packing.CAPACITY
+    assert len({r.sequence_id for r in rows}) == -(-n // packing.CAPACITY)
+
+
 def test_genetic_search_beats_first_guess():
     """Triples that fill a bin exactly: best fit by falling size leaves gaps that crossover and mutation close."""
     rng = random.Random(4)

@@ -1,7 +1,7 @@
 """Packing documents into sequences with a grouping genetic algorithm on islands (operator 7).
 
 Documents become pieces of at most ``capacity`` ids; full pieces are sequences of their own. The other pieces are dealt by a
-hash into cells of about ``CELL`` pieces, so the work of a task does not depend on the size of the table. Each cell is evolved by
+hash into cells of about ``CELL`` pieces, or of more where those would not fill ``CELL_BINS`` sequences, so the work of a task does not depend on the size of the table. Each cell is evolved by
 ``ISLANDS`` tasks that start from different populations; between epochs each island sends its best packing to the next one.
 
 * Crossover injects whole, well-filled bins of one parent into the other, removes the bins that hold an injected piece a
@@ -38,6 +38,7 @@ ISLANDS = 3
 EPOCHS = 2
 GENERATIONS = 4
 POPULATION = 4
+CELL_BINS = 4
 OPEN_SHARE = 40
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -242,16 +243,18 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, end_id: int | None =
     every = cut(pieces(docs, tokenizer=tokenizer, end_id=end_id, capacity=capacity).withColumn("uid", F.monotonically_increasing_id()))
     full = every.filter(F.col("length") == capacity).withColumns({"sequence_id": -1 - F.col("uid"), "offset": F.lit(0).cast("long")})
     part = every.filter(F.col("length") < capacity)
-    items, level, closed = part.select("uid", "length"), 0, None
-    while n := items.count():
-        cells = math.ceil(n / cell)
+    items, level, closed, before = part.select("uid", "length"), 0, None, None
+    while (size := items.agg(F.count("*").alias("n"), F.sum("length").alias("ids")).first()).n:  # two numbers
+        cells = max(1, min(math.ceil(size.n / cell), size.ids // (CELL_BINS * capacity)))
+        if before and size.ids > before[1] / 2:  # every level has to come nearer to the last
+            cells = max(1, min(cells, before[0] // 2))
         packed = cut(_pack_cells(items, cells, capacity, level))
         done = packed if cells == 1 else packed.filter(~F.col("open"))
         done = done.select("uid", "sequence_id", "offset")
         closed = done if closed is None else closed.unionByName(done)
         if cells == 1:
             break
-        items, level = packed.filter("open").select("uid", "length"), level + 1
+        items, level, before = packed.filter("open").select("uid", "length"), level + 1, (cells, size.ids)
     if closed is None:
         return full.drop("uid")
     return part.join(closed, "uid").unionByName(full).drop("uid")
