@@ -79,6 +79,19 @@ def test_reading(html, texts):
     assert [t for t in Page(html).text if t] == texts
 
 
+@pytest.mark.parametrize(
+    "html, texts",
+    [
+        ("<head><title>T</title><meta x><p>a</p><header>b</header><p>c", ["a", "b", "c"]), ("<HEAD><style>s</style></HEAD><p>a", ["a"]),
+        ("<p>" + "\u0130" * 30 + "<script>x</script><p>after</p>", ["\u0130" * 30, "after"]), ("<style>a</styles>b</STYLE >c", ["c"]),
+        ("<svg><path d='x'><p>a</p>", ["a"]), ("<video src=x><p>a</p><video>no</video><p>b", ["a", "b"]), ("<svg><svg>x</svg>y</svg>z", ["z"]),
+        ("<noscript><p>a", ["a"]), ("<title>T<p>a", ["a"]), ("a<style>never ends", ["a"]),
+    ],
+)
+def test_reading_past_silent_elements(html, texts):
+    assert [t for t in Page(html).text if t] == texts
+
+
 def test_extract(spark, htmls, model):
     rows = [(1, "u", htmls[0], "x"), (1, "u", htmls[0], "x"), (2, None, None, "x"), (None, "v", "", "x"), (4, "w", "<article><p>" + "long words here. " * 50_000, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

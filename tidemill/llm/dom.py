@@ -10,8 +10,9 @@ from __future__ import annotations
 import re
 from html import unescape
 
-#: Elements without text of a page, elements without content, inline elements, what an opening tag closes.
+#: Elements without text of a page, those of them that hold no tags, elements without content, inline elements, what an opening tag closes.
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video head title".split())
+RAW = frozenset("script style title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split()
@@ -24,6 +25,8 @@ CLOSES = {
 }
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))""", re.S)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I | re.A) for name in RAW}
+_NESTED = {name: re.compile(rf"<(/?){name}(?=[\s/>]|\Z)[^>]*+>?", re.I | re.A) for name in SILENT - RAW}
 _NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -64,7 +67,7 @@ class Page:
 
     def _read(self, html: str) -> None:
         stack, run, linked = [0], [], [0, 0]
-        at, in_link, lowered = 0, False, None
+        at, in_link, ends = 0, False, {}
 
         def words(piece: str) -> None:
             piece = unescape(piece) if "&" in piece else piece
@@ -92,18 +95,11 @@ class Page:
                 elif name == "p" or name == "br":
                     self._flush(stack[-1], run, linked, False) if name == "p" else run.append(" ")
                 continue
+            if name == "head":  # holds silent and void elements only; whatever else comes ends it
+                continue
             if name in SILENT:
-                if name in ("head", "title") or not found[3].endswith("/>"):
-                    lowered = lowered or html.lower()
-                    end = lowered.find(f"</{name}", at)
-                    if name == "head" and end < 0:
-                        end = lowered.find("<body", at)
-                        at = len(html) if end < 0 else end
-                    elif end < 0:
-                        at = len(html)
-                    else:
-                        close = html.find(">", end)
-                        at = len(html) if close < 0 else close + 1
+                if name == "title" or not found[3].endswith("/>"):
+                    at = self._silent_end(html, name, found.start(), at, ends)
                 continue
             if name in INLINE:
                 if name == "a":
@@ -134,6 +130,25 @@ class Page:
             self._flush(stack[-1], run, linked, True)
             stack.pop()
 
+    @staticmethod
+    def _silent_end(html: str, name: str, start: int, at: int, ends: dict[str, dict[int, int]]) -> int:
+        """Where reading goes on after a silent element's opening tag ``html[start:at]``; ``ends`` keeps the ends found by name."""
+        if name in RAW:
+            end = _RAW_END[name].search(html, at)
+            if not end:
+                return len(html) if name != "title" else max(html.find("<", at), at)
+            close = html.find(">", end.end())
+            return len(html) if close < 0 else close + 1
+        if name not in ends:
+            opened, ends[name] = [], {}
+            for tag in _NESTED[name].finditer(html):
+                if not tag[1]:
+                    if not tag[0].endswith("/>"):
+                        opened.append(tag.start())
+                elif opened:
+                    ends[name][opened.pop()] = tag.end()
+        return ends[name].get(start, at)  # one that is never closed hides its tag alone
+
     def _open(self, stack: list[int]) -> list[str]:
         return [self.tag[i] for i in stack[1:]]
 
