@@ -103,6 +103,23 @@ def test_extract(spark, htmls, model):
     assert main_text.extract(pages.limit(0), model).count() == 0
 
 
+def test_fit_finds_the_marked_pages(spark, htmls):
+    bare = [re.sub("</?article>", "", h) for h in htmls]
+    few = spark.createDataFrame([(i, "u", htmls[i % 100] if i % 200 == 0 else bare[i % 100]) for i in range(1000)], "page_id long, url string, html string")
+    long = spark.createDataFrame([(i, "u", "<!--" + "x" * 3000 + "-->" + h) for i, h in enumerate(htmls[:60])], "page_id long, url string, html string")
+    for pages, chars in ((few, 100_000), (long, 2_000)):
+        got = main_text.extract(pages, main_text.fit(pages, chars=chars)).collect()
+        assert sum(r.n_chars > 0 for r in got) > 0.9 * len(got)
+
+
+def test_fit_without_marked_pages(spark, htmls):
+    bare = [re.sub("</?article>", "", h) for h in htmls[:100]]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate(bare)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text.extract(pages, main_text.fit(pages)).collect()}
+    shared = [len(set(got[i].split("\n")) & (own := set(_article(htmls[i]).split("\n")))) / len(own) for i in range(100)]
+    assert np.mean(shared) > 0.8
+
+
 def test_trees_learn_interactions():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(4000, 4))

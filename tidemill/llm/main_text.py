@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.llm import trees
 from tidemill.llm.dom import Page
@@ -32,6 +32,7 @@ from tidemill.llm.dom import Page
 FIT_PAGES = 160
 FIT_CHARS = 100_000
 LAYOUTS = 4
+MARK = r"(?i)<(?:article|main)(?=[\s/>])"
 _MARKS, _DIGITS = ".,;:!?", "0123456789"
 
 FEATURES = (
@@ -293,16 +294,12 @@ def _marked(page: Page) -> list[bool] | None:
 
 
 def _examples(htmls: list[str], seed: int = 1) -> Iterator[tuple[Page, list[bool]]]:
-    """Pages with their main leaves: those marked by the page itself, and the layouts made around their texts."""
+    """Pages with their main leaves: those marked by the page itself, and the layouts made around their texts; around all texts when no page is marked."""
     rng = random.Random(seed)
-    marked = []
-    for html in htmls:
-        page = Page(html)
-        main = _marked(page)
-        if main and any(main):
-            marked.append((page, main))
+    read = [Page(html) for html in htmls]
+    marked = [(page, main) for page in read if any(main := _marked(page) or [])]
     yield from marked
-    texts = [[t for t, m in zip(page.text, main) if m] for page, main in marked]
+    texts = [[t for t, m in zip(page.text, main) if m] for page, main in marked] or [ts for page in read if (ts := _long_texts(page))]
     paragraphs = [t for ts in texts for t in ts]
     if not paragraphs:
         return
@@ -320,6 +317,11 @@ def _examples(htmls: list[str], seed: int = 1) -> Iterator[tuple[Page, list[bool
             yield page, main
 
 
+def _long_texts(page: Page) -> list[str]:
+    """The longer leaves of a page that are mostly not links, or all leaves when it has none."""
+    return [t for t, k in zip(page.text, page.links) if len(t) >= 80 and 2 * k < len(t)] or [t for t in page.text if t]
+
+
 def _spread(page: Page, main: list[bool]) -> list[bool]:
     """A node holds main text when a node below it does."""
     out = list(main)
@@ -329,7 +331,7 @@ def _spread(page: Page, main: list[bool]) -> list[bool]:
 
 
 def fit_pages(htmls: list[str]) -> Model | None:
-    """The model of a sample of pages; None when no page marks its main text."""
+    """The model of a sample of pages; None when no page has any text."""
     examples = [(page, _spread(page, main)) for page, main in _examples(htmls)]
     if not examples:
         return None
@@ -347,14 +349,23 @@ def fit_pages(htmls: list[str]) -> Model | None:
     return Model(tags, tokens, trees.fit(x[below], y[below]))
 
 
-def fit(pages: DataFrame, *, sample: int = FIT_PAGES, chars: int = FIT_CHARS) -> Model | None:
-    """The model of at most ``sample`` pages of ``pages(page_id, html)``, each of at most ``chars`` characters."""
-    small = pages.select("page_id", "html", F.xxhash64("html").alias("hash")).filter(F.length("html") <= chars)
-    chosen = small.select("page_id", "hash").distinct().orderBy(F.xxhash64("page_id"), "page_id", "hash").limit(sample)  # ids only
+def _sampled(pages: DataFrame, begin: Column, sample: int, chars: int) -> list[str]:
+    """At most ``sample`` pages, those of at most ``chars`` characters first; of a longer one that many characters around position ``begin``."""
+    long = F.length("html") > chars
+    part = F.when(long, F.substr("html", F.greatest(F.lit(1), begin - chars // 4), F.lit(chars))).otherwise(F.col("html"))
+    every = pages.select("page_id", F.xxhash64("html").alias("hash"), long.alias("long"), part.alias("html"))
+    chosen = every.select("page_id", "hash", "long").distinct().orderBy("long", F.xxhash64("page_id"), "page_id", "hash").limit(sample)  # ids only
     chosen = chosen.select(F.col("page_id").alias("id"), F.col("hash").alias("h"))
-    met = small.join(F.broadcast(chosen), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h")))
+    met = every.join(F.broadcast(chosen), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("h")))
     rows = met.groupBy("id", "h").agg(F.first("html").alias("html")).orderBy("id", "h").collect()  # bounded by both parameters
-    return fit_pages([r.html for r in rows])
+    return [r.html for r in rows]
+
+
+def fit(pages: DataFrame, *, sample: int = FIT_PAGES, chars: int = FIT_CHARS) -> Model | None:
+    """The model of at most ``sample`` pages of ``pages(page_id, html)`` that mark their main text, or of any when none does."""
+    filled = pages.select("page_id", "html").filter(F.length("html") > 0)
+    marked = _sampled(filled.filter(F.col("html").rlike(MARK)), F.regexp_instr("html", F.lit(MARK)), sample, chars)
+    return fit_pages(marked or _sampled(filled, F.lit(1), sample, chars))
 
 
 def extract_one(html: str, model: Model) -> str:
