@@ -175,6 +175,17 @@ def test_native_test_passes_every_accepted_pair(spark, threshold):
     assert len(passed & set(pairs)) < 0.6 * len(pairs)
 
 
+def test_rare_keys_of_spread_insertions(spark):
+    """A long name without repeated trigrams and the same with a letter more after every third: most trigrams of the first are gone."""
+    rng = random.Random(0)
+    a = "".join(rng.choice("abcdefghijklmnopqrstuvw") for _ in range(120))
+    b = "".join(a[i:i + 3] + "z" for i in range(0, 120, 3))
+    assert fuzzy.wratio(a, b) >= 85
+    df = spark.createDataFrame([(0, a)], "pos long, form string")
+    counts = spark.createDataFrame([(b,)], "form string").select(F.explode(fuzzy.keys(F.col("form"))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    assert {r["key"] for r in resolve._rare_keys(df, counts, 85).collect()} & fuzzy._key_set(b)
+
+
 def test_split_hot_keys_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(resolve, "HOT_ROWS", 7)
     names, seeds = random_names(80, seed=8), ["Open AI", "Data Works"]

@@ -100,12 +100,12 @@ def _may_match(threshold: int, scorer: str) -> Column:
     return F.when(similar_length, alike).otherwise(inside)
 
 
-def _rare_keys(forms: DataFrame, counts: DataFrame, threshold: int) -> DataFrame:
+def _rare_keys(forms: DataFrame, counts: DataFrame, threshold: int, scorer: str = "wratio") -> DataFrame:
     """``pos, key``: of each list of a form's keys the rarest ones, as many as must hold a key shared with any longer accepted name."""
     lists = forms.filter("form <> ''").select("pos", F.posexplode(fuzzy.key_lists(F.col("form"))).alias("list", "keys"))
     listed = lists.select("pos", "list", F.size("keys").alias("size"), F.explode("keys").alias("key")).join(counts, "key", "left")
     ordered = listed.groupBy("pos", "list").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("keys"))
-    some = F.slice("keys", F.lit(1), F.least(F.col("size"), fuzzy.prefix_size(F.col("size"), threshold)))
+    some = F.slice("keys", F.lit(1), F.least(F.col("size"), fuzzy.prefix_size(F.col("size"), threshold, scorer)))
     return ordered.select("pos", F.explode(some).alias("k")).filter("k.n > 0").select("pos", F.col("k.key").alias("key")).distinct()
 
 
@@ -148,7 +148,7 @@ def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str,
         return df.select("*", F.explode(key).alias(name))
 
     counts = cut(refs.select(F.explode(fuzzy.keys(F.col("form"))).alias("key")).groupBy("key").agg(F.count("*").alias("n")))
-    rare_a, rare_b = _rare_keys(left, counts, threshold), _rare_keys(refs, counts, threshold)
+    rare_a, rare_b = _rare_keys(left, counts, threshold, scorer), _rare_keys(refs, counts, threshold, scorer)
     rare_b = rare_b.select(F.col("pos").alias("ref_pos"), F.col("key").alias("ref_key"))
     not_longer = F.length("form") <= F.length("ref_form")
     pairs = (
