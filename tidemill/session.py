@@ -72,14 +72,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, *, large: bool = False) -> DataFrame:
     """Write the rows to the shared scratch folder and read them back, which drops the lineage.
 
     The copy outlives any executor, the rows are computed once (a checkpoint computes them twice), and the
-    planner knows the size of what it reads, so it can tell small sides from large ones.
+    planner knows the size of what it reads, so it can tell small sides from large ones. ``large`` is for rows of up to megabytes:
+    row groups are then closed by their size, looked at after every row, and compressed harder.
     """
     path = scratch_path(df.sparkSession, "step")
-    df.write.parquet(path)
+    writer = df.write
+    if large:
+        writer = writer.options(**{"compression": "zstd", "parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1})
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
