@@ -35,6 +35,21 @@ def slices(batch: pa.RecordBatch, name: str = "text", limit: int = SLICE_BYTES)
         start = stop
 
 
+def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(data, offsets)``: text ``i`` of a string column without nulls has the bytes ``data[offsets[i]:offsets[i + 1]]``."""
+    _, ends, data = texts.buffers()
+    offsets = np.frombuffer(ends, np.int32)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    if data is None or offsets[0] == offsets[-1]:
+        return np.empty(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets.astype(np.int64) - offsets[0]
+
+
+def recoded(texts: pa.Array, table: np.ndarray) -> pa.Array:
+    """The texts with every byte ``b`` replaced by ``table[b]``, which has to keep the bytes from 128 on."""
+    data, offsets = raw(texts)
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(table[data]))
+
+
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """``(codes, offsets, words)``: text ``i`` has the words ``words[codes[offsets[i]:offsets[i + 1]]]``."""
     lists = pc.ascii_split_whitespace(texts)
