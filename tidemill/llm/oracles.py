@@ -110,6 +110,68 @@ with recursive vectors as (
 select n.vec_id, coalesce(c.n, 0)::bigint n_links, component_id, n.vec_id = component_id kept from named n left join counted c using (vec_id)
 """
 
+#: Phrases of two and three words by their words; a piece is a list of words.
+COLLOCATIONS = r"""
+with pieces as (
+  select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece
+  from documents
+), split as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from pieces
+), one as (
+  select lang, x, count(*) f from (select lang, unnest(w) x from split) group by all
+), two as (
+  select lang, g.x x, g.y y, count(*) f from (select lang, unnest(list_transform(range(1, len(w)), lambda i: {'x': w[i], 'y': w[i + 1]})) g from split) group by all having count(*) >= 10
+), three as (
+  select lang, g.x x, g.y y, g.z z, count(*) f
+  from (select lang, unnest(list_transform(range(1, len(w) - 1), lambda i: {'x': w[i], 'y': w[i + 1], 'z': w[i + 2]})) g from split) group by all having count(*) >= 10
+), inside as (
+  select lang, x, y, max(f) g from (select lang, x, y, f from three union all select lang, y, z, f from three) group by all
+), pairs as (
+  select t.lang, t.x || ' ' || t.y phrase, t.f a, l.f l, r.f r, (1000000::hugeint * t.f * t.f) // (l.f::hugeint * r.f) score
+  from two t join one l on l.lang = t.lang and l.x = t.x join one r on r.lang = t.lang and r.x = t.y
+  left join inside i on i.lang = t.lang and i.x = t.x and i.y = t.y where i.g is null or 100 * i.g < 50 * t.f
+), cuts as (
+  select t.lang, t.x || ' ' || t.y || ' ' || t.z phrase, t.f a, h.f l1, hr.f r1, (1000000::hugeint * t.f * t.f) // (h.f::hugeint * hr.f) s1,
+         tl.f l2, e.f r2, (1000000::hugeint * t.f * t.f) // (tl.f::hugeint * e.f) s2
+  from three t join one h on h.lang = t.lang and h.x = t.x join one e on e.lang = t.lang and e.x = t.z
+  join two hr on hr.lang = t.lang and hr.x = t.y and hr.y = t.z join two tl on tl.lang = t.lang and tl.x = t.x and tl.y = t.y
+), phrases as (
+  select * from pairs union all
+  select lang, phrase, a, case when s2 < s1 then l2 else l1 end, case when s2 < s1 then r2 else r1 end, least(s1, s2) from cuts
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) rank from phrases
+), words as (
+  select lang, sum(f)::bigint n from one group by lang
+)
+select lang, rank, phrase, a, l, r, n, score::bigint score from ranked join words using (lang) where rank <= 2000
+"""
+
+#: Every score of every document that holds a term of the item.
+SEARCH = r"""
+with terms as (
+  select row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) t
+  from (select row_number() over () row, doc_id, text from documents)
+), counted as (
+  select row, doc_id, t, count(*) tf from terms group by all
+), lengths as (
+  select row, sum(tf)::bigint n from counted group by row
+), totals as (
+  select count(*) documents, sum(n)::bigint words from lengths
+), weights as (
+  select t, floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1)::double))::bigint w from counted, totals group by t
+), asked as (
+  select item, item_id, t, count(*) times from (
+    select item, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) t
+    from (select row_number() over () item, item_id, text from benchmark)) group by all
+), scored as (
+  select item, item_id, row, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // words))))::bigint score
+  from asked join weights using (t) join counted using (t) join lengths using (row), totals group by all
+)
+select item_id, rank::int rank, doc_id, score from (
+  select *, row_number() over (partition by item order by score desc, doc_id) rank from scored where score > 0
+) where rank <= 20
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op4_minhash_near_dedup": NEAR_DEDUP, "op8_embedding_near_dedup": NEAR_VECTORS, "op10_mix_sources": MIX}
+    return {"op4_minhash_near_dedup": NEAR_DEDUP, "op8_embedding_near_dedup": NEAR_VECTORS, "op10_mix_sources": MIX, "op11_collocations": COLLOCATIONS, "op13_lexical_search": SEARCH}

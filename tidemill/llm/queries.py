@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import bottomk, crosspolytope, cws, linmax, main_text, packing, pareto, severity, surrogates, token_file
+from tidemill.llm import bottomk, collocations, crosspolytope, cws, k2treap, kneser_ney, linmax, main_text, packing, pareto, severity, surrogates, token_file
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,5 +55,18 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto.mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return kneser_ney.predict(docs, kneser_ney.fit(docs))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return k2treap.rank_all(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
