@@ -187,7 +187,9 @@ def entropies(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np
     lettered = np.bincount(text, r.lettered[codes], len(texts)) > 0
     hashes = _hashes(r, model.order)
     # A symbol's chance depends on the longest sequence that ends with it, so each distinct one is looked up once.
-    longest = np.select([r.reach == n for n in range(1, model.order - 1)], [hashes[n + 1][r.place] for n in range(1, model.order - 1)], hashes[model.order][r.place])
+    longest = hashes[model.order][r.place]
+    for n in range(1, model.order - 1):
+        longest = np.where(r.reach == n, hashes[n + 1][r.place], longest)
     _, where, back = np.unique(longest, return_index=True, return_inverse=True)
     place, reach = r.place[where], r.reach[where]
     bits = np.zeros((len(texts), len(model.languages)))
