@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions import fuzzy
-from tidemill.operators import resolve
+from tidemill.operators import cells, resolve
 from tidemill.sources.seeds import DEFAULT_SEEDS, load_seeds
 
 
@@ -110,21 +110,6 @@ def test_shared_key_for_every_accepted_pair():
                 assert inside or fuzzy._key_set(a) & fuzzy._key_set(b), (a, b)
 
 
-@pytest.mark.parametrize("threshold", [81, 85, 92])
-def test_rare_keys_hold_a_shared_one(spark, threshold):
-    """For every accepted pair, the shorter name's rarest keys and all keys of the other have one in common."""
-    names = sorted({form(n) for n in random_names(300, seed=12)} - {""})
-    df = spark.createDataFrame(list(enumerate(names)), "pos long, form string")
-    counts = df.select(F.explode(fuzzy.keys(F.col("form"))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    rare = {r.pos: set(r["keys"]) for r in resolve._rare_keys(df, counts, threshold).groupBy("pos").agg(F.collect_set("key").alias("keys")).collect()}
-    for i, a in enumerate(names):
-        for b in names:
-            if len(a) <= len(b) <= 8 * len(a) and round(fuzzy.wratio(a, b)) >= threshold:
-                linked = len(b) >= 1.5 * len(a) and not set(a.split()).isdisjoint(b.split())
-                short = fuzzy._short(a) or (fuzzy._short(b) and fuzzy._short(b) in a)
-                assert linked or short or rare.get(i, set()) & fuzzy._key_set(b), (a, b)
-
-
 def test_native_forms_and_keys_equal_the_python_ones(spark):
     names = random_names(60) + ["Weights & Biases", "Café Łódź_1", "  x ", "..", "A\tB"]
     df = frame(spark, names).withColumn("form", fuzzy.form(F.col("name")))
@@ -175,15 +160,57 @@ def test_native_test_passes_every_accepted_pair(spark, threshold):
     assert len(passed & set(pairs)) < 0.6 * len(pairs)
 
 
-def test_rare_keys_of_spread_insertions(spark):
+@pytest.mark.parametrize("scorer", ["wratio", "ratio", "levenshtein"])
+@pytest.mark.parametrize("threshold", [81, 85, 92, 97])
+def test_letters_allow_every_accepted_pair(threshold, scorer):
+    """Counts of letters let every accepted pair pass but those accepted for the words they share, which their rarest tokens find."""
+    names = sorted({form(n) for n in random_names(220, seed=31)} | {"a a a b", "ab ab", "aa", "labs labs zeta", "x" * 40} - {""})
+    letters = cells.Letters(names)
+    allowed = cells.may_be_alike(letters, letters, threshold, scorer)
+    loss, passed = max(0, 1 - (threshold - 0.5) / 95), 0
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            if round(fuzzy.SCORERS[scorer](a, b)) < threshold or a == b:
+                passed += bool(allowed[i, j])
+                continue
+            x, y = set(a.split()), set(b.split())
+            similar = max(len(a), len(b)) < 1.5 * min(len(a), len(b))
+            by_words = scorer == "wratio" and x & y and (not similar or cells._set_allows(x, y, loss))
+            assert allowed[i, j] or by_words, (a, b)
+    assert passed < 0.2 * len(names) ** 2
+
+
+@pytest.mark.parametrize("threshold, scorer", [(81, "wratio"), (85, "wratio"), (90, "wratio"), (85, "levenshtein"), (81, "ratio")])
+def test_pairs_in_cells_are_the_accepted_ones(spark, threshold, scorer):
+    names = sorted({form(n) for n in random_names(160, seed=41)} | {"acme labs", "labs acme x", "acme labs io y", "b b", "ab"} - {""})
+    df = spark.createDataFrame(list(enumerate(names)), "pos long, form string")
+    linked = lambda a, b: 1.5 * min(len(a), len(b)) <= max(len(a), len(b)) and not set(a.split()).isdisjoint(b.split())
+    apart = scorer == "wratio" and round(fuzzy.TOKEN_SCORE) >= threshold
+    want = {
+        (i, j) for i, a in enumerate(names) for j, b in enumerate(names)
+        if i > j and round(score_of(scorer)(a, b)) >= threshold and not (apart and linked(a, b)) and max(len(a), len(b)) <= 8 * min(len(a), len(b))
+    }
+    got = [(r.pos, r.ref_pos) for r in resolve._keyed_pairs(df, df, threshold, scorer, earlier_only=True).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize("scorer", ["wratio", "levenshtein", "ratio"])
+def test_one_task_and_parallel_rounds_agree(spark, monkeypatch, scorer):
+    names, seeds = random_names(120, seed=51), ["Open AI"]
+    want = model(names, seeds, scorer=scorer)[0]
+    assert dedup(spark, names, seeds, scorer=scorer) == want
+    monkeypatch.setattr(resolve, "SETTLE_ROWS", 5)
+    assert dedup(spark, names, seeds, scorer=scorer, first_slice=40) == want
+
+
+def test_spread_insertions(spark):
     """A long name without repeated trigrams and the same with a letter more after every third: most trigrams of the first are gone."""
     rng = random.Random(0)
     a = "".join(rng.choice("abcdefghijklmnopqrstuvw") for _ in range(120))
     b = "".join(a[i:i + 3] + "z" for i in range(0, 120, 3))
     assert fuzzy.wratio(a, b) >= 85
-    df = spark.createDataFrame([(0, a)], "pos long, form string")
-    counts = spark.createDataFrame([(b,)], "form string").select(F.explode(fuzzy.keys(F.col("form"))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    assert {r["key"] for r in resolve._rare_keys(df, counts, 85).collect()} & fuzzy._key_set(b)
+    left, right = (spark.createDataFrame([(0, t)], "pos long, form string") for t in (a, b))
+    assert resolve._keyed_pairs(left, right, 85, "wratio").count() == resolve._keyed_pairs(right, left, 85, "ratio").count() == 1
 
 
 def test_split_hot_keys_change_nothing(spark, monkeypatch):

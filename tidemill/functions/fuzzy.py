@@ -55,21 +55,6 @@ def keys(form: Column) -> Column:
     return F.when(form != "", F.array_distinct(F.flatten(key_lists(form))))
 
 
-def prefix_size(size: Column, threshold: int, scorer: str = "wratio") -> Column:
-    """How many of the rarest keys of a list must hold one that a longer accepted name shares.
-
-    Accepted texts leave at most this share of the shorter one unmatched: edits of a ratio ``r`` of the longer text are ``(1 - r) / r`` of
-    it, and of two texts of a scaled ratio ``b``, either of which may be the longer one, ``1 - b / (2 - b)``. Each character touches
-    three trigrams, and two more are lost at the ends of a window. Ratios that count insertions and deletions accept up to ``2 * (1 - r) / r``
-    insertions, each of which takes two trigrams, or ``1 - r`` each of insertions and deletions apart, which take five together.
-    """
-    r, b = (threshold - 0.5) / 100, (threshold - 0.5) / 95
-    lost = 3 * max((1 - r) / r, 1 - b / (2 - b))
-    if scorer != "levenshtein":
-        lost = max(lost, 4 * (1 - r) / r, 5 * (1 - r))
-    return F.ceil(size * lost).cast("int") + 3
-
-
 def short_keys(form: Column) -> Column:
     """A form made of one token of at most two characters, repeated or not; null for other forms."""
     words = F.array_distinct(F.split(form, r"\s+"))

@@ -1,10 +1,10 @@
 """Entity resolution: best match against seeds, batch deduplication, mapping log.
 
 Every pair that can be accepted shares a key (``functions.fuzzy``), so pairs come from an equi-join on keys,
-never from a cross join. Three things keep hot keys from blowing up:
+never from a cross join. These keep hot keys from blowing up:
 
 * names are reduced to their distinct forms before anything is compared;
-* of the two names of a pair the shorter one offers only its rarest keys, as many as are sure to hold a shared one;
+* names that share a key are compared in cells on counts of letters (``operators.cells``), and what that leaves is scored once;
 * a shared token alone links names whose lengths differ enough, however many carry it; those links are never
   listed but summarised per (token, length) by their earliest position;
 * the batch is taken in slices of doubling size, and each slice meets the representatives found so far before its
@@ -19,10 +19,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions import fuzzy
-from tidemill.session import cut
+from tidemill.operators.cells import matched, pairs_in_cells, settled
+from tidemill.session import BROADCAST_ROWS, cut, is_small
 
 #: A key with more rows than this is split into parts of this size.
 HOT_ROWS = 100_000
+#: What is left of a slice is settled by one task up to this many names, in parallel rounds beyond.
+SETTLE_ROWS = 2_048
 _UNDECIDED, _LEADER, _FOLLOWER = 0, 1, 2
 
 
@@ -100,15 +103,6 @@ def _may_match(threshold: int, scorer: str) -> Column:
     return F.when(similar_length, alike).otherwise(inside)
 
 
-def _rare_keys(forms: DataFrame, counts: DataFrame, threshold: int, scorer: str = "wratio") -> DataFrame:
-    """``pos, key``: of each list of a form's keys the rarest ones, as many as must hold a key shared with any longer accepted name."""
-    lists = forms.filter("form <> ''").select("pos", F.posexplode(fuzzy.key_lists(F.col("form"))).alias("list", "keys"))
-    listed = lists.select("pos", "list", F.size("keys").alias("size"), F.explode("keys").alias("key")).join(counts, "key", "left")
-    ordered = listed.groupBy("pos", "list").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("keys"))
-    some = F.slice("keys", F.lit(1), F.least(F.col("size"), fuzzy.prefix_size(F.col("size"), threshold, scorer)))
-    return ordered.select("pos", F.explode(some).alias("k")).filter("k.n > 0").select("pos", F.col("k.key").alias("key")).distinct()
-
-
 def _salted(keyed: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split the rows of hot keys into salts and repeat their references once per salt.
 
@@ -123,42 +117,98 @@ def _salted(keyed: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _keyed_pairs(left: DataFrame, refs: DataFrame, threshold: int, scorer: str, earlier_only: bool = False) -> DataFrame:
-    """All accepted pairs that share a key and are not linked by a token anyway.
+    """All accepted pairs ``pos, ref_pos, score`` that share a key and are not linked by a token anyway.
 
-    Lengths, token links and a distance bound are tested inside the join, so few pairs leave it that are not accepted.
+    Forms that share a trigram meet in cells; under the weighted ratio those that share most of their words meet on their rarest ones too. A
+    pair is scored once, however many keys it shares, and only if its letters allow the threshold.
     """
     by_tokens = _token_is_enough(scorer, threshold)
-    a, b = _prepared(left), _prepared(refs, "ref_")
+    a, b = left.select("form").distinct(), refs.select("form").distinct()
+
+    def keyed(df: DataFrame, key: Column, name: str = "key") -> DataFrame:
+        return df.select("form", F.explode(key).alias(name))
+
+    met, refs_met = _salted(keyed(a, fuzzy.keys(F.col("form"))).withColumn("pos", F.col("form")), keyed(b, fuzzy.keys(F.col("form")), "ref_key"))
+    refs_met = refs_met.select(F.col("ref_key").alias("key"), F.col("ref_salt").alias("salt"), "form")
+    pairs = pairs_in_cells(met, refs_met, threshold, scorer, earlier_only, by_tokens)
     short, long = (f(F.length("form"), F.length("ref_form")) for f in (F.least, F.greatest))
-    wanted = long <= short * 8
-    if by_tokens:
-        wanted = wanted & ~_linked_by_token()
-    if earlier_only:
-        wanted = wanted & (F.col("ref_pos") < F.col("pos"))
-    wanted = wanted & _may_match(threshold, scorer)
-
-    def meet(keyed_a: DataFrame, keyed_b: DataFrame, test: Column) -> DataFrame:
-        keyed_a, keyed_b = _salted(keyed_a, keyed_b)
-        same = (F.col("key") == F.col("ref_key")) & (F.col("salt") == F.col("ref_salt"))
-        return keyed_a.join(keyed_b, same & test).select("pos", "form", "ref_pos", "ref_form")
-
-    form, ref_form = F.col("form"), F.col("ref_form")
-
-    def by(df: DataFrame, key: Column, name: str) -> DataFrame:
-        return df.select("*", F.explode(key).alias(name))
-
-    counts = cut(refs.select(F.explode(fuzzy.keys(F.col("form"))).alias("key")).groupBy("key").agg(F.count("*").alias("n")))
-    rare_a, rare_b = _rare_keys(left, counts, threshold, scorer), _rare_keys(refs, counts, threshold, scorer)
-    rare_b = rare_b.select(F.col("pos").alias("ref_pos"), F.col("key").alias("ref_key"))
-    not_longer = F.length("form") <= F.length("ref_form")
-    pairs = (
-        meet(a.join(rare_a, "pos"), by(b, fuzzy.keys(ref_form), "ref_key"), wanted & not_longer)
-        .unionByName(meet(by(a, fuzzy.keys(form), "key"), b.join(rare_b, "ref_pos"), wanted & ~not_longer))
-        .unionByName(meet(by(a, fuzzy.short_keys(form), "key"), by(b, fuzzy.inner_keys(ref_form), "ref_key"), wanted))
-        .unionByName(meet(by(a, fuzzy.inner_keys(form), "key"), by(b, fuzzy.short_keys(ref_form), "ref_key"), wanted))
-        .distinct()
+    if scorer == "wratio":
+        prepared_a, prepared_b = _prepared(a.withColumn("pos", F.lit(0))).drop("pos"), _prepared(b.withColumn("pos", F.lit(0)), "ref_").drop("ref_pos")
+        wanted = long <= short * 8
+        if by_tokens:
+            wanted = wanted & ~_linked_by_token()
+        if earlier_only:
+            wanted = wanted & (F.col("form") < F.col("ref_form"))
+
+        def meet(x: DataFrame, y: DataFrame, test: Column) -> DataFrame:
+            return x.join(y, (F.col("key") == F.col("ref_key")) & test).select("form", "ref_form")
+
+        counts = cut(b.select(F.explode(fuzzy.tokens(F.col("form"))).alias("key")).groupBy("key").agg(F.count("*").alias("n")))
+        rare_a, rare_b = _rare_tokens(a, counts, threshold), _rare_tokens(b, counts, threshold)
+        tokens_a = prepared_a.select("*", F.explode(fuzzy.tokens(F.col("form"))).alias("key"))
+        tokens_b = prepared_b.select("*", F.explode(fuzzy.tokens(F.col("ref_form"))).alias("ref_key"))
+        similar = wanted & (long < short * 1.5) & _alike_by_words(threshold)
+        more = [
+            meet(prepared_a.join(rare_a, "form"), tokens_b, similar),
+            meet(tokens_a, prepared_b.join(rare_b.toDF("ref_form", "ref_key"), "ref_form"), similar),
+        ]
+        # One token of at most two characters need not share a trigram with what it lies in.
+        tiny_a, tiny_b = (_keys_of(x, name, k) for x, name, k in ((prepared_a, "form", "key"), (prepared_b, "ref_form", "ref_key")))
+        more += [meet(tiny_a[0], tiny_b[1], wanted), meet(tiny_a[1], tiny_b[0], wanted)]
+        pairs = reduce(DataFrame.unionByName, more, pairs).distinct()
+    # Once per pair now: what Spark itself can rule out needs no score.
+    pairs = _pair_words(pairs).filter(_may_match(threshold, scorer)).select("form", "ref_form")
+    accepted = _scored(pairs, scorer).filter(_accepted(F.col("score"), threshold))
+    at, ref_at = left.select("form", "pos"), refs.select(F.col("form").alias("ref_form"), F.col("pos").alias("ref_pos"))
+    if not earlier_only:
+        return accepted.join(at, "form").join(ref_at, "ref_form").select("pos", "ref_pos", "score")
+    both = accepted.join(at, "form").join(ref_at, "ref_form")
+    return both.select(F.greatest("pos", "ref_pos").alias("pos"), F.least("pos", "ref_pos").alias("ref_pos"), "score")
+
+
+def _pair_words(pairs: DataFrame) -> DataFrame:
+    """``form, ref_form`` with what ``_prepared`` gives of each."""
+    both = pairs.withColumns({c: F.array_sort(F.split(f, " +")) for c, f in (("words", "form"), ("ref_words", "ref_form"))})
+    joined = both.withColumns({"sorted": F.array_join("words", " "), "ref_sorted": F.array_join("ref_words", " ")})
+    return joined.withColumns({"words": F.array_distinct("words"), "ref_words": F.array_distinct("ref_words")})
+
+
+def _keys_of(prepared: DataFrame, form: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """Forms by what short tokens they are made of, and by the short runs they hold."""
+    return tuple(prepared.select("*", F.explode(f(F.col(form))).alias(key)) for f in (fuzzy.short_keys, fuzzy.inner_keys))
+
+
+def _rare_tokens(forms: DataFrame, counts: DataFrame, threshold: int) -> DataFrame:
+    """``form, key``: of each form's tokens the rarest, so many that one of them is shared if most of the form's words are.
+
+    A form is accepted for its words in common when what is left of it is at most this share of those; more than that share of its letters
+    cannot be left out.
+    """
+    loss = max(0.0, 1 - (threshold - 0.5) / 95)
+    left = 2 * (2 * loss / (1 - loss))  # for each letter in common, spaces between one-letter words counted too
+    share = left / (1 + left)
+    listed = forms.select("form", F.explode(fuzzy.tokens(F.col("form"))).alias("key")).join(counts, "key", "left").filter("n > 0")
+    every = listed.groupBy("form").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
+    # Tokens that nobody else has are not offered, but count as left out.
+    letters = lambda k: F.length(k["key"])
+    total = F.aggregate(fuzzy.tokens(F.col("form")), F.lit(0), lambda s, t: s + F.length(t))
+    known = F.aggregate("keys", F.lit(0), lambda s, k: s + letters(k))
+    taken = F.aggregate(
+        "keys", F.struct((total - known).alias("out"), F.array().cast("array<string>").alias("offered")),
+        lambda s, k: F.when(
+            s["out"] <= total * share + 1e-6,
+            F.struct((s["out"] + letters(k)).alias("out"), F.concat(s["offered"], F.array(k["key"])).alias("offered")),
+        ).otherwise(s),
     )
-    return _scored(pairs, scorer).filter(_accepted(F.col("score"), threshold)).select("pos", "ref_pos", "score")
+    return every.select("form", F.explode(taken["offered"]).alias("key"))
+
+
+def _alike_by_words(threshold: int) -> Column:
+    """Whether the words in common are enough of one of two prepared forms."""
+    common = F.array_intersect("words", "ref_words")
+    only_a, only_b = (F.length(F.array_join(F.array_except(c, common), " ")) for c in ("words", "ref_words"))
+    shared, rest, loss = F.length(F.array_join(common, " ")), F.least(only_a, only_b), 1 - (threshold - 0.5) / 95
+    return (shared > 0) & ((rest == 0) | (rest + 1 <= (shared * 2 + rest + 1) * loss + 1e-6))
 
 
 # --- token links -------------------------------------------------------------------------------------
@@ -202,8 +252,22 @@ def _earliest_by_token(forms: DataFrame, refs: DataFrame) -> DataFrame:
 # --- matching against references ---------------------------------------------------------------------
 
 
+def _few(refs: DataFrame) -> list[tuple] | None:
+    """The references as ``(pos, form)`` if there are at most ``BROADCAST_ROWS``, which every task may have; else None."""
+    rows = refs.select("pos", "form").limit(BROADCAST_ROWS + 1).collect()
+    return [tuple(r) for r in rows if r.form] if len(rows) <= BROADCAST_ROWS else None
+
+
+def _spread(forms: DataFrame) -> DataFrame:
+    """The forms dealt to all tasks: a score costs far more than moving a name."""
+    return forms.repartition(int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _best_match(forms: DataFrame, refs: DataFrame, threshold: int, scorer: str) -> DataFrame:
     """``pos, ref_pos, score`` of the best reference per form; ties go to the earliest reference."""
+    few = _few(refs)
+    if few is not None:
+        return matched(_spread(forms), few, threshold, scorer, first=False)
     pairs = _keyed_pairs(forms, refs, threshold, scorer)
     if _token_is_enough(scorer, threshold):
         by_token = _earliest_by_token(forms, refs).withColumn("score", F.lit(fuzzy.TOKEN_SCORE))
@@ -250,6 +314,9 @@ def _lifted_pairs(forms: DataFrame, refs: DataFrame) -> DataFrame:
 
 def _first_match(forms: DataFrame, refs: DataFrame, threshold: int, scorer: str) -> DataFrame:
     """``pos, ref_pos`` of the earliest accepted reference per form."""
+    few = _few(refs)
+    if few is not None:
+        return matched(_spread(forms), few, threshold, scorer, first=True).select("pos", "ref_pos")
     pairs = _keyed_pairs(forms, refs, threshold, scorer).select("pos", "ref_pos")
     if _token_is_enough(scorer, threshold):
         pairs = pairs.unionByName(_earliest_by_token(forms, refs))
@@ -284,6 +351,18 @@ def canonicalize(
 # --- batch deduplication -------------------------------------------------------------------------------
 
 
+def _settled_at_once(forms: DataFrame, threshold: int, scorer: str) -> tuple[DataFrame, DataFrame]:
+    """Leaders and followers of at most ``SETTLE_ROWS`` forms, by the sequential loop inside one task."""
+
+    def loop(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pos", ignore_index=True)
+        follows = settled(rows["form"].tolist(), threshold, scorer)
+        return pd.DataFrame({"pos": rows["pos"], "form": rows["form"], "ref_pos": rows["pos"].to_numpy()[follows]})
+
+    done = cut(forms.select("pos", "form", F.lit(0).alias("all")).groupBy("all").applyInPandas(loop, "pos long, form string, ref_pos long"))
+    return done.filter("ref_pos = pos").select("pos", "form"), done.filter("ref_pos <> pos").select("pos", "ref_pos")
+
+
 def _leader_rounds(forms: DataFrame, threshold: int, scorer: str) -> tuple[DataFrame, DataFrame]:
     """Leaders of a slice and ``pos, ref_pos`` of its followers.
 
@@ -291,6 +370,8 @@ def _leader_rounds(forms: DataFrame, threshold: int, scorer: str) -> tuple[DataF
     one with an earlier leader follows, one whose earlier linked names all follow leads. Followers get their
     leader after the last round, because a nearer undecided name may still become one.
     """
+    if is_small(forms, SETTLE_ROWS):
+        return _settled_at_once(forms, threshold, scorer)
     links = cut(_keyed_pairs(forms, forms, threshold, scorer, earlier_only=True).select("pos", "ref_pos"))
     by_token = _token_is_enough(scorer, threshold)
     tokens = _token_rows(forms) if by_token else None
@@ -340,29 +421,33 @@ def _slices(forms: DataFrame, first_slice: int) -> list[tuple[int | None, int |
     return list(zip(bounds, [*bounds[1:], None]))
 
 
-def _cluster(forms: DataFrame, threshold: int, scorer: str, first_slice: int) -> DataFrame:
-    """``pos, ref_pos, score`` for every form that follows an earlier one."""
-    leaders, parts = None, []
+def cluster(forms: DataFrame, threshold: int, scorer: str, first_slice: int = 1024, leaders: DataFrame | None = None) -> DataFrame:
+    """``pos, ref_pos, score`` for every form of ``pos, form`` that follows an earlier one.
+
+    ``leaders`` are representatives of an earlier batch, with lower places; they are matched before any of the forms.
+    """
+    known, parts = leaders, []
     for low, high in _slices(forms, first_slice):
         part = forms
         if low is not None:
             part = part.filter(F.col("pos") > low)
         if high is not None:
             part = part.filter(F.col("pos") <= high)
-        if leaders is not None:
-            hits = cut(_first_match(part, leaders, threshold, scorer))
+        if known is not None:
+            hits = cut(_first_match(part, known, threshold, scorer))
             parts.append(hits)
             part = cut(part.join(hits, "pos", "left_anti"))
         new, followers = _leader_rounds(part, threshold, scorer)
         parts.append(followers)
-        leaders = cut(new if leaders is None else leaders.unionByName(new))
+        known = cut(new if known is None else known.unionByName(new))
     merged = reduce(DataFrame.unionByName, parts)
-    refs = forms.select(F.col("pos").alias("ref_pos"), F.col("form").alias("ref_form"))
+    every = forms.select("pos", "form") if leaders is None else forms.select("pos", "form").unionByName(leaders.select("pos", "form"))
+    refs = every.select(F.col("pos").alias("ref_pos"), F.col("form").alias("ref_form"))
     pairs = merged.join(forms.select("pos", "form"), "pos").join(refs, "ref_pos")
     return _scored(pairs, scorer).select("pos", "ref_pos", "score")
 
 
-def _resolve_batch(
+def resolve_batch(
     names: DataFrame, seeds: DataFrame, threshold: int, scorer: str, clean: bool, first_slice: int
 ) -> DataFrame:
     """One row per distinct name: its seed match and, for names no seed changed, the name it merges into."""
@@ -375,7 +460,7 @@ def _resolve_batch(
     forms = cut(
         matched.filter(is_open).groupBy("form").agg(F.min("pos").alias("pos"), F.min_by("name", "pos").alias("lead_name"))
     )
-    merged = _cluster(forms, threshold, scorer, first_slice)
+    merged = cluster(forms, threshold, scorer, first_slice)
     leads = forms.select(F.col("pos").alias("ref_pos"), F.col("lead_name").alias("ref_name"))
     by_form = (
         forms.join(merged, "pos", "left")
@@ -404,7 +489,7 @@ def dedup_batch(
     Names go to their seed; those no seed changes join the first earlier representative that scores at or above the
     threshold, else become one. The result equals the sequential loop in order of ``pos``.
     """
-    rows = _resolve_batch(names, seeds, threshold, scorer, clean, first_slice)
+    rows = resolve_batch(names, seeds, threshold, scorer, clean, first_slice)
     return rows.select("name", F.coalesce("merged_name", "canonical_name").alias("canonical_name"))
 
 
@@ -420,7 +505,7 @@ def mapping_log(
     if not pairwise:
         rows = canonicalize(names, seeds, "name", threshold, scorer, clean)
         return rows.select(F.lit(0).alias("step"), "pos", F.col("name").alias("raw_name"), "canonical_name", "match_score")
-    resolved = cut(_resolve_batch(names, seeds, threshold, scorer, clean, first_slice))
+    resolved = cut(resolve_batch(names, seeds, threshold, scorer, clean, first_slice))
     rows = names.select("pos", "name").join(resolved, "name").withColumnRenamed("name", "raw_name")
     merges = rows.filter(F.col("merged_pos") < F.col("pos")).select(
         F.lit(1).alias("step"), "pos", "raw_name",
