@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 #: A side may be broadcast, or shipped to tasks, only up to this many rows.
 BROADCAST_ROWS = 10_000
@@ -87,6 +87,17 @@ def cut(df: DataFrame, *, large: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, *order, name: str = "pos") -> DataFrame:
+    """``df`` with the places 0, 1, ... of its rows in an order, dealt to tasks by ranges; the order should settle ties."""
+    rows = cut(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    before = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    placed = rows.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return placed.withColumn(name, F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1)).drop("_place", "_part", "_before")
+
+
 def is_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """True when ``df`` has at most ``limit`` rows; reads no more than ``limit + 1`` of them."""
     return df.limit(limit + 1).count() <= limit
