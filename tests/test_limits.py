@@ -3,13 +3,13 @@ import random
 from pyspark.sql import functions as F
 
 from tidemill.operators.dedupe import first_by_priority, keep_first
-from tidemill.operators.limits import category_cap, newest, page_quota
+from tidemill.operators.limits import category_cap, newest, page_quota, quota_progress
 
 
-def crawl(pages, max_records):
+def crawl(pages, max_records, max_pages=20):
     """The page-by-page loop: pages is a list of lists of validity flags, None for a missing page."""
     taken, accepted, page = [], 0, 1
-    while accepted < max_records and page <= 20:
+    while accepted < max_records and page <= max_pages:
         if page > len(pages) or not pages[page - 1]:
             break
         offered = pages[page - 1][: max_records - accepted]
@@ -33,6 +33,28 @@ def test_quota_equals_the_loop(spark):
         assert got == sorted((s, p, i * 3) for s, pages in starts.items() for p, i in crawl(pages, quota))
 
 
+def test_quota_without_limits(spark, monkeypatch):
+    """No last page, no quota, many pages in several blocks, long runs of pages without a valid card."""
+    monkeypatch.setattr("tidemill.operators.limits.PAGE_BLOCK", 7)
+    rng = random.Random(8)
+    starts = {f"s{s}": [[rng.random() < share for _ in range(rng.randint(1, 6))] for _ in range(rng.choice([0, 1, 40, 60]))] for s, share in enumerate([0.0, 0.05, 0.1, 0.5, 0.9, 1.0] * 4)}
+    rows = [(s, p + 1, i, flag) for s, pages in starts.items() for p, cards in enumerate(pages) for i, flag in enumerate(cards)]
+    rows += [("gap", 1, 0, True), ("gap", 3, 0, True), ("late", 2, 0, True), ("nulls", 1, 0, None), ("nulls", 2, 0, True)]
+    cards = spark.createDataFrame(rows, "start_url string, page_num int, pos int, ok boolean").withColumn("quota", F.lit("x")).withColumn("before", F.lit(1))
+    starts |= {"gap": [[True]], "late": [], "nulls": [[False], [True]]}
+    for quota, last in ((1, None), (3, None), (10, 30), (60, None), (None, None), (None, 2)):
+        limit, pages_limit = quota or 10**9, last or 10**9
+        want = {s: crawl(pages, limit, pages_limit) for s, pages in starts.items()}
+        got = sorted((r.start_url, r.page_num, r.pos) for r in page_quota(cards, "ok", quota, max_pages=last).collect())
+        assert got == sorted((s, p, i) for s, taken in want.items() for p, i in taken)
+        seen = {r.start_url: r for r in quota_progress(cards, "ok", quota, max_pages=last).collect()}
+        for s in {r[0] for r in rows}:
+            accepted = sum(starts[s][p - 1][i] for p, i in want[s])
+            r = seen[s]
+            assert (r.pages_read, r.offered, r.accepted, r.cap) == (max((p for p, _ in want[s]), default=0), len(want[s]), accepted, quota)
+            assert r.is_full == (quota is not None and accepted >= quota)
+
+
 def test_keep_first(spark):
     rows = [("a", 2, "late"), ("a", 1, "early"), ("", 0, "empty"), (None, 0, "null"), ("b", 5, None)]
     df = spark.createDataFrame(rows, "k string, pos int, v string")

@@ -17,23 +17,24 @@ from tidemill.sources.cards import card_text
 _NAME_FIELD = {"STARTUP": "entityName", "PRODUCT": "startupName", "ECOMMERCE_PRODUCT": "productName"}
 
 
-def extraction_requests(pages: DataFrame, min_chars: int = 20) -> DataFrame:
+def extraction_requests(pages: DataFrame, min_chars: int = 20, max_pages: int | None = MAX_PAGES) -> DataFrame:
     """Cards with the id their extraction request goes by; equal texts share one request."""
-    cards = card_text(pages.filter(F.col("page_num") <= MAX_PAGES))
+    cards = card_text(pages if max_pages is None else pages.filter(F.col("page_num") <= max_pages))
     return cards.withColumn("req_id", F.sha2("text", 256)).withColumn("long_enough", F.length("text") > min_chars)
 
 
 def directory_records(
-    pages: DataFrame, responses: DataFrame, entity_type: str, as_of, max_records: int = 1000, min_chars: int = 20
+    pages: DataFrame, responses: DataFrame, entity_type: str, as_of, max_records: int | None = 1000, min_chars: int = 20,
+    max_pages: int | None = MAX_PAGES,
 ) -> DataFrame:
     """One record per entity of each listing: the first valid extraction of a card, else the heuristic reading.
 
     ``pages`` holds ``start_url, page_num, url, html``, ``responses`` the stored answers by ``req_id``. The result has
-    ``start_url`` beside the envelope.
+    ``start_url`` beside the envelope. ``max_records`` and ``max_pages`` of a listing may be None.
     """
     kind = record_type(entity_type)
     schema = RECORDS[kind]
-    cards = first_valid_by_tier(extraction_requests(pages, min_chars), responses, schema)
+    cards = first_valid_by_tier(extraction_requests(pages, min_chars, max_pages), responses, schema)
     # A card that yields neither is still offered to the quota but not accepted. Unknown entity types have no heuristic.
     has_heuristic = entity_type in ("startup", "product", "ecommerce")
     name = heuristic_name(F.col("text")) if has_heuristic else F.lit(None).cast("string")
@@ -42,7 +43,7 @@ def directory_records(
     )
     # The quota reads the cards twice; pages and answers are parsed once.
     judged = cut(judged.drop("req_id", "tier"))
-    taken = page_quota(judged, "accepted", max_records).filter("accepted")
+    taken = page_quota(judged, "accepted", max_records, max_pages=max_pages).filter("accepted")
     content = schema["content"].dataType
     guess = {
         "STARTUP": lambda: F.struct(
@@ -71,12 +72,13 @@ def directory_records(
 
 
 def directory(
-    pages: DataFrame, responses: DataFrame, entity_type: str, seeds: DataFrame, as_of, max_records: int = 1000, **match
+    pages: DataFrame, responses: DataFrame, entity_type: str, seeds: DataFrame, as_of, max_records: int | None = 1000,
+    max_pages: int | None = MAX_PAGES, **match,
 ) -> tuple[DataFrame, DataFrame]:
     """Flat records with canonical names, and the mapping log of the lookups."""
     kind = record_type(entity_type)
     field = _NAME_FIELD[kind]
-    records = cut(directory_records(pages, responses, entity_type, as_of, max_records))
+    records = cut(directory_records(pages, responses, entity_type, as_of, max_records, max_pages=max_pages))
     named = records.withColumn("raw_name", F.col(f"content.{field}"))
     resolved = canonicalize(named, seeds, "raw_name", **match)
     envelope = ["schemaVersion", "recordType", "source", "content", "collectedAt"]
@@ -84,11 +86,11 @@ def directory(
     return flat, resolved.select("raw_name", "canonical_name", "match_score")
 
 
-def startups(pages: DataFrame, responses: DataFrame, seeds: DataFrame, as_of, max_records: int = 1000, **match):
+def startups(pages: DataFrame, responses: DataFrame, seeds: DataFrame, as_of, max_records: int | None = 1000, **match):
     return directory(pages, responses, "startup", seeds, as_of, max_records, **match)
 
 
 def products(
-    pages: DataFrame, responses: DataFrame, seeds: DataFrame, as_of, max_records: int = 1000, ecommerce: bool = False, **match
+    pages: DataFrame, responses: DataFrame, seeds: DataFrame, as_of, max_records: int | None = 1000, ecommerce: bool = False, **match
 ):
     return directory(pages, responses, "ecommerce" if ecommerce else "product", seeds, as_of, max_records, **match)

@@ -30,9 +30,9 @@ def _content(**fields: str | None) -> dict[str, Column]:
     return {k: F.col(v) if v else F.lit(None).cast("string") for k, v in names.items()}
 
 
-def store_products(catalog: DataFrame, as_of) -> DataFrame:
+def store_products(catalog: DataFrame, as_of, tag_chars: int | None = 100) -> DataFrame:
     """Products of ``store_pos, store, base_url, page_num, json``, one per address: the first in store and page order."""
-    first = keep_first(scan_catalog(catalog), "product_url", ["store_pos", "page_num", "item_pos"])
+    first = keep_first(scan_catalog(catalog, tag_chars=tag_chars), "product_url", ["store_pos", "page_num", "item_pos"])
     content = _content(
         category="category", brand="brand", price="price", currency="currency", available="available", tags="tags",
         product_url="product_url",
@@ -49,13 +49,13 @@ def food_products(food: DataFrame, as_of, target: int | None = 400) -> DataFrame
     return _dotted(rows, F.lit("Open Food Facts"), F.col("product_url"), content, as_of)
 
 
-def nutrition_products(food: DataFrame, as_of) -> DataFrame:
+def nutrition_products(food: DataFrame, as_of, country_chars: int | None = 80) -> DataFrame:
     """The variant of ``label, source_url, json`` with grade, quantity and countries."""
     content = _content(
         category="category", price=None, brand="brand", quantity="quantity", nutriscore="nutriscore", countries="countries",
         product_url="product_url",
     )
-    return _dotted(scan_food(food, profile="nutrition"), F.lit("Open Food Facts"), F.col("source_url"), content, as_of)
+    return _dotted(scan_food(food, profile="nutrition", country_chars=country_chars), F.lit("Open Food Facts"), F.col("source_url"), content, as_of)
 
 
 def marketplace_products(pages: DataFrame, site_name: str, site: str, as_of, **options) -> DataFrame:
@@ -69,12 +69,12 @@ def catalog_products(*parts: DataFrame) -> DataFrame:
     return union_ragged(*parts)
 
 
-def company_list(pages: DataFrame, seeds: DataFrame, site: str, source_name: str, stage: str, as_of, **match) -> tuple[DataFrame, DataFrame]:
+def company_list(pages: DataFrame, seeds: DataFrame, site: str, source_name: str, stage: str, as_of, description_chars: int | None = 200, **match) -> tuple[DataFrame, DataFrame]:
     """Companies linked from directory pages ``page_num, url, html``, one per name, and the mapping log.
 
     Names are looked up as they are, without cleaning.
     """
-    first = cut(keep_first(company_cards(pages), "name", ["page_num", "pos"]))
+    first = cut(keep_first(company_cards(pages, description_chars=description_chars), "name", ["page_num", "pos"]))
     resolved = canonicalize(first, seeds, "name", clean=False, **match)
     missing = F.lit(None).cast("string")
     rows = resolved.select(

@@ -16,8 +16,12 @@ from tidemill.sources.feeds import scan_feed
 
 def fresh_items(feeds: DataFrame, as_of, hours: int = 24) -> DataFrame:
     """Feed items with ``published_date``, stale ones dropped. Works on streams too."""
-    items = scan_feed(feeds).withColumn("published_date", normalize_date(F.col("date_text"), instant(as_of)))
-    return fresh(items, "published_date", as_of, hours)
+    return dated(scan_feed(feeds), as_of, hours)
+
+
+def dated(items: DataFrame, as_of, hours: int = 24) -> DataFrame:
+    """Items with ``published_date`` read from their ``date_text``, stale ones dropped."""
+    return fresh(items.withColumn("published_date", normalize_date(F.col("date_text"), instant(as_of))), "published_date", as_of, hours)
 
 
 def news_records(items: DataFrame, pages: DataFrame | None, as_of, summary_chars: int | None = 500, body_chars: int | None = 5000) -> DataFrame:

@@ -135,10 +135,10 @@ def card_text(pages: DataFrame, html: str = "html", page_num: str | None = "page
     return candidates.select(*names, html, first.alias("_first")).mapInPandas(cards, schema)
 
 
-def company_cards(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+def company_cards(pages: DataFrame, html: str = "html", url: str = "url", description_chars: int | None = 200) -> DataFrame:
     """Company links of a directory page: ``pos, name, description, href``; names of one character are skipped.
 
-    The name is the anchor's first text, the description the next two, cut to 200 characters.
+    The name is the anchor's first text, the description the next two, cut to ``description_chars``.
     """
     kept = [c for c in pages.columns if c != html]
     links = pages.select(*kept, F.explode(link_array(F.col(html))).alias("_l")).filter(
@@ -151,7 +151,7 @@ def company_cards(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
         .select(
             *kept, F.col("_l.pos").alias("pos"),
             F.get("_texts", F.lit(0)).alias("name"),
-            F.when(F.size("_texts") > 1, prefix(F.array_join(F.slice("_texts", 2, 2), " "), 200)).alias("description"),
+            F.when(F.size("_texts") > 1, prefix(F.array_join(F.slice("_texts", 2, 2), " "), description_chars)).alias("description"),
             F.col("_l.href").alias("href"),
         )
     )

@@ -25,8 +25,8 @@ def _products(pages: DataFrame, json: str, schema: str) -> tuple[DataFrame, list
     return parsed.select(*kept, F.posexplode("_doc.products").alias("item_pos", "_p")), kept
 
 
-def scan_catalog(pages: DataFrame, json: str = "json") -> DataFrame:
-    """Products of store pages ``store, base_url, page_num, json``; products without a title are skipped."""
+def scan_catalog(pages: DataFrame, json: str = "json", tag_chars: int | None = 100) -> DataFrame:
+    """Products of store pages ``store, base_url, page_num, json``; products without a title are skipped, joined tags cut to ``tag_chars``."""
     products, kept = _products(pages, json, _CATALOG)
     p = F.col("_p")
     text = lambda name: F.coalesce(p[name], F.lit(""))
@@ -39,14 +39,14 @@ def scan_catalog(pages: DataFrame, json: str = "json") -> DataFrame:
         dollar_price(F.get(p["variants"], F.lit(0))["price"]).alias("price"),
         F.lit("USD").alias("currency"),
         F.coalesce(F.exists(p["variants"], lambda v: F.coalesce(v["available"], F.lit(False))), F.lit(False)).alias("available"),
-        prefix(F.array_join(F.coalesce(p["tags"], F.array()), ", "), 100).alias("tags"),
+        prefix(F.array_join(F.coalesce(p["tags"], F.array()), ", "), tag_chars).alias("tags"),
     )
 
 
-def scan_food(pages: DataFrame, json: str = "json", profile: str = "catalog", min_chars: int = 3) -> DataFrame:
+def scan_food(pages: DataFrame, json: str = "json", profile: str = "catalog", min_chars: int = 3, country_chars: int | None = 80) -> DataFrame:
     """Products of food pages ``label, json`` whose name has at least ``min_chars`` characters.
 
-    ``catalog`` adds the first category tag; ``nutrition`` adds grade, quantity and countries instead.
+    ``catalog`` adds the first category tag; ``nutrition`` adds grade, quantity and countries, cut to ``country_chars``, instead.
     """
     products, kept = _products(pages, json, _FOOD)
     p = F.col("_p")
@@ -57,7 +57,7 @@ def scan_food(pages: DataFrame, json: str = "json", profile: str = "catalog", mi
         "nutrition": [
             text("quantity").alias("quantity"),
             F.upper(text("nutriscore_grade")).alias("nutriscore"),
-            null_if_empty(prefix(p["countries"], 80)).alias("countries"),
+            null_if_empty(prefix(p["countries"], country_chars)).alias("countries"),
         ],
     }[profile]
     return (
