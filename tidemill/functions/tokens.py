@@ -6,8 +6,11 @@ pieces of a window gives back the text exactly, as decoding a window of byte-pai
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,3 +72,47 @@ def _bpe_windows(encoding: str, max_tokens: int):
             yield texts.map(cut)
 
     return windows
+
+
+@lru_cache(maxsize=2)
+def _vocabulary(ranks: str, pattern: str):
+    """The encoder of a file of byte-pair ranks, and the bytes of each id; one per worker process."""
+    import tiktoken
+
+    with open(ranks, "rb") as lines:
+        merges = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    lengths = np.zeros(max(merges.values(), default=0) + 1, np.int64)
+    for token, rank in merges.items():
+        lengths[rank] = len(token)
+    return tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=merges, special_tokens={}), lengths
+
+
+def _id_windows(text: str, bpe, lengths: np.ndarray, max_tokens: int) -> list[dict]:
+    ids = np.array(bpe.encode_ordinary(text), np.int64)
+    ends = np.cumsum(lengths[ids])
+    cuts = np.append(np.arange(max_tokens, len(ids), max_tokens), len(ids)) if len(ids) else np.empty(0, np.int64)
+    # A letter goes to the window that holds its first byte, so letters that a cut goes through stay whole.
+    letters = np.cumsum((np.frombuffer(text.encode(), np.uint8) & 0xC0) != 0x80)
+    stops = letters[ends[cuts - 1] - 1].tolist()
+    starts = [0, *stops[:-1]]
+    sizes = np.diff(cuts, prepend=0).tolist()
+    return [{"n_tokens": n, "start_char": a, "chunk_text": text[a:b]} for n, a, b in zip(sizes, starts, stops)]
+
+
+def chunk_ids(df: DataFrame, text: str, ranks: str, pattern: str, max_tokens: int = 4000) -> DataFrame:
+    """Split a text column into consecutive windows of ``max_tokens`` byte-pair ids: one row per window, none for an empty text.
+
+    ``ranks`` is a file of byte-pair ranks that every worker can open, ``pattern`` the pattern that parts texts before merging; marks that other
+    vocabularies treat specially are ordinary text. Adds ``chunk_no, n_tokens, start_char`` (from 0) and ``chunk_text`` and drops the text. The windows of
+    a text put together are the text: a letter of several bytes that a cut goes through belongs to the window it begins in.
+    """
+
+    @F.pandas_udf("array<struct<n_tokens:int,start_char:int,chunk_text:string>>")
+    def windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bpe, lengths = _vocabulary(ranks, pattern)
+        for texts in batches:
+            yield texts.map(lambda t: _id_windows(t or "", bpe, lengths, max_tokens))
+
+    row = F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in df.columns if c != text]).alias("row")
+    cut = df.select(row, windows(F.col(text)).alias("windows")).select("row", F.posexplode("windows").alias("chunk_no", "w"))
+    return cut.select("row.*", "chunk_no", *[F.col(f"w.{c}").alias(c) for c in ("n_tokens", "start_char", "chunk_text")]).drop("_none")
