@@ -19,6 +19,7 @@ FEED_SCHEMA = (
     f"channel struct<item:array<struct<{_ITEM}>>,entry:array<struct<{_ITEM}>>>, "
     f"item array<struct<{_ITEM}>>, entry array<struct<{_ITEM}>>"
 )
+ITEM_SCHEMA = f"struct<{_ITEM}>"
 PAPER_SCHEMA = (
     f"entry array<struct<title:{_TEXT},id:{_TEXT},published:{_TEXT},summary:{_TEXT},author:array<struct<name:{_TEXT}>>>>"
 )
@@ -54,7 +55,12 @@ def scan_feed(feeds: DataFrame, xml: str = "xml", profile: str = "news") -> Data
     items = feeds.withColumn("_doc", F.from_xml(F.col(xml), FEED_SCHEMA)).select(
         *kept, F.posexplode(let(F.col("_doc"), _items)).alias("item_pos", "_i")
     )
-    i = F.col("_i")
+    present, fields = item_fields(F.col("_i"), profile)
+    return items.filter(present).select(*kept, "item_pos", *[c.alias(n) for n, c in fields.items()])
+
+
+def item_fields(i: Column, profile: str = "news") -> tuple[Column, dict[str, Column]]:
+    """Whether an item element has what an item needs, and its ``title, link, date_text, description``."""
     href = F.get(i["link"], F.lit(0))["_href"]
     link_text = null_if_empty(strip(_text(i["link"])))
     dates = F.coalesce(*[_text(i[c]) for c in ("pubDate", "updated", "published")])
@@ -67,10 +73,7 @@ def scan_feed(feeds: DataFrame, xml: str = "xml", profile: str = "news") -> Data
         link, description = F.coalesce(link_text, href, F.col("source_url")), F.coalesce(*descriptions, _text(i["content"]))
     else:
         raise ValueError(f"unknown profile {profile!r}")
-    return items.filter(present).select(
-        *kept, "item_pos", strip(_text(i["title"])).alias("title"), link.alias("link"),
-        strip(dates).alias("date_text"), description.alias("description"),
-    )
+    return present, {"title": strip(_text(i["title"])), "link": link, "date_text": strip(dates), "description": description}
 
 
 def scan_papers(feeds: DataFrame, xml: str = "xml") -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemill.operators.records import flatten
-from tidemill.plans.signals import fresh_items, job_records, news_records
+from tidemill.plans.signals import dated, fresh_items, job_records, news_records
+from tidemill.sources.feeds import ITEM_SCHEMA, item_fields
 
 PAYLOAD_SCHEMA = "source_name string, source_url string, xml string"
 
@@ -23,6 +24,33 @@ def xml_stream(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(name.alias("source_name"), name.alias("source_url"), F.col("value").alias("xml"), F.col("_metadata.file_modification_time").alias("arrived"))
 
 
+def item_stream(spark: SparkSession, path: str, element: str = "item") -> DataFrame:
+    """A stream of the items of landed XML files, a row for each ``element`` (``item`` of RSS, ``entry`` of Atom), read by Spark's own XML source.
+
+    ``source_name, source_url`` (the file), ``arrived, title, link, date_text, description`` as ``scan_feed`` reads them, and ``malformed``: the text of
+    an element that is no XML, null for others. A file may hold any number of elements and is never held as one text; what is broken in it costs
+    its own element.
+    """
+    schema = T.DataType.fromDDL(ITEM_SCHEMA).add("malformed", "string")
+    # The element-wise parser: the other one gives up a file at its first fault.
+    reading = {"rowTag": element, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed", "useLegacyXMLParser": True}
+    raw = spark.readStream.format("xml").schema(schema).options(**reading).load(path)
+    file = F.col("_metadata.file_path")
+    rows = raw.select(
+        file.alias("source_name"), file.alias("source_url"), F.col("_metadata.file_modification_time").alias("arrived"), "malformed",
+        F.struct(*[c for c in raw.columns if c != "malformed"]).alias("_i"),
+    )
+    present, fields = item_fields(F.col("_i"))
+    kept = ("source_name", "source_url", "arrived", "malformed")
+    return rows.filter(present | F.col("malformed").isNotNull()).select(*kept, *[c.alias(n) for n, c in fields.items()])
+
+
+def fresh_items_stream(items: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
+    """The well-formed items of ``item_stream`` that are fresh, with ``published_date``."""
+    at = F.current_timestamp() if as_of is None else as_of
+    return dated(items.filter(F.col("malformed").isNull()).drop("malformed"), at, hours)
+
+
 def fresh_stream(payloads: DataFrame, as_of=None, hours: int = 24) -> DataFrame:
     """Fresh items of a payload stream; without ``as_of`` the age is taken at each micro-batch's own time."""
     return fresh_items(payloads, F.current_timestamp() if as_of is None else as_of, hours)
