@@ -226,7 +226,7 @@ def directory_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extraction_responses(pages: DataFrame, content: dict[str, Column]) -> DataFrame:
     """Stored answers to the cards of ``directory_pages``: tier 0 fails below 5000, tier 1 knows balances above 1000."""
-    requests = extraction_requests(pages).withColumn("balance", F.substring_index("text", "$", -1).cast("double"))
+    requests = extraction_requests(pages, max_pages=None).withColumn("balance", F.substring_index("text", "$", -1).cast("double"))
     answer = F.to_json(
         F.struct(
             F.struct(F.lit("model").alias("name"), F.col("url")).alias("source"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemill.functions.html import BLOCK_TAGS, DROPPED_TAGS
+from tidemill.operators.links import NAMESPACE
 from tidemill.functions.text import JUNK_WORDS, ROLE_RULES
 
 _WS = r"E' \t\n\r'"
@@ -161,7 +162,7 @@ catalog as (
     'https://shop.example.com/products/' || replace(p_name, ' ', '-') as product_url,
     case when p_type = 'PROMO' then 'General' else p_type end as category, lower(p_brand) as brand,
     case when p_size > 5 then '$' || cast(p_retailprice as varchar) end as price, 'USD' as currency,
-    p_size > 5 and (p_size > 40 or p_size < 10) as available, left(repeat(p_name, 6) || ', ' || repeat(p_type, 6), 100) as tags
+    p_size > 5 and (p_size > 40 or p_size < 10) as available, repeat(p_name, 6) || ', ' || repeat(p_type, 6) as tags
   from part
 )"""
 FOOD = """
@@ -169,7 +170,7 @@ food as (
   select ascii(p_type) as category_pos, p_type as label, p_name as product_name,
     'https://world.openfoodfacts.org' || case when p_size > 3 then '/product/' || p_partkey else '' end as product_url,
     p_type as category, p_brand as brand, case when p_size > 10 then lower(p_type) else '' end as tags,
-    p_size || ' g' as quantity, upper(left(p_type, 1)) as nutriscore, left(repeat(p_name, 10), 80) as countries
+    p_size || ' g' as quantity, upper(left(p_type, 1)) as nutriscore, repeat(p_name, 10) as countries
   from part where length(p_name) >= 3
 )"""
 MARKET = """
@@ -241,22 +242,13 @@ open_names as (
 
 
 def directory(kind: str, content: str) -> str:
-    """Cards of the listings with the quota of 100, then the lookup."""
-    return f"""with recursive cards as (
+    """All cards of the listings that give a name, then the lookup."""
+    return f"""with cards as (
       select c_custkey // 300 as listing, (c_custkey % 300) // 12 + 1 as page, c_name as name, c_acctbal as balance,
-        row_number() over (partition by c_custkey // 300, (c_custkey % 300) // 12 order by c_custkey) as rank,
         c_acctbal > 1000 as extracted, c_acctbal > 1000 or c_mktsegment <> 'BUILDING' as accepted
       from customer
-    ), page_hits as (
-      select listing, page, coalesce(list(rank) filter (where accepted), []) as hits from cards where page <= 20 group by all
-    ), quotas as (
-      select listing, page, cast(100 as bigint) as quota from page_hits where page = 1
-      union all
-      select q.listing, q.page + 1, q.quota - len(list_filter(h.hits, lambda r: r <= q.quota))
-      from quotas q join page_hits h using (listing, page) join page_hits n on n.listing = q.listing and n.page = q.page + 1
-      where q.quota - len(list_filter(h.hits, lambda r: r <= q.quota)) > 0
     ), names as (
-      select c.* from cards c join quotas using (listing, page) where accepted and rank <= quota
+      select * from cards where accepted
     ), seeds as (select c_custkey as seed_pos, c_name as seed from customer where c_acctbal > 9900),
     {lookup()}
     select '1.0' as "schemaVersion", '{kind}' as "recordType", case when extracted then 'Directory' else 'HeuristicFallback' end as source_name,
@@ -269,6 +261,20 @@ FLAT_ORDERS = """select o_orderkey as id, o_orderstatus as order_o_orderstatus,
   from orders join customer on o_custkey = c_custkey"""
 
 
+#: Days of a user as pages, the quota of 25 left before each; a missing day ends the crawl.
+EVENT_QUOTA = """cards as (
+      select user_id, day(ts) as page, event_id, event_type <> 'error' as ok,
+        row_number() over (partition by user_id, day(ts) order by event_id) as rank from events where day(ts) <= 20
+    ), page_hits as (select user_id, page, coalesce(list(rank) filter (where ok), []) as hits from cards group by all),
+    quotas as (
+      select user_id, page, cast(25 as bigint) as quota from page_hits where page = 1
+      union all
+      select q.user_id, q.page + 1, q.quota - len(list_filter(h.hits, lambda r: r <= q.quota))
+      from quotas q join page_hits h using (user_id, page) join page_hits n on n.user_id = q.user_id and n.page = q.page + 1
+      where q.quota - len(list_filter(h.hits, lambda r: r <= q.quota)) > 0
+    )"""
+
+
 def oracles() -> dict[str, str]:
     chunks = f"""with cleaned as (select page_id, {tokens(clean_text("html"))} as toks from pages),
       windows as (
@@ -354,18 +360,27 @@ def oracles() -> dict[str, str]:
         "first_by_priority": """select l_orderkey, l_partkey from lineitem qualify row_number() over (
             partition by l_orderkey order by case when l_returnflag = 'R' then 0 else 1 end, l_linenumber, l_partkey) = 1""",
         "newest_orders": "select o_orderkey, o_totalprice from orders order by o_orderdate desc, o_orderkey limit 1000",
-        "page_quota": """with recursive cards as (
-              select user_id, day(ts) as page, event_id, event_type <> 'error' as ok,
-                row_number() over (partition by user_id, day(ts) order by event_id) as rank from events where day(ts) <= 20
-            ), page_hits as (select user_id, page, coalesce(list(rank) filter (where ok), []) as hits from cards group by all),
-            quotas as (
-              select user_id, page, cast(25 as bigint) as quota from page_hits where page = 1
-              union all
-              select q.user_id, q.page + 1, q.quota - len(list_filter(h.hits, lambda r: r <= q.quota))
-              from quotas q join page_hits h using (user_id, page) join page_hits n on n.user_id = q.user_id and n.page = q.page + 1
-              where q.quota - len(list_filter(h.hits, lambda r: r <= q.quota)) > 0
-            )
-            select user_id as start_url, event_id from cards join quotas using (user_id, page) where rank <= quota""",
+        "page_quota": f"with recursive {EVENT_QUOTA} select user_id as start_url, event_id from cards join quotas using (user_id, page) where rank <= quota",
+        "quota_progress": f"""with recursive {EVENT_QUOTA}, taken as (
+              select user_id, page, ok from cards join quotas using (user_id, page) where rank <= quota)
+            select u.user_id as start_url, cast(coalesce(max(page), 0) as integer) as pages_read, count(page) as offered, count(*) filter (where ok) as accepted,
+              cast(25 as bigint) as cap, count(*) filter (where ok) >= 25 as is_full
+            from (select distinct user_id from events) u left join taken t using (user_id) group by u.user_id""",
+        "quota_progress_open": """with days as (
+              select user_id, day(ts) as page, count(*) as n, count(*) filter (where event_type <> 'error') as ok from events group by all
+            ), placed as (select *, row_number() over (partition by user_id order by page) as nth from days),
+            taken as (select * from placed where page = nth)
+            select u.user_id as start_url, cast(coalesce(max(page), 0) as integer) as pages_read, cast(coalesce(sum(n), 0) as bigint) as offered,
+              cast(coalesce(sum(ok), 0) as bigint) as accepted, cast(null as bigint) as cap, false as is_full
+            from (select distinct user_id from events) u left join taken t using (user_id) group by u.user_id""",
+        "nearest_vectors": """with usable as (
+              select vec_id, embedding::double[] as v from embeddings
+              where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+            ), compared as (
+              select q.vec_id, n.vec_id as neighbour_id, round(list_cosine_similarity(q.v, n.v), 9) as cosine
+              from usable q join usable n on q.vec_id % 100 = 0 and n.vec_id <> q.vec_id
+            ), ranked as (select *, cast(row_number() over (partition by vec_id order by cosine desc, neighbour_id) as integer) as rank from compared)
+            select vec_id, rank, neighbour_id, round(cosine, 6) as cosine from ranked where rank <= 10""",
         "category_cap": """with counts as (select p_size, count(*) as n from part group by p_size),
             started as (select p_size, coalesce(sum(n) over (order by p_size rows between unbounded preceding and 1 preceding), 0) as before from counts)
             select p_size, p_partkey from part join started using (p_size) where before < 400""",
@@ -400,6 +415,24 @@ def oracles() -> dict[str, str]:
             union all
             select cast(1 as integer), pos, n.name, rep, cast({score(form("n.name"), form("rep"))} as integer) from names n join loop using (name)
             where rep <> n.name or pos > (select min(pos) from names m where m.name = n.name)""",
+        "stream_resolution": f"""with recursive {PART_NAMES}, {PART_SEEDS}, {lookup()}, {LOOP}
+            select l.name, coalesce(rep, canonical_name) as canonical_name from looked_up l left join loop using (name)""",
+        "seed_file": f"""with {PART_NAMES}, {PART_SEEDS}, {lookup()} select pos, name, canonical_name, match_score from names join looked_up using (name)""",
+        "link_records": f"""with recursive typed as (
+              select 'PRODUCT' as entity_type, p_name || case when p_size > 40 then '' when p_size > 20 then ', s.' else ' ' || left(p_type, 1) end as name from part
+              union all select 'STARTUP', s_name from supplier
+              union all select 'LISTING', upper(p_name) || ' ' || left(p_type, 1) from part
+            ), names as (select name, row_number() over (order by {form("name")}, name) as pos from (select distinct name from typed)),
+            {PART_SEEDS}, {lookup()}, {LOOP}, found as (
+              select l.name, match_score, canonical_name <> l.name as by_seed, coalesce(rep, canonical_name) as canonical from looked_up l left join loop using (name)
+            ), named as (
+              select *, case when canonical in (select seed from seeds) then null else sha1(unhex('{NAMESPACE.hex}') || encode({form("canonical")})) end as h from found
+            )
+            select entity_type, name as raw_name, case when h is null then 'seed_' || regexp_replace({form("canonical")}, ' +', '_', 'g')
+                else h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || substr('89ab', cast(('0x' || h[17]) as integer) % 4 + 1, 1) || h[18:20] || '-' || h[21:32] end as canonical_id,
+              canonical as canonical_name, cast(case when by_seed then match_score else {score(form("name"), form("canonical"))} end as integer) as match_score,
+              count(*) as n_records, {instant(AS_OF)} as linked_at
+            from typed join named using (name) group by all""",
         "mapping_file": f"""with {PART_NAMES}, {PART_SEEDS}, {lookup()} select name as "Raw_Name", canonical_name as "Canonical_Name",
             cast(match_score as bigint) as "Match_Score", count(*) as n_rows from names join looked_up using (name) group by all""",
         "feed_items": f"with {ITEMS} select source_url, item_pos, title, link, date_text, md5(text) as description_md5 from items",
@@ -417,6 +450,13 @@ def oracles() -> dict[str, str]:
         "sourced_payloads": f"""with {ITEMS}, numbered as (select distinct source_url, cast(regexp_extract(source_url, '([0-9]+)$', 1) as integer) as n from items)
             select -n as src_pos, 'Feed ' || n as source_name, source_url from numbered where n % 3 <> 2""",
         "collection_round_trip": "select n_nationkey, n_name, cast(2 as bigint) as n_rows from nation",
+        "collection_versions": "select n_nationkey, n_name, cast(2 as bigint) as n_rows from nation",
+        "unseen_addresses": "select distinct url from pages where url not in (select url from pages where length(html) % 2 = 0 and url is not null) or url is null",
+        "ragged_csv": """select r_name, null::varchar as n_name, null::bigint as n_nationkey, null::varchar as s_name, count(*) as n_rows from region group by r_name
+            union all select null, n_name, n_nationkey, null, count(*) from nation group by all
+            union all select null, null, s_nationkey, s_name, count(*) from supplier group by all""",
+        "stream_xml_jobs": f"""with {ITEMS}, found as ({job_rows("items")})
+            select content_company, content_date, content_is_remote, content_role_family, count(*) as n_items from found group by all""",
         "research_papers": f"""with {PAPERS} select '1.0' as "schemaVersion", 'RESEARCH_PAPER' as "recordType", 'ArXiv' as source_name, paper_url as source_url,
             title as content_title, authors as content_authors, paper_url as content_paper_url, github_url as content_github_url,
             cast(case when github_url is not null then quality * 100 + toxic end as integer) as content_github_stars,
@@ -429,10 +469,10 @@ def oracles() -> dict[str, str]:
               select * from items union all select * from items where link = ''), found as ({job_rows("kept")})
             select source_url, content_company, content_date, content_is_remote, content_role_family, count(*) as n_items from found group by all""",
         "job_listings": f"""with {ITEMS}, rows as (
-              select *, case when link = '' and not atom then source_url else link end as job_url, left(description, 300) as snippet from items)
+              select *, case when link = '' and not atom then source_url else link end as job_url, description as snippet from items)
             select 'JOB' as "recordType", source_name, source_url, title as content_title, {company_from_title("title")} as content_company,
               job_url as content_job_url, {ist("strict_published")} as content_date, {is_remote("title", "snippet")} as content_is_remote,
-              {role_family("title", "snippet")} as content_role_family, left(snippet, 200) as content_description_snippet,
+              {role_family("title", "snippet")} as content_role_family, snippet as content_description_snippet,
               '2024-01-03T05:30:00+05:30' as "collectedAt"
             from rows qualify row_number() over (partition by job_url order by part * 2 + cast(atom as integer), item_pos) = 1""",
         "catalog_products": f"""with {CATALOG}, {FOOD}, {MARKET},

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemill.functions import dates, fuzzy, html, text, tokens, urls
-from tidemill.operators import dedupe, enrich, filters, limits, records, reports, resolve, tiers
+from tidemill.operators import dedupe, enrich, filters, limits, links, neighbours, records, reports, resolve, tiers
 from tidemill.plans import directory, listings, papers, signals
 from tidemill.session import scratch_path
-from tidemill.sources import cards, catalog, feeds, registry, seeds, sinks
-from tidemill.streaming import monitor
+from tidemill.sources import cards, catalog, feeds, history, registry, seeds, sinks, versions
+from tidemill.streaming import monitor, resolution
 from workload import landing
 from workload.landing import AS_OF, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTERED: dict[str, Query] = {}
+#: The state store that keyed streaming state needs.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 EVENTS_AS_OF = datetime(2024, 1, 20, tzinfo=timezone.utc)
 
 
@@ -76,6 +79,15 @@ def chunk_counts(spark, sf_dir):
     )
 
 
+@query
+def chunk_ids(spark, sf_dir):
+    """Windows of 500 byte-pair ids over whole documents."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    return tokens.chunk_ids(docs, "text", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 500)
+
+
 @query
 def token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", spread=True)
@@ -346,11 +358,28 @@ def newest_orders(spark, sf_dir):
 @query
 def page_quota(spark, sf_dir):
     """Events as cards: a user is a listing, a day a page; errors do not count toward the quota of 25."""
-    rows = events(spark, sf_dir).select(
+    return limits.page_quota(event_cards(spark, sf_dir), "ok", 25).select("start_url", F.col("pos").alias("event_id"))
+
+
+def event_cards(spark, sf_dir) -> DataFrame:
+    """Events as cards: a user is a listing, a day a page; errors are not valid."""
+    rows = events(spark, sf_dir)
+    return rows.select(
         F.col("user_id").alias("start_url"), F.dayofmonth("ts").alias("page_num"), F.col("event_id").alias("pos"),
-        (F.col("event_type") != "error").alias("ok"),
+        F.coalesce(F.col("event_type") != "error", F.lit(False)).alias("ok"),
     )
-    return limits.page_quota(rows, "ok", 25).select("start_url", F.col("pos").alias("event_id"))
+
+
+@query
+def quota_progress(spark, sf_dir):
+    """How far the crawl of each user's days comes with a quota of 25."""
+    return limits.quota_progress(event_cards(spark, sf_dir), "ok", 25)
+
+
+@query
+def quota_progress_open(spark, sf_dir):
+    """The same without a quota and without a last page."""
+    return limits.quota_progress(event_cards(spark, sf_dir), "ok", None, max_pages=None)
 
 
 @query
@@ -437,6 +466,14 @@ def alive_tiers(spark, sf_dir):
     return tiers.alive_tiers(turns.select(F.col("turn").alias("tier")).distinct(), health)
 
 
+@query
+def nearest_vectors(spark, sf_dir):
+    """The ten nearest of all vectors to each whose id is a multiple of 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    found = neighbours.top_neighbours(vectors, 10, queries=vectors.filter("vec_id % 100 = 0"))
+    return found.withColumn("cosine", F.round("cosine", 6))
+
+
 # --- resolution ------------------------------------------------------------------------------------------
 
 
@@ -505,6 +542,39 @@ def entity_mappings(spark, sf_dir):
     return resolve.mapping_log(part_names(spark, sf_dir), seeds.load_seeds(spark))
 
 
+def names_middle(spark, sf_dir) -> int:
+    """The place that halves the part names."""
+    return table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0] // 2
+
+
+def typed_names(spark, sf_dir) -> DataFrame:
+    """The names of three record types: products, startups and papers' nations."""
+    parts = part_names(spark, sf_dir).select(F.lit("PRODUCT").alias("entity_type"), "name")
+    suppliers = table(spark, sf_dir, "supplier").select(F.lit("STARTUP").alias("entity_type"), F.col("s_name").alias("name"))
+    labels = table(spark, sf_dir, "part").select(F.lit("LISTING").alias("entity_type"), F.concat(F.upper("p_name"), F.lit(" "), F.substring("p_type", 1, 1)).alias("name"))
+    return parts.unionByName(suppliers).unionByName(labels)
+
+
+@query
+def link_records(spark, sf_dir):
+    """Names of products, startups and listings resolved together."""
+    found = links.link_records(typed_names(spark, sf_dir), part_seeds(spark, sf_dir), AS_OF, scorer="levenshtein")
+    return found.withColumn("linked_at", stamp_text(F.col("linked_at")))
+
+
+@query
+def stream_resolution(spark, sf_dir):
+    """Part names landed and resolved in two polls: the same as one batch of them all."""
+    base = scratch_path(spark, "resolution")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    names = part_names(spark, sf_dir).withColumn("poll", F.col("pos") > names_middle(spark, sf_dir))
+    for poll in (False, True):
+        names.filter(F.col("poll") == poll).drop("poll").write.mode("append").parquet(f"{base}/landed")
+        stream = spark.readStream.schema("pos long, name string").parquet(f"{base}/landed")
+        resolution.start_resolution(stream, part_seeds(spark, sf_dir), f"{base}/out", f"{base}/checkpoint", scorer="levenshtein").awaitTermination()
+    return resolution.mapping(spark, f"{base}/out")
+
+
 # --- sources and sinks -------------------------------------------------------------------------------------
 
 
@@ -542,7 +612,7 @@ def topic_papers(spark, sf_dir):
 
 @query
 def catalog_rows(spark, sf_dir):
-    return catalog.scan_catalog(landing.catalog(spark, sf_dir)).withColumn("item_pos", F.col("item_pos").cast("bigint"))
+    return catalog.scan_catalog(landing.catalog(spark, sf_dir), tag_chars=None).withColumn("item_pos", F.col("item_pos").cast("bigint"))
 
 
 @query
@@ -552,12 +622,12 @@ def food_rows(spark, sf_dir):
 
 @query
 def nutrition_rows(spark, sf_dir):
-    return catalog.scan_food(landing.food(spark, sf_dir), profile="nutrition").drop("item_pos", "category_pos", "source_url")
+    return catalog.scan_food(landing.food(spark, sf_dir), profile="nutrition", country_chars=None).drop("item_pos", "category_pos", "source_url")
 
 
 @query
 def company_cards(spark, sf_dir):
-    found = cards.company_cards(landing.company_pages(spark, sf_dir))
+    found = cards.company_cards(landing.company_pages(spark, sf_dir), description_chars=None)
     return found.groupBy("name", "description", "href").agg(F.count("*").alias("n_links"))
 
 
@@ -598,6 +668,49 @@ def collection_round_trip(spark, sf_dir):
     return spark.read.parquet(f"{base}/places").groupBy("n_nationkey", "n_name").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def collection_versions(spark, sf_dir):
+    """A collection replaced twice and added to."""
+    base = scratch_path(spark, "versions")
+    nations = table(spark, sf_dir, "nation")
+    versions.replace(table(spark, sf_dir, "region"), base, "places")
+    versions.replace(nations, base, "places")
+    versions.append(nations, base, "places")
+    return versions.read(spark, base, "places").groupBy("n_nationkey", "n_name").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def unseen_addresses(spark, sf_dir):
+    """Addresses of pages that the second of two runs finds new."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.length("html").alias("n"))
+    name = f"addresses_{uuid.uuid4().hex}"
+    history.create(spark, name, 8, scratch_path(spark, "addresses"))
+    first = pages.filter(F.col("n") % 2 == 0)
+    history.remember(history.unseen(first, name, "url"), name, "url")
+    return history.unseen(pages, name, "url").select("url").distinct()
+
+
+@query
+def ragged_csv(spark, sf_dir):
+    """Regions, nations and suppliers in one CSV file set, read back."""
+    path = scratch_path(spark, "ragged-csv")
+    regions, nations, suppliers = (table(spark, sf_dir, t) for t in ("region", "nation", "supplier"))
+    suppliers = suppliers.select("s_suppkey", "s_name", F.col("s_nationkey").alias("n_nationkey"))
+    sinks.write_ragged(path, regions, nations, suppliers)
+    back = spark.read.option("header", True).csv(path)
+    return back.groupBy("r_name", "n_name", F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "s_name").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def seed_file(spark, sf_dir):
+    """Part names matched against seeds from a file."""
+    path = scratch_path(spark, "seeds")
+    listed = part_seeds(spark, sf_dir).agg(F.transform(F.sort_array(F.collect_list(F.struct("seed_pos", "seed"))), lambda x: x["seed"]).alias("names"))
+    listed.select(F.to_json("names").alias("value")).write.text(path)
+    known = seeds.load_seeds(spark, path)
+    return resolve.canonicalize(part_names(spark, sf_dir), known, scorer="levenshtein")
+
+
 @query
 def mapping_file(spark, sf_dir):
     path = scratch_path(spark, "mapping-csv")
@@ -628,16 +741,16 @@ def jobs(spark, sf_dir):
 
 @query
 def job_listings(spark, sf_dir):
-    return plain(signals.job_listings(landing.feeds(spark, sf_dir), AS_OF))
+    return plain(signals.job_listings(landing.feeds(spark, sf_dir), AS_OF, None, None))
 
 
 @query
 def catalog_products(spark, sf_dir):
     parts = [
-        listings.store_products(landing.catalog(spark, sf_dir), AS_OF),
+        listings.store_products(landing.catalog(spark, sf_dir), AS_OF, None),
         listings.food_products(landing.food(spark, sf_dir), AS_OF, None),
         listings.marketplace_products(landing.marketplace(spark, sf_dir), "Market", "https://market.example.com", AS_OF),
-        listings.nutrition_products(landing.food(spark, sf_dir), AS_OF),
+        listings.nutrition_products(landing.food(spark, sf_dir), AS_OF, None),
     ]
     return plain(listings.catalog_products(*parts))
 
@@ -650,7 +763,7 @@ def supplier_seeds(spark, sf_dir) -> DataFrame:
 @query
 def company_list(spark, sf_dir):
     rows, _ = listings.company_list(
-        landing.company_pages(spark, sf_dir), supplier_seeds(spark, sf_dir), "https://dir.example.com", "Directory", "YC", AS_OF,
+        landing.company_pages(spark, sf_dir), supplier_seeds(spark, sf_dir), "https://dir.example.com", "Directory", "YC", AS_OF, None,
         scorer="levenshtein", threshold=90,
     )
     return plain(rows)
@@ -668,7 +781,7 @@ def _entity(name: str) -> Column:
 def _directory(spark, sf_dir, content: dict[str, Column], entity_type: str) -> DataFrame:
     pages = landing.directory_pages(spark, sf_dir)
     responses = landing.extraction_responses(pages, content)
-    flat, _ = directory.directory(pages, responses, entity_type, customer_seeds(spark, sf_dir), AS_OF, 100, scorer="levenshtein")
+    flat, _ = directory.directory(pages, responses, entity_type, customer_seeds(spark, sf_dir), AS_OF, None, max_pages=None, scorer="levenshtein")
     return plain(flat)
 
 
@@ -702,6 +815,22 @@ def stream_jobs(spark, sf_dir):
     return plain(spark.read.parquet(f"{base}/out/jobs")).drop("batch_id")
 
 
+@query
+def stream_xml_jobs(spark, sf_dir):
+    """Feed documents landed as XML files, one of them broken off, polled into the jobs collection as they are."""
+    base = scratch_path(spark, "xml-monitor")
+    landing.feeds(spark, sf_dir).select("xml").write.text(f"{base}/landed")
+    broken = spark.createDataFrame([("<rss><channel><item><title>Lost</title><link>http://x</link><desc",)], "value string")
+    broken.write.mode("append").text(f"{base}/landed")
+    found = []
+    for element in ("item", "entry"):
+        items = monitor.fresh_items_stream(monitor.item_stream(spark, f"{base}/landed", element), AS_OF)
+        monitor.start_monitor(items, "jobs", f"{base}/out-{element}", f"{base}/checkpoint-{element}", AS_OF).awaitTermination()
+        found.append(plain(spark.read.parquet(f"{base}/out-{element}/jobs")).drop("batch_id"))
+    both = found[0].unionByName(found[1])
+    return both.groupBy("content_company", "content_date", "content_is_remote", "content_role_family").agg(F.count("*").alias("n_items"))
+
+
 @query
 def stream_dedupe(spark, sf_dir):
     """Items that survive deduplication across polls; those without an address all do."""
