@@ -69,16 +69,22 @@ def _with_prefixes(words: pa.Array) -> list[pa.Array]:
 
 
 def _counted(features: list[np.ndarray], codes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(text, feature, x)`` for the features (given per distinct word, -1 for none) of every text."""
-    doc, own = [], []
+    """``(text, feature, x)`` for the features (given per distinct word, -1 for none) of every text, by text.
+
+    The kinds of features have nothing in common, so they are counted one after the other, which takes the memory of one of them.
+    """
+    doc = np.repeat(np.arange(len(bounds) - 1, dtype=np.int64), np.diff(bounds))
+    found = []
     for feature in features:
-        at = np.flatnonzero(feature[codes] >= 0)
-        doc.append(np.searchsorted(bounds, at, side="right") - 1)
-        own.append(feature[codes[at]])
-    pairs, counts = np.unique(np.concatenate(doc) * size + np.concatenate(own), return_counts=True)
-    text, feature = np.divmod(pairs, size)
+        own = feature[codes]
+        there = own >= 0
+        found.append(np.unique(doc[there] * size + own[there], return_counts=True))
+        del own, there
+    pairs, counts = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(pairs, kind="stable")
+    text, feature = np.divmod(pairs[order], size)
     words = np.diff(bounds)[text]
-    return text, feature, np.log1p(counts * np.minimum(1, LENGTH / np.maximum(words, 1)))
+    return text, feature, np.log1p(counts[order] * np.minimum(1, LENGTH / np.maximum(words, 1)))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,19 +208,18 @@ def _scores(model: Model, texts: pa.Array) -> np.ndarray:
         return out
     codes, bounds, words = word_codes(texts)
     known = pa.array(model.words)
-    kinds = [pc.fill_null(pc.index_in(k, value_set=known, skip_nulls=True), -1).to_numpy(zero_copy_only=False).astype(np.int64) for k in _with_prefixes(words)]
-    text, feature, x = _counted(kinds, codes, bounds, len(known))
-    return np.bincount(text, model.weights[feature] * x, len(texts))
+    for kind in _with_prefixes(words):
+        feature = pc.fill_null(pc.index_in(kind, value_set=known, skip_nulls=True), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        text, feature, x = _counted([feature], codes, bounds, len(known))
+        out += np.bincount(text, model.weights[feature] * x, len(texts))
+    return out
 
 
-def _scored(model: Model, schema: pa.Schema | None):
+def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 above = model.probabilities(_scores(model, text_column(part)))
-                if schema is not None:
-                    yield part.filter(pa.array(above[:, 0] < 0.5))
-                    continue
                 chance = -np.diff(np.concatenate([np.ones((len(above), 1)), above, np.zeros((len(above), 1))], axis=1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(above.sum(axis=1)), pa.array(chance.argmax(axis=1), pa.int32()), pa.array(above[:, 0]), pa.array(above[:, 0] >= 0.5)],
@@ -227,9 +232,16 @@ def _scored(model: Model, schema: pa.Schema | None):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs(doc_id, text)``: ``doc_id, severity`` (expected grade), ``grade`` (the likeliest), ``p_toxic, toxic``."""
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    return rows.mapInArrow(_scored(model, None), "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
+    return rows.mapInArrow(_scored(model), "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that are not toxic, with all their columns."""
-    return docs.mapInArrow(_scored(model, pa.schema([])), docs.schema)
+    """The rows of ``docs`` that are not toxic, with all their columns. Only texts go to Python, and a flag comes back."""
+
+    @F.arrow_udf("boolean")
+    def is_clean(texts: pa.Array) -> pa.Array:
+        parts = slices(pa.RecordBatch.from_arrays([texts], names=["text"]))
+        found = [model.probabilities(_scores(model, text_column(part)))[:, 0] < 0.5 for part in parts]
+        return pa.array(np.concatenate(found) if found else np.empty(0, bool))
+
+    return docs.filter(is_clean(F.col("text").cast("string")))

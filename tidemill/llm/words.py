@@ -14,7 +14,10 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text bytes handled at once inside a task; one longer text is handled alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+
+# What a slice took goes back to the system when it is done, not into a pool that each idle worker would hold.
+pa.set_memory_pool(pa.system_memory_pool())
 
 
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
