@@ -35,15 +35,15 @@ SCHEMA = "shard int, start long, doc_ids array<long>, lengths array<int>, words
 
 def _blocks(tokenizer: str, end_id: int | None, block_ids: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, start = shared_encoder(tokenizer), 0
-        shard, doc_ids, lengths, parts, held = None, [], [], [], 0
+        encoder, shard, start = shared_encoder(tokenizer), None, 0
+        kept: tuple[pa.Array, np.ndarray, np.ndarray] | None = None  # documents, their lengths and ids, too few for a block
 
-        def block():
-            ids = np.concatenate(parts)
+        def block(doc_ids: pa.Array, lengths: np.ndarray, ids: np.ndarray):
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([shard], pa.int32()), pa.array([start], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())),
-                    pa.array([lengths], pa.list_(pa.int32())), pa.array([simple8b.encode(ids).astype("<u8").tobytes()], pa.binary()),
+                    pa.array([shard], pa.int32()), pa.array([start], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids),
+                    pa.ListArray.from_arrays(pa.array([0, len(lengths)], pa.int32()), pa.array(lengths, pa.int32())),
+                    pa.array([simple8b.encode(ids).astype("<u8", copy=False).tobytes()], pa.binary()),
                 ],
                 names=["shard", "start", "doc_ids", "lengths", "words"],
             )
@@ -52,16 +52,17 @@ def _blocks(tokenizer: str, end_id: int | None, block_ids: int):
             for part in slices(batch):
                 shard = part.column(2)[0].as_py()
                 ids, offsets = encoder.encode(text_column(part), end_id)
-                for doc_id, begin, stop in zip(part.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-                    doc_ids.append(doc_id)
-                    lengths.append(stop - begin)
-                    parts.append(ids[begin:stop])
-                    held += stop - begin
-                    if held >= block_ids:
-                        yield block()
-                        start, doc_ids, lengths, parts, held = start + held, [], [], [], 0
-        if doc_ids:
-            yield block()
+                doc_ids, lengths = part.column(0).cast(pa.int64()), np.diff(offsets)
+                if kept is not None:
+                    doc_ids, lengths, ids = pa.concat_arrays([kept[0], doc_ids]), np.concatenate([kept[1], lengths]), np.concatenate([kept[2], ids])
+                ends, first, begin = np.cumsum(lengths), 0, 0
+                while (last := int(np.searchsorted(ends, begin + block_ids))) < len(ends):
+                    stop = int(ends[last])
+                    yield block(doc_ids.slice(first, last + 1 - first), lengths[first:last + 1], ids[begin:stop])
+                    start, first, begin = start + stop - begin, last + 1, stop
+                kept = (doc_ids.slice(first), lengths[first:], ids[begin:].copy()) if first < len(ends) else None
+        if kept is not None:
+            yield block(*kept)
 
     return encode
 
@@ -83,10 +84,11 @@ def write_tokens(
 
 def _decoded(batches: Iterator[pa.RecordBatch], consume) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
-            lengths = np.array(row["lengths"], np.int64)
-            ids = simple8b.decode(np.frombuffer(row["words"], "<u8"), int(lengths.sum()))
-            yield consume(row, ids, lengths)
+        columns = {name: batch.column(batch.schema.get_field_index(name)) for name in ("start", "doc_ids", "lengths", "words")}
+        for i in range(batch.num_rows):
+            lengths = columns["lengths"][i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = simple8b.decode(np.frombuffer(columns["words"][i].as_buffer(), "<u8"), int(lengths.sum()))
+            yield consume(columns["start"][i].as_py(), columns["doc_ids"][i].values, ids, lengths)
 
 
 def _with_bases(blocks: DataFrame) -> DataFrame:
@@ -101,12 +103,12 @@ def _with_bases(blocks: DataFrame) -> DataFrame:
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, ids``: the documents of a file set; ``start`` counts the ids of all documents before."""
 
-    def consume(row, ids, lengths):
+    def consume(start, doc_ids, ids, lengths):
         bounds = np.concatenate([[0], np.cumsum(lengths)])
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + bounds[:-1], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int64))),
+                doc_ids, pa.array(start + bounds[:-1], pa.int64()),
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view(np.int64))),
             ],
             names=["doc_id", "start", "ids"],
         )
@@ -117,13 +119,13 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 def token_digests(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` per document, from the ids read back."""
 
-    def consume(row, ids, lengths):
+    def consume(start, doc_ids, ids, lengths):
         bounds = np.concatenate([[0], np.cumsum(lengths)])
-        data = memoryview(ids.astype("<u4").tobytes())
+        data = memoryview(ids.astype("<u4").view(np.uint8))
         sums = [zlib.crc32(data[4 * a:4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + bounds[:-1], pa.int64()),
+                doc_ids, pa.array(start + bounds[:-1], pa.int64()),
                 pa.array(lengths, pa.int64()), pa.array(sums, pa.int64()),
             ],
             names=["doc_id", "start", "n_tokens", "ids_crc32"],
