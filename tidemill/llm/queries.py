@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.llm import bottomk, collocations, crosspolytope, cws, k2treap, kneser_ney, linmax, main_text, packing, pareto, severity, surrogates, token_file
 
 
+#: The queries' own key, so that reruns agree; a user keeps theirs secret.
+SURROGATE_KEY = "queries"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -19,7 +23,7 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return surrogates.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return surrogates.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), key=SURROGATE_KEY)
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
