@@ -191,3 +191,20 @@ def test_genetic_search_beats_first_guess():
     best = packing.evolve(sizes, [], 1000, random.Random(1), generations=60, limit=8)[0]
     assert len(best.loads) < len(first.loads)
     assert sorted(i for m in best.members for i in m) == list(range(len(sizes))) and max(best.loads) <= 1000
+
+
+def test_search_through_spark_beats_first_guess(spark):
+    """Documents of around a third of the capacity, in triples that fill a sequence: the first guess is not at the bound, so islands cross and migrate."""
+    rng = random.Random(9)
+    sizes = []
+    for _ in range(60):
+        a, b = rng.randint(52, 94), rng.randint(52, 74)
+        sizes += [a, b, 200 - a - b]
+    docs = spark.createDataFrame([(i, "a " * (n - 1)) for i, n in enumerate(sizes)], "doc_id long, text string")
+    rows = packing.pack(docs, capacity=200).collect()
+    assert sorted(r.length for r in rows) == sorted(sizes)
+    loads = Counter()
+    for r in rows:
+        loads[r.sequence_id] += r.length
+    first = packing._best_fit(packing._Packing([], []), sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, 200)
+    assert max(loads.values()) <= 200 and 60 <= len(loads) < len(first.loads)

@@ -7,7 +7,8 @@ hash into cells of about ``CELL`` pieces, or of more where those would not fill
 * Crossover injects whole, well-filled bins of one parent into the other, removes the bins that hold an injected piece a
   second time, and best-fits the pieces displaced by that, largest first.
 * Mutation opens the least-filled bins and best-fits their pieces.
-* A cell ends early when it needs no more bins than its total length divided by the capacity, rounded up.
+* An island ends at once, before any crossover, when its first best fit needs no more bins than the total length divided by the capacity, rounded up;
+  many short pieces often allow that.
 
 The least-filled bins of every cell (at most one in ``OPEN_SHARE``) are opened again and their pieces packed across cells in the same
 way, until one cell is left.
@@ -207,10 +208,12 @@ def _pack_cells(items: DataFrame, cells: int, capacity: int, level: int) -> Data
     def start(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("uid")
         uids, sizes = frame.uid.to_numpy(np.int64).tobytes(), frame.length.to_numpy(np.int32).tobytes()
-        rows = [pd.DataFrame({"own": [True], "origin": [i], "uids": [uids], "sizes": [sizes], "labels": [[]]}) for i in range(ISLANDS)]
-        return pd.concat([_evolved(row, key[0], i, 0, capacity) for i, row in enumerate(rows)])
+        row = pd.DataFrame({"own": [True], "origin": [key[1]], "uids": [uids], "sizes": [sizes], "labels": [[]]})
+        return _evolved(row, key[0], key[1], 0, capacity)
 
-    state = items.withColumn("cell", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(cells))).groupBy("cell").applyInPandas(start, _STATE)
+    # A cell's pieces go to each of its islands, which are groups, and so tasks, of their own.
+    dealt = items.withColumn("cell", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(cells))).withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))))
+    state = dealt.groupBy("cell", "island").applyInPandas(start, _STATE)
     for epoch in range(1, EPOCHS):
         stay = F.struct(F.col("island").alias("to"), F.lit(True).alias("own"), "uids", "sizes", "labels")
         empty = F.lit(b"")
