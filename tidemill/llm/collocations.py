@@ -33,8 +33,8 @@ TOP = 2000
 #: A phrase goes if a longer one that holds it is at least this many hundredths as frequent.
 INSIDE = 50
 UNKNOWN = "und"
-CHUNK_BYTES = 16 << 20
-BUCKET_CELLS = 2_000_000
+CHUNK_BYTES = 8 << 20
+BUCKET_CELLS = 1_000_000
 #: A tile has 2 to the power of this many ids on each side.
 TILE_BITS = 10
 #: A tile is counted cell by cell where this share of its cells, or more, could be taken.
@@ -265,7 +265,7 @@ def _by_chunk(sequences: DataFrame, mapping: DataFrame, function) -> DataFrame:
 def _buckets(level: DataFrame) -> int:
     """Buckets for the pairs of neighbours of a level: their number is bounded by the occurrences."""
     total = level.agg(F.sum("f")).first()[0] or 0
-    return max(2 * int(level.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_CELLS))
+    return max(4 * int(level.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_CELLS))
 
 
 def phrase_counts(docs: DataFrame, *, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> tuple[DataFrame, list[DataFrame]]:
