@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm import bottomk, packing, pareto, severity, surrogates
+from tidemill.llm.queries import SURROGATE_KEY
 from tidemill.session import cut
 
 
@@ -27,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return surrogates.pseudonymise(docs).select(*docs.columns)
+    return surrogates.pseudonymise(docs, key=SURROGATE_KEY).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
