@@ -114,6 +114,13 @@ def repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def paper_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """External ids of the German and French documents, which name a repository."""
+    docs = table(spark, sf_dir, "documents").filter(F.col("lang").isin("de", "fr"))
+    repository = F.concat(F.lit("https://github.com/"), F.col("source"), F.lit("/doc-"), F.col("doc_id"))
+    return docs.select(F.col("doc_id").cast("string").alias("paper_id"), F.to_json(F.struct(F.lit("x").alias("other"), repository.alias("github_url"))).alias("external_ids"))
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store pages of the ``part`` table: one store per brand, equal names share a handle."""
     variants = F.array(

@@ -47,6 +47,19 @@ def main_text(html: str) -> str:
     return f"nullif(array_to_string({stripped(kept)}, chr(10)), '')"
 
 
+def region_text(html: str) -> str:
+    """The ``main`` region or the whole page, without short blocks and blocks made mostly of links."""
+    body = without_elements(html)
+    region = rf"coalesce(nullif(regexp_extract({body}, '(?is)<main>(.*)</main\s*>', 1), ''), {body})"
+    marked = rf"regexp_replace({region}, '(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:[\s/][^>]*)?>', chr(1), 'g')"
+    marked = rf"regexp_replace(regexp_replace({marked}, '(?i)<a(?:\s[^>]*)?>', chr(2), 'g'), '(?i)</a\s*>', chr(3), 'g')"
+    blocks = rf"string_split(regexp_replace({marked}, '<[a-zA-Z/!?]{_ATTRS}>', '', 'g'), chr(1))"
+    text = lambda x: decode(f"replace(replace({x}, chr(2), ''), chr(3), '')")
+    bare = decode("regexp_replace(x, chr(2) || '[^' || chr(3) || ']*' || chr(3), '', 'g')")
+    kept = f"list_filter({blocks}, lambda x: length({text('x')}) >= 20 and length({bare}) >= length({text('x')}) * 0.5)"
+    return f"nullif(array_to_string({stripped(f'list_transform({kept}, lambda x: {text("x")})')}, chr(10)), '')"
+
+
 def tokens(text: str) -> str:
     return rf"regexp_extract_all({text}, '[\s]*[{_WORD}]+|[\s]*[^{_WORD}\s]|[\s]+$')"
 
@@ -203,6 +216,22 @@ def score(a: str, b: str) -> str:
     return f"(({longest} - levenshtein({a}, {b})) * 100) // {longest}"
 
 
+def common_letters(a: str, b: str) -> str:
+    """The length of the longest common subsequence: for each letter of one text a row of running maxima over the letters of the other."""
+    codes = f"list_transform(string_split({b}, ''), lambda c: unicode(c)::integer)"
+    letters = f"list_transform(string_split({a}, ''), lambda c: [unicode(c)::integer])"
+    start = f"[list_resize([0::integer], (length({b}) + 1)::bigint, 0::integer)]"
+    cell = f"greatest(row[k], case when k > 1 and {codes}[k - 1] = x[1] then row[k - 1] + 1 else 0 end)"
+    step = f"list_transform(range(1, length({b}) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda k: {cell})))"
+    return f"list_reduce(list_concat({start}, {letters}), lambda row, x: {step})[length({b}) + 1]"
+
+
+def ratio(a: str, b: str) -> str:
+    """The share of two texts, in percent, that insertions and deletions leave; 0 when one is empty."""
+    total = f"(length({a}) + length({b}))"
+    return f"case when {a} = '' or {b} = '' then 0.0::double else (1 - ({total} - 2 * {common_letters(a, b)}) / {total}::double) * 100 end"
+
+
 PART_NAMES = """
 names as (
   select p_partkey as pos, p_name || case when p_size > 40 then '' when p_size > 20 then ', s.' else ' ' || left(p_type, 1) end as name
@@ -212,12 +241,12 @@ PART_SEEDS = """
 seeds as (select p_name as seed, min(p_partkey) as seed_pos from part where p_type = 'LARGE' and p_size > 45 group by p_name)"""
 
 
-def lookup(threshold: int = 85, names: str = "names", seeds: str = "seeds") -> str:
+def lookup(threshold: int = 85, names: str = "names", seeds: str = "seeds", score=score, rounded=str) -> str:
     """Best seed per distinct name of a relation with ``name``."""
     return f"""
 looked_up as (
-  select name, case when best.s >= {threshold} then best.seed else name end as canonical_name,
-    cast(case when best.s >= {threshold} then best.s else 0 end as integer) as match_score
+  select name, case when {rounded("best.s")} >= {threshold} then best.seed else name end as canonical_name,
+    cast(case when {rounded("best.s")} >= {threshold} then {rounded("best.s")} else 0 end as integer) as match_score
   from (
     select n.name, max(struct_pack(s := {score(form("n.name"), form("s.seed"))}, p := -s.seed_pos, seed := s.seed)) as best
     from (select distinct name from {names}) n left join {seeds} s on true group by n.name
@@ -225,8 +254,9 @@ looked_up as (
 )"""
 
 
-# The sequential loop: one step per open name in order of first appearance, the representatives so far as a list.
-LOOP = f"""
+def loop(accepted) -> str:
+    """The sequential loop: one step per open name in order of first appearance, the representatives so far as a list."""
+    return f"""
 open_names as (
   select name, {form("name")} as form, row_number() over (order by min(pos)) as i
   from names join looked_up using (name) where canonical_name = name group by name
@@ -235,12 +265,23 @@ open_names as (
   union all
   select i, name, coalesce(hit, name), case when hit is null then list_append(reps, name) else reps end
   from (
-    select o.i, o.name, l.reps, list_filter(l.reps, lambda r: {score("o.form", form("r"))} >= 85)[1] as hit
+    select o.i, o.name, l.reps, list_filter(l.reps, lambda r: {accepted("o.form", form("r"))})[1] as hit
     from loop l join open_names o on o.i = l.i + 1
   )
 )"""
 
 
+LOOP = loop(lambda a, b: f"{score(a, b)} >= 85")
+
+
+def rounded(x: str) -> str:
+    return f"round_even({x}, 0)"
+
+
+RATIO_LOOKUP = lookup(score=ratio, rounded=rounded)
+RATIO_LOOP = loop(lambda a, b: f"{rounded(ratio(a, b))} >= 85")
+
+
 def directory(kind: str, content: str) -> str:
     """All cards of the listings that give a name, then the lookup."""
     return f"""with cards as (
@@ -360,6 +401,10 @@ def oracles() -> dict[str, str]:
         "first_by_priority": """select l_orderkey, l_partkey from lineitem qualify row_number() over (
             partition by l_orderkey order by case when l_returnflag = 'R' then 0 else 1 end, l_linenumber, l_partkey) = 1""",
         "newest_orders": "select o_orderkey, o_totalprice from orders order by o_orderdate desc, o_orderkey limit 1000",
+        "main_text_regions": f"""with shown as (
+              select page_id, replace(replace(html, '<article', case when page_id % 3 = 0 then '<main' else '<section' end), '</article',
+                case when page_id % 3 = 0 then '</main' else '</section' end) || '<div><a href="/x">More of what others have read here</a> and some</div><p>The last block of this page.</p>' as html
+              from pages) select page_id, {region_text("html")} as body from shown""",
         "page_quota": f"with recursive {EVENT_QUOTA} select user_id as start_url, event_id from cards join quotas using (user_id, page) where rank <= quota",
         "quota_progress": f"""with recursive {EVENT_QUOTA}, taken as (
               select user_id, page, ok from cards join quotas using (user_id, page) where rank <= quota)
@@ -417,6 +462,14 @@ def oracles() -> dict[str, str]:
             where rep <> n.name or pos > (select min(pos) from names m where m.name = n.name)""",
         "stream_resolution": f"""with recursive {PART_NAMES}, {PART_SEEDS}, {lookup()}, {LOOP}
             select l.name, coalesce(rep, canonical_name) as canonical_name from looked_up l left join loop using (name)""",
+        "canonicalize_ratio": f"with {PART_NAMES}, {PART_SEEDS}, {RATIO_LOOKUP} select pos, name, canonical_name, match_score from names join looked_up using (name)",
+        "dedup_ratio": f"""with recursive {PART_NAMES}, {PART_SEEDS}, {RATIO_LOOKUP}, {RATIO_LOOP}
+            select l.name, coalesce(rep, canonical_name) as canonical_name from looked_up l left join loop using (name)""",
+        "mapping_log_ratio": f"""with recursive {PART_NAMES}, {PART_SEEDS}, {RATIO_LOOKUP}, {RATIO_LOOP}
+            select cast(0 as integer) as step, pos, name as raw_name, canonical_name, match_score from names join looked_up using (name)
+            union all
+            select cast(1 as integer), pos, n.name, rep, cast({rounded(ratio(form("n.name"), form("rep")))} as integer) from names n join loop using (name)
+            where rep <> n.name or pos > (select min(pos) from names m where m.name = n.name)""",
         "seed_file": f"""with {PART_NAMES}, {PART_SEEDS}, {lookup()} select pos, name, canonical_name, match_score from names join looked_up using (name)""",
         "link_records": f"""with recursive typed as (
               select 'PRODUCT' as entity_type, p_name || case when p_size > 40 then '' when p_size > 20 then ', s.' else ' ' || left(p_type, 1) end as name from part
@@ -462,6 +515,11 @@ def oracles() -> dict[str, str]:
             cast(case when github_url is not null then quality * 100 + toxic end as integer) as content_github_stars,
             {instant("published")} as content_published_date, {instant(AS_OF)} as "collectedAt"
             from papers left join labels using (doc_id) where {_ON_TOPIC} """,
+        "research_papers_with_ids": f"""with {PAPERS}, found as (select p.* replace (coalesce(github_url, case when lang in ('de', 'fr') then 'https://github.com/' || source || '/doc-' || doc_id end) as github_url) from papers p join documents using (doc_id)) select '1.0' as "schemaVersion", 'RESEARCH_PAPER' as "recordType", 'ArXiv' as source_name, paper_url as source_url,
+            title as content_title, authors as content_authors, paper_url as content_paper_url, github_url as content_github_url,
+            cast(case when github_url is not null then quality * 100 + toxic end as integer) as content_github_stars,
+            {instant("published")} as content_published_date, {instant(AS_OF)} as "collectedAt"
+            from found left join labels using (doc_id) where {_ON_TOPIC} """,
         "news": f"with {ITEMS}, {bodies} select {news_columns} from items left join bodies using (link) where published >= {AS_OF} - interval 24 hours",
         "jobs": f"with {ITEMS} {job_rows('items')}",
         "stream_jobs": f"with {ITEMS} {job_rows('items')}",

@@ -99,6 +99,16 @@ def main_text(spark, sf_dir):
     return table(spark, sf_dir, "pages", spread=True).select("page_id", html.main_text(F.col("html"), None).alias("body"))
 
 
+@query
+def main_text_regions(spark, sf_dir):
+    """Pages whose region is ``main``, or that mark none, with a block of links at the end."""
+    name = F.when(F.col("page_id") % 3 == 0, "main").otherwise("section")
+    shown = F.replace(F.replace("html", F.lit("<article"), F.concat(F.lit("<"), name)), F.lit("</article"), F.concat(F.lit("</"), name))
+    more = F.lit('<div><a href="/x">More of what others have read here</a> and some</div><p>The last block of this page.</p>')
+    pages = table(spark, sf_dir, "pages", spread=True)
+    return pages.select("page_id", html.main_text(F.concat(shown, more), None).alias("body"))
+
+
 @query
 def page_links(spark, sf_dir):
     links = table(spark, sf_dir, "pages", spread=True).select("page_id", F.explode(html.link_array(F.col("html"))).alias("l"))
@@ -537,6 +547,23 @@ def mapping_log_levenshtein(spark, sf_dir):
     return log.select("step", "pos", "raw_name", "canonical_name", "match_score")
 
 
+@query
+def canonicalize_ratio(spark, sf_dir):
+    """The plain ratio of insertions and deletions."""
+    return resolve.canonicalize(part_names(spark, sf_dir), part_seeds(spark, sf_dir), scorer="ratio")
+
+
+@query
+def dedup_ratio(spark, sf_dir):
+    return resolve.dedup_batch(part_names(spark, sf_dir), part_seeds(spark, sf_dir), scorer="ratio")
+
+
+@query
+def mapping_log_ratio(spark, sf_dir):
+    log = resolve.mapping_log(part_names(spark, sf_dir), part_seeds(spark, sf_dir), scorer="ratio", pairwise=True)
+    return log.select("step", "pos", "raw_name", "canonical_name", "match_score")
+
+
 @query
 def entity_mappings(spark, sf_dir):
     return resolve.mapping_log(part_names(spark, sf_dir), seeds.load_seeds(spark))
@@ -728,6 +755,13 @@ def research_papers(spark, sf_dir):
     return plain(papers.papers(landing.paper_feeds(spark, sf_dir), AS_OF, "er the", None, landing.repos(spark, sf_dir)))
 
 
+@query
+def research_papers_with_ids(spark, sf_dir):
+    """The same with the repository that external ids name where the abstract names none."""
+    feeds, repos, ids = landing.paper_feeds(spark, sf_dir), landing.repos(spark, sf_dir), landing.paper_ids(spark, sf_dir)
+    return plain(papers.papers(feeds, AS_OF, "er the", None, repos, ids, fill_repo=True))
+
+
 @query
 def news(spark, sf_dir):
     rows = signals.news(landing.feeds(spark, sf_dir), table(spark, sf_dir, "pages", spread=True), AS_OF, None, None)
