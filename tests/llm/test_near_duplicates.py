@@ -138,3 +138,28 @@ def test_chance_to_meet():
     x, y = crosspolytope.buckets(a), crosspolytope.buckets(b)
     met = ((x == y[:, :, :1]) | (y == x[:, :, :1])).any(axis=(1, 2))
     assert met.mean() > 0.998
+
+
+def _crowd(rng, n, noise, dim=48):
+    centre = rng.normal(size=dim)
+    centre /= np.linalg.norm(centre)
+    steps = rng.normal(size=(n, dim))
+    return centre + noise * steps / np.linalg.norm(steps, axis=1)[:, None]
+
+
+def test_a_crowd_of_close_vectors(spark, monkeypatch):
+    """Links inside balls are counted, not computed: the same numbers, and rows dealt grow with the crowd, not with its square."""
+    monkeypatch.setattr(crosspolytope, "BLOCK", 32)
+    rng, dealt = np.random.default_rng(3), []
+    plain = crosspolytope._units
+    monkeypatch.setattr(crosspolytope, "_units", lambda *a: dealt.append(plain(*a).count()) or plain(*a))
+    for n in (250, 1000):
+        crowd, wide = _crowd(rng, n, 0.08), _crowd(rng, 40, 0.24)
+        vectors = np.concatenate([crowd, wide, crowd[:1] + 0.2 * _crowd(rng, 30, 1.0), crowd[:5]])
+        unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+        near = unit @ unit.T >= 0.95
+        frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in crosspolytope.near_vectors(frame).collect()}
+        names = groups(list(range(len(vectors))), [(i, j) for i, j in zip(*np.nonzero(np.triu(near, 1)))])
+        assert got == {i: (int(near[i].sum()) - 1, names[i]) for i in range(len(vectors))}
+    assert dealt[1] < 8 * dealt[0]  # four times the crowd; sixteen would be its square
