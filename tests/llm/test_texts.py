@@ -1,5 +1,6 @@
 """Operators 1, 2 and 3."""
 
+import math
 import random
 import re
 from collections import defaultdict
@@ -344,3 +345,33 @@ def test_many_given_names(spark):
     rows = [("given", f"name{i}", "f") for i in range(600)] + [("given", "name1", "m")]
     got = surrogates.assign(spark.createDataFrame(rows, "kind string, normal string, gender string")).collect()
     assert len(got) == 601 == len({r.surrogate for r in got})
+
+
+def test_regression_finds_the_least_loss():
+    """The fitted weights and thresholds against the penalised likelihood, computed document by document."""
+    rng = random.Random(12)
+    rows = [[(f, rng.uniform(0.2, 2)) for f in rng.sample(range(5), rng.randint(1, 4))] for _ in range(160)]
+    true = [1.5, -1.0, 0.3, 2.0, 0.0]
+    grade = [sum(sum(true[f] * x for f, x in r) + rng.gauss(0, 1) > t for t in (0.5, 1.5, 3.0)) for r in rows]
+    weight = [rng.choice([1.0, 0.5]) for _ in rows]
+
+    def loss(w, thresholds):
+        total = 0.0
+        for r, g, own in zip(rows, grade, weight):
+            s = sum(w[f] * x for f, x in r)
+            above = [1.0, *[1 / (1 + math.exp(-(s - t))) for t in thresholds], 0.0]
+            total -= own * math.log(above[g] - above[g + 1])
+        return total / sum(weight) + severity.PENALTY / 2 * sum(x * x for x in w)
+
+    index = [(i, f, x) for i, r in enumerate(rows) for f, x in r]
+    row, column, value = (np.array(c) for c in zip(*index))
+    w, thresholds = severity._regress(row, column, value, np.array(grade), np.array(weight), 5, 3)
+    assert list(thresholds) == sorted(thresholds) and len(thresholds) == 3
+    least = loss(w, thresholds)
+    for _ in range(60):
+        step = [rng.gauss(0, 0.05) for _ in range(8)]
+        assert loss([a + b for a, b in zip(w, step)], [a + b for a, b in zip(thresholds, step[5:])]) > least - 2e-4
+    for k in range(8):  # the numerical gradient
+        def at(d):
+            return loss([x + d * (i == k) for i, x in enumerate(w)], [t + d * (i + 5 == k) for i, t in enumerate(thresholds)])
+        assert abs(at(1e-4) - at(-1e-4)) / 2e-4 < 5e-3
