@@ -164,7 +164,7 @@ def test_native_test_passes_every_accepted_pair(spark, threshold):
 @pytest.mark.parametrize("threshold", [81, 85, 92, 97])
 def test_letters_allow_every_accepted_pair(threshold, scorer):
     """Counts of letters let every accepted pair pass but those accepted for the words they share, which their rarest tokens find."""
-    names = sorted({form(n) for n in random_names(220, seed=31)} | {"a a a b", "ab ab", "aa", "labs labs zeta", "x" * 40} - {""})
+    names = sorted(({form(n) for n in random_names(220, seed=31)} | {"a a a b", "ab ab", "aa", "labs labs zeta", "x" * 40}) - {""})
     letters = cells.Letters(names)
     allowed = cells.may_be_alike(letters, letters, threshold, scorer)
     loss, passed = max(0, 1 - (threshold - 0.5) / 95), 0
@@ -182,7 +182,7 @@ def test_letters_allow_every_accepted_pair(threshold, scorer):
 
 @pytest.mark.parametrize("threshold, scorer", [(81, "wratio"), (85, "wratio"), (90, "wratio"), (85, "levenshtein"), (81, "ratio")])
 def test_pairs_in_cells_are_the_accepted_ones(spark, threshold, scorer):
-    names = sorted({form(n) for n in random_names(160, seed=41)} | {"acme labs", "labs acme x", "acme labs io y", "b b", "ab"} - {""})
+    names = sorted(({form(n) for n in random_names(160, seed=41)} | {"acme labs", "labs acme x", "acme labs io y", "b b", "ab"}) - {""})
     df = spark.createDataFrame(list(enumerate(names)), "pos long, form string")
     linked = lambda a, b: 1.5 * min(len(a), len(b)) <= max(len(a), len(b)) and not set(a.split()).isdisjoint(b.split())
     apart = scorer == "wratio" and round(fuzzy.TOKEN_SCORE) >= threshold
@@ -305,7 +305,7 @@ def plain_wratio(a, b):
 
 
 def test_the_weighted_ratio_follows_its_definition():
-    names = sorted({form(n) for n in random_names(110, seed=61)} | {"a", "ab ab", "open ai open", "x" * 30, "ai mind data works labs"} - {""})
+    names = sorted(({form(n) for n in random_names(110, seed=61)} | {"a", "ab ab", "open ai open", "x" * 30, "ai mind data works labs"}) - {""})
     for i, a in enumerate(names):
         for b in names[i::3]:
             assert fuzzy.wratio(a, b) == pytest.approx(plain_wratio(a, b)), (a, b)
