@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemill.functions import fuzzy
+from tidemill.operators.edits import LONGEST, EditTrie
 
 #: Letters are counted in this many classes; classes only make counts more alike.
 CLASSES = 32
@@ -220,12 +221,27 @@ def matched(forms: DataFrame, refs: list[tuple], threshold: int, scorer: str, fi
     places, texts = [p for p, _ in refs], [f for _, f in refs]
     kind = forms.schema["pos"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def known_forms() -> Known:
         known = Known(texts, threshold, scorer)
         for i in range(len(texts)):
             known.offer_words(i)
+        return known
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = EditTrie(texts, threshold) if scorer == "levenshtein" else None
+        known = None
         for batch in batches:
-            found = known.best(batch.column(1).to_pylist(), first) if texts else [None] * batch.num_rows
+            asked = batch.column(1).to_pylist()
+            found: list[tuple[int, float] | None] = [None] * len(asked)
+            by_trie = [i for i, form in enumerate(asked) if trie and len(form) <= LONGEST]
+            by_letters = [i for i, form in enumerate(asked) if not trie or len(form) > LONGEST]
+            if by_trie and texts:
+                for i, hit in zip(by_trie, trie.best([asked[i] for i in by_trie], first)):
+                    found[i] = hit
+            if by_letters and texts:
+                known = known or known_forms()
+                for i, hit in zip(by_letters, known.best([asked[i] for i in by_letters], first)):
+                    found[i] = hit
             hit = [i for i, f in enumerate(found) if f]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(hit, pa.int64())), pa.array([places[found[i][0]] for i in hit], pa.int64()), pa.array([found[i][1] for i in hit], pa.float64())],

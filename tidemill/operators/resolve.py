@@ -20,10 +20,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemill.functions import fuzzy
 from tidemill.operators.cells import matched, pairs_in_cells, settled
+from tidemill.operators.edits import LONGEST
 from tidemill.session import BROADCAST_ROWS, cut, is_small
 
 #: A key with more rows than this is split into parts of this size.
 HOT_ROWS = 100_000
+#: References compared by edits go to every task up to this many, as a trie.
+EDIT_ROWS = 100_000
 #: What is left of a slice is settled by one task up to this many names, in parallel rounds beyond.
 SETTLE_ROWS = 2_048
 _UNDECIDED, _LEADER, _FOLLOWER = 0, 1, 2
@@ -252,10 +255,19 @@ def _earliest_by_token(forms: DataFrame, refs: DataFrame) -> DataFrame:
 # --- matching against references ---------------------------------------------------------------------
 
 
-def _few(refs: DataFrame) -> list[tuple] | None:
-    """The references as ``(pos, form)`` if there are at most ``BROADCAST_ROWS``, which every task may have; else None."""
-    rows = refs.select("pos", "form").limit(BROADCAST_ROWS + 1).collect()
-    return [tuple(r) for r in rows if r.form] if len(rows) <= BROADCAST_ROWS else None
+def _few(refs: DataFrame, scorer: str) -> list[tuple] | None:
+    """The references as ``(pos, form)`` if there are so few that every task may have them; else None."""
+    most = EDIT_ROWS if scorer == "levenshtein" else BROADCAST_ROWS
+    rows = refs.select("pos", "form").limit(most + 1).collect()
+    return [tuple(r) for r in rows if r.form] if len(rows) <= most else None
+
+
+def _among_few(forms: DataFrame, few: list[tuple], scorer: str) -> tuple[DataFrame, DataFrame | None]:
+    """The forms that tasks match against a list of references, and those they had better not: too long for the trie, and the list too long for anything else."""
+    if len(few) <= BROADCAST_ROWS:
+        return _spread(forms), None
+    fits = F.length("form") <= LONGEST
+    return _spread(forms.filter(fits)), forms.filter(~fits)
 
 
 def _spread(forms: DataFrame) -> DataFrame:
@@ -265,16 +277,20 @@ def _spread(forms: DataFrame) -> DataFrame:
 
 def _best_match(forms: DataFrame, refs: DataFrame, threshold: int, scorer: str) -> DataFrame:
     """``pos, ref_pos, score`` of the best reference per form; ties go to the earliest reference."""
-    few = _few(refs)
+    few = _few(refs, scorer)
     if few is not None:
-        return matched(_spread(forms), few, threshold, scorer, first=False)
+        short, forms = _among_few(forms, few, scorer)
+        found = matched(short, few, threshold, scorer, first=False)
+        if forms is None:
+            return found
     pairs = _keyed_pairs(forms, refs, threshold, scorer)
     if _token_is_enough(scorer, threshold):
         by_token = _earliest_by_token(forms, refs).withColumn("score", F.lit(fuzzy.TOKEN_SCORE))
         pairs = pairs.unionByName(by_token).unionByName(_lifted_pairs(forms, refs))
-    return pairs.groupBy("pos").agg(
+    best = pairs.groupBy("pos").agg(
         F.max_by("ref_pos", F.struct("score", -F.col("ref_pos"))).alias("ref_pos"), F.max("score").alias("score")
     )
+    return best if few is None else found.unionByName(best)
 
 
 def _lifted_pairs(forms: DataFrame, refs: DataFrame) -> DataFrame:
@@ -314,13 +330,17 @@ def _lifted_pairs(forms: DataFrame, refs: DataFrame) -> DataFrame:
 
 def _first_match(forms: DataFrame, refs: DataFrame, threshold: int, scorer: str) -> DataFrame:
     """``pos, ref_pos`` of the earliest accepted reference per form."""
-    few = _few(refs)
+    few = _few(refs, scorer)
     if few is not None:
-        return matched(_spread(forms), few, threshold, scorer, first=True).select("pos", "ref_pos")
+        short, forms = _among_few(forms, few, scorer)
+        found = matched(short, few, threshold, scorer, first=True).select("pos", "ref_pos")
+        if forms is None:
+            return found
     pairs = _keyed_pairs(forms, refs, threshold, scorer).select("pos", "ref_pos")
     if _token_is_enough(scorer, threshold):
         pairs = pairs.unionByName(_earliest_by_token(forms, refs))
-    return pairs.groupBy("pos").agg(F.min("ref_pos").alias("ref_pos"))
+    earliest = pairs.groupBy("pos").agg(F.min("ref_pos").alias("ref_pos"))
+    return earliest if few is None else found.unionByName(earliest)
 
 
 def canonicalize(
