@@ -203,6 +203,26 @@ def test_one_task_and_parallel_rounds_agree(spark, monkeypatch, scorer):
     assert dedup(spark, names, seeds, scorer=scorer, first_slice=40) == want
 
 
+@pytest.mark.parametrize("scorer", ["wratio", "levenshtein"])
+def test_numbered_names_are_settled_in_turns(spark, monkeypatch, scorer):
+    """Numbered names hang together in long chains; no rounds follow those."""
+    names, seeds = [f"Supplier#{i:06d}" for i in random.Random(4).sample(range(3000), 260)], ["Open AI"]
+    monkeypatch.setattr(resolve, "SETTLE_ROWS", 30)
+    monkeypatch.setattr(resolve, "TURN_ROWS", 80)
+    monkeypatch.setattr(resolve, "_keyed_pairs", None)
+    df = frame(spark, [form(n) for n in names]).withColumnRenamed("name", "form")
+    monkeypatch.setattr(resolve, "is_small", lambda rows, limit: rows.count() <= max(limit, 30))
+    leaders, followers = resolve._in_turns(df, 85, scorer)
+    want, score = {}, score_of(scorer)
+    reps = []
+    for i, n in enumerate(map(form, names)):
+        want[i] = next((j for j, r in reps if round(score(n, r)) >= 85), i)
+        if want[i] == i:
+            reps.append((i, n))
+    got = {r.pos: r.pos for r in leaders.collect()} | {r.pos: r.ref_pos for r in followers.collect()}
+    assert got == want
+
+
 def test_spread_insertions(spark):
     """A long name without repeated trigrams and the same with a letter more after every third: most trigrams of the first are gone."""
     rng = random.Random(0)

@@ -199,19 +199,26 @@ def settled(forms: list[str], threshold: int, scorer: str) -> np.ndarray:
     known = Known(forms, threshold, scorer)
     leaders: list[int] = []
     out = np.arange(len(forms))
-    for i, form in enumerate(forms):
-        found: set[int] = set()
-        if leaders:
-            at = np.array(leaders)
-            near = may_be_alike(known.letters.part(slice(i, i + 1)), known.letters.part(at), threshold, scorer)[0]
-            found = {*at[near].tolist(), *known.by_words(form, known.words[i])}
-        for j in sorted(found):
-            if known.accepted(form, j) is not None:
-                out[i] = j
-                break
-        else:
-            leaders.append(i)
-            known.offer_words(i)
+    for start in range(0, len(forms), BLOCK):
+        # A block meets the leaders before it at once, and each leader of its own as it comes.
+        block = slice(start, start + BLOCK)
+        own = known.letters.part(block)
+        near: list[set[int]] = [set() for _ in range(len(own.size))]
+        for at in range(0, len(leaders), BLOCK):
+            some = np.array(leaders[at:at + BLOCK])
+            for x, y in np.argwhere(may_be_alike(own, known.letters.part(some), threshold, scorer)).tolist():
+                near[x].add(int(some[y]))
+        for i, form in enumerate(forms[block], start):
+            for j in sorted({*near[i - start], *known.by_words(form, known.words[i])}):
+                if known.accepted(form, j) is not None:
+                    out[i] = j
+                    break
+            else:
+                leaders.append(i)
+                known.offer_words(i)
+                later = slice(i - start + 1, None)
+                for x in np.flatnonzero(may_be_alike(own.part(later), known.letters.part(slice(i, i + 1)), threshold, scorer)[:, 0]).tolist():
+                    near[i - start + 1 + x].add(i)
     return out
 
 

@@ -29,6 +29,8 @@ HOT_ROWS = 100_000
 EDIT_ROWS = 100_000
 #: What is left of a slice is settled by one task up to this many names, in parallel rounds beyond.
 SETTLE_ROWS = 2_048
+#: Names of a larger rest that one task settles before the others meet what leads there.
+TURN_ROWS = 8_192
 _UNDECIDED, _LEADER, _FOLLOWER = 0, 1, 2
 
 
@@ -383,6 +385,28 @@ def _settled_at_once(forms: DataFrame, threshold: int, scorer: str) -> tuple[Dat
     return done.filter("ref_pos = pos").select("pos", "form"), done.filter("ref_pos <> pos").select("pos", "ref_pos")
 
 
+def _in_turns(forms: DataFrame, threshold: int, scorer: str) -> tuple[DataFrame, DataFrame]:
+    """Leaders of a slice and ``pos, ref_pos`` of its followers.
+
+    Crowds such as numbered names hang together in chains as long as the slice, which parallel rounds would follow link by link. So while
+    the earliest names have few leaders, those are settled in one task and all later names meet their leaders. Other names have short chains.
+    """
+    leaders, followers = [], []
+    while not is_small(forms, SETTLE_ROWS):
+        share = TURN_ROWS / forms.count()
+        last = forms.select(F.percentile_approx("pos", min(share, 1.0), 100_000)).first()[0]
+        new, led = _settled_at_once(forms.filter(F.col("pos") <= last), threshold, scorer)
+        later = forms.filter(F.col("pos") > last)
+        hits = cut(_first_match(later, new, threshold, scorer))
+        leaders.append(new)
+        followers += [led, hits]
+        forms = cut(later.join(hits, "pos", "left_anti"))
+        if not is_small(new, TURN_ROWS // 8):
+            break
+    new, led = _leader_rounds(forms, threshold, scorer)
+    return reduce(DataFrame.unionByName, [*leaders, new]), reduce(DataFrame.unionByName, [*followers, led])
+
+
 def _leader_rounds(forms: DataFrame, threshold: int, scorer: str) -> tuple[DataFrame, DataFrame]:
     """Leaders of a slice and ``pos, ref_pos`` of its followers.
 
@@ -457,7 +481,7 @@ def cluster(forms: DataFrame, threshold: int, scorer: str, first_slice: int = 10
             hits = cut(_first_match(part, known, threshold, scorer))
             parts.append(hits)
             part = cut(part.join(hits, "pos", "left_anti"))
-        new, followers = _leader_rounds(part, threshold, scorer)
+        new, followers = _in_turns(part, threshold, scorer)
         parts.append(followers)
         known = cut(new if known is None else known.unionByName(new))
     merged = reduce(DataFrame.unionByName, parts)
