@@ -84,3 +84,13 @@ def test_freshness_includes_the_bound_and_the_future(spark):
     stamps = [AS_OF - timedelta(hours=24), AS_OF - timedelta(hours=24, microseconds=1), AS_OF + timedelta(days=9)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(stamps)], "i int, ts timestamp")
     assert sorted(r.i for r in fresh(df, "ts", AS_OF).collect()) == [0, 2]
+
+
+def test_rows_of_costly_work_are_dealt_to_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    from workload import landing
+
+    spark.range(1000).repartition(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(landing, "SPREAD_ROWS", 20)
+    dealt = landing.table(spark, str(tmp_path), "events", spread=True)
+    assert dealt.rdd.getNumPartitions() == 50 and max(dealt.rdd.glom().map(len).collect()) <= 40
+    assert sorted(r.id for r in dealt.collect()) == list(range(1000))

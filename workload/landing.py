@@ -14,13 +14,17 @@ from tidemill.plans.directory import extraction_requests
 AS_OF = datetime(2024, 1, 3, tzinfo=timezone.utc)
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 PER_DOC = 50
+#: Rows of a table that one task takes when each row is costly.
+SPREAD_ROWS = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A given table; with ``spread`` a file too small to split is dealt out to all cores for costly row work."""
+    """A given table; with ``spread`` it is dealt out for costly row work, to all cores and to tasks of at most about ``SPREAD_ROWS`` rows."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+    if not spread:
+        return df
+    parts = max(spark.sparkContext.defaultParallelism, -(-df.count() // SPREAD_ROWS))
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
 
 
 def xml_text(c: Column) -> Column:
