@@ -47,3 +47,20 @@ def test_equal_a_plain_loop(spark, size):
         assert "".join(r.chunk_text for r in own) == (text or "")
         assert [(r.n_tokens, r.start_char, r.chunk_text) for r in own] == plain(text or "", size)
         assert all(r["_w"] == "kept" for r in own)
+
+
+def test_texts_are_taken_in_parts(spark, monkeypatch):
+    """However many texts a batch has, about ``PART_BYTES`` of them are held with their windows."""
+    import pyarrow as pa
+
+    from tidemill.functions import tokens
+
+    monkeypatch.setattr(tokens, "PART_BYTES", 1000)
+    texts = ["é" * n for n in (10, 300, 0, 5, 4000, 1, 200, 200, 200)] + [None] + ["abc"] * 2000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["row", "text"])
+    parts = list(tokens._text_parts(batch))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts and len(parts) > 6
+    assert all(sum(len((t or "").encode()) for t in p.column(1).to_pylist()[1:]) <= 1000 for p in parts)
+    assert list(tokens._text_parts(batch.slice(0, 0))) == []
+    df = spark.createDataFrame([(i, "word " * 50, {"k": i}) for i in range(60)], "id int, text string, extra map<string,int>")
+    assert chunk_ids(df, "text", RANKS, tokenizers.PATTERN, 7).filter("extra['k'] = id").select("id").distinct().count() == 60

@@ -12,10 +12,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemill.functions.strings import let
 
+#: Bytes of text whose windows are held at once.
+PART_BYTES = 1 << 20
 PIECE = r"[\s]*[\p{L}\p{N}\p{M}_]+|[\s]*[^\p{L}\p{N}\p{M}_\s]|[\s]+$"
 
 
@@ -99,6 +103,14 @@ def _id_windows(text: str, bpe, lengths: np.ndarray, max_tokens: int) -> list[di
     return [{"n_tokens": n, "start_char": a, "chunk_text": text[a:b]} for n, a, b in zip(sizes, starts, stops)]
 
 
+def _text_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts, in column 1, take about ``PART_BYTES``; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    starts = np.flatnonzero(np.diff(ends // PART_BYTES, prepend=-1)).tolist()
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(start, end - start)
+
+
 def chunk_ids(df: DataFrame, text: str, ranks: str, pattern: str, max_tokens: int = 4000) -> DataFrame:
     """Split a text column into consecutive windows of ``max_tokens`` byte-pair ids: one row per window, none for an empty text.
 
@@ -107,12 +119,23 @@ def chunk_ids(df: DataFrame, text: str, ranks: str, pattern: str, max_tokens: in
     a text put together are the text: a letter of several bytes that a cut goes through belongs to the window it begins in.
     """
 
-    @F.pandas_udf("array<struct<n_tokens:int,start_char:int,chunk_text:string>>")
-    def windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, lengths = _vocabulary(ranks, pattern)
-        for texts in batches:
-            yield texts.map(lambda t: _id_windows(t or "", bpe, lengths, max_tokens))
+        for batch in batches:
+            for part in _text_parts(batch):
+                found = [_id_windows(t or "", bpe, lengths, max_tokens) for t in part.column(1).to_pylist()]
+                counts = [len(f) for f in found]
+                flat = [w for f in found for w in f]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(np.repeat(np.arange(len(found)), counts))),
+                        pa.array([i for n in counts for i in range(n)], pa.int32()),
+                        *[pa.array([w[c] for w in flat], kind) for c, kind in (("n_tokens", pa.int32()), ("start_char", pa.int32()), ("chunk_text", pa.string()))],
+                    ],
+                    names=["row", "chunk_no", "n_tokens", "start_char", "chunk_text"],
+                )
 
     row = F.struct(F.lit(0).alias("_none"), *[F.col(f"`{c}`") for c in df.columns if c != text]).alias("row")
-    cut = df.select(row, windows(F.col(text)).alias("windows")).select("row", F.posexplode("windows").alias("chunk_no", "w"))
-    return cut.select("row.*", "chunk_no", *[F.col(f"w.{c}").alias(c) for c in ("n_tokens", "start_char", "chunk_text")]).drop("_none")
+    texts = df.select(row, F.col(text).alias("text"))
+    schema = T.StructType([texts.schema["row"], *[T.StructField(c, T.IntegerType()) for c in ("chunk_no", "n_tokens", "start_char")], T.StructField("chunk_text", T.StringType())])
+    return texts.mapInArrow(windows, schema).select("row.*", "chunk_no", "n_tokens", "start_char", "chunk_text").drop("_none")
