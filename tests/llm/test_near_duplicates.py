@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tests.llm.helpers import SF_DIR, groups, shingles
-from tidemill.llm import bottomk, crosspolytope
+from tidemill.llm import bottomk, components as contraction, crosspolytope
 from tidemill.llm.components import components
 
 
@@ -24,6 +24,17 @@ def test_components(spark, kind):
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("limit", [0, 40])
+def test_components_beyond_what_a_task_settles(spark, monkeypatch, limit):
+    rng = random.Random(5)
+    links = [(i, i + 1) for i in range(150)] + [(1000 + rng.randrange(200), 1000 + rng.randrange(200)) for _ in range(130)] + [(5000, 5001)]
+    nodes = sorted({x for a, b in links if a != b for x in (a, b)})
+    want = dict(zip(nodes, groups(nodes, [(nodes.index(a), nodes.index(b)) for a, b in links if a != b])))
+    monkeypatch.setattr(contraction, "SETTLE_LINKS", limit)
+    assert {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()} == want
+    assert {r.node: r.component for r in components(spark.createDataFrame([(9, 4), (4, 6)], "a long, b long")).collect()} == {4: 4, 6: 4, 9: 4}
+
+
 def _linked(sets, likeness=80):
     return [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= likeness * len(sets[i] | sets[j])]
 
@@ -88,6 +99,47 @@ def test_near_duplicates_of_documents(spark):
     assert bottomk.near_duplicates(docs.limit(0)).count() == 0
 
 
+def _crowd_of_texts(rng, n):
+    """Near copies of one text of which many are not alike enough, and other texts that share a line with them."""
+    vocabulary = [f"v{i}" for i in range(90)]
+    base = [rng.choice(vocabulary) for _ in range(90)]
+    out = []
+    for i in range(n):
+        text = list(base)
+        for _ in range(rng.choice((3, 5, 7, 9, 11))):
+            text[rng.randrange(len(text))] = rng.choice(vocabulary)
+        out.append(" ".join(text))
+    out += [" ".join(base[:40] + [rng.choice(vocabulary) for _ in range(rng.randint(20, 60))]) for _ in range(n // 4)]
+    return out
+
+
+def test_a_crowd_of_near_copies(spark, monkeypatch):
+    """Every text of a crowd is dealt to blocks once, not once for each list that it shares; a cell gives a forest, not all pairs."""
+    monkeypatch.setattr(bottomk, "BLOCK", 16)
+    monkeypatch.setattr(bottomk, "WIDE_LIST", 8)
+    dealt, linked, cells = [], [], bottomk._in_cells
+    monkeypatch.setattr(bottomk, "_in_cells", lambda *a: dealt.append(a[0].count()) or linked.append(cells(*a).count()) or cells(*a))
+    texts = _crowd_of_texts(random.Random(4), 240)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingles(t, 2) for t in texts]
+    names = groups(list(range(len(texts))), _linked(sets))
+    assert len(set(names)) > 30
+    assert {r.doc_id: r.component_id for r in bottomk.near_duplicates(docs, width=2).collect()} == dict(enumerate(names))
+    assert dealt[0] < 20_000 and linked[0] < len(texts)
+
+
+@pytest.mark.parametrize("steps", [0, 10**9])
+def test_links_of_a_cell(monkeypatch, steps):
+    monkeypatch.setattr(bottomk, "STEPS", steps)
+    monkeypatch.setattr(bottomk, "COLUMNS", 7)
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 50, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, rng.integers(38, 50), replace=False), rng.integers(0, 2**63, 3, dtype=np.uint64)])) for _ in range(30)]
+    i, j = np.nonzero(np.triu(rng.random((30, 30)) < 0.6, 1))
+    want = [100 * len(np.intersect1d(sets[x], sets[y])) >= 80 * len(np.union1d(sets[x], sets[y])) for x, y in zip(i, j)]
+    assert bottomk.linked_in_cell(sets, i, j, 80).tolist() == want and 0 < sum(want) < len(want)
+
+
 def test_estimate():
     rng = np.random.default_rng(2)
     every = np.sort(rng.integers(0, 2**32, 3000, dtype=np.uint64)).astype("<u4")
