@@ -128,6 +128,16 @@ def test_a_crowd_of_near_copies(spark, monkeypatch):
     assert dealt[0] < 20_000 and linked[0] < len(texts)
 
 
+def test_guests_fit_the_sizes_of_a_list(spark):
+    """Texts that share lists are no guests of components none of whose sizes there can be alike."""
+    own = spark.createDataFrame([(1, 20, 2, 9, [1, 2]), (2, 25, 2, 9, [1, 2]), (3, 26, 2, 9, [1, 2]), (4, 90, 2, 9, [1, 2])], "sid long, n long, need int, common long, values array<long>")
+    where = spark.createDataFrame([(2, 2), (4, 2)], "node long, component long")  # sizes 25 and 90, so 26 may fit either
+    _, guests, _ = bottomk._divided(own, where.limit(0), 80)
+    assert {(r.sid, r.main) for r in guests.collect()} == {(1, 2), (2, 3)}
+    _, guests, _ = bottomk._divided(own, where, 80)
+    assert {(r.sid, r.main) for r in guests.collect()} == {(1, 2), (3, 2)}
+
+
 @pytest.mark.parametrize("steps", [0, 10**9])
 def test_links_of_a_cell(monkeypatch, steps):
     monkeypatch.setattr(bottomk, "STEPS", steps)
