@@ -9,8 +9,9 @@ whole tokenizer.
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ from tidemill.llm.words import rows_of, word_codes
 
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct words, and pieces of words, remembered by one task.
-MEMORY = 600_000
+#: Distinct words, and pieces of words, remembered by one worker.
+MEMORY = 300_000
 
 #: Fixed value: the pattern of the tokenizer file.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -44,8 +45,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 class Encoder:
-    """Encodes Arrow text columns; keeps at most ``MEMORY`` words."""
+    """Encodes Arrow text columns; keeps at most ``MEMORY`` words, and those of the texts at hand."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,65 +61,83 @@ class Encoder:
         specials = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.other = "|".join([_OTHER, *map(regex.escape, specials)])
         self.letters = _byte_letters()
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self._reset()
-
-    def _reset(self) -> None:
+        self.pieces: dict[str, bytes] = {}  # ids as bytes take a fraction of what numbers in tuples take
+        self.earlier: dict[str, bytes] = {}
         self.index: dict[str, int] = {}
         self.pool = np.empty(1 << 16, np.uint32)
         self.used = 0
-        self.starts = np.empty(1 << 14, np.int64)
-        self.counts = np.empty(1 << 14, np.int64)
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
+        self.starts, self.counts, self.seen = (np.zeros(1 << 14, np.int64) for _ in range(3))
+
+    def _forget(self) -> None:
+        """Keep the words that came most often, half of ``MEMORY`` at most and none that came in one slice only."""
+        seen = self.seen[:len(self.index)]
+        often = np.argsort(-seen, kind="stable")[:MEMORY // 2]
+        keep = np.sort(often[seen[often] > 1])
+        words = list(self.index)
+        self.index = {words[i]: n for n, i in enumerate(keep.tolist())}
+        counts = self.counts[keep]
+        self.pool = self.pool[rows_of(self.starts[keep], counts)]
+        self.used = len(self.pool)
+        self.starts, self.counts, self.seen = np.cumsum(counts) - counts, counts, seen[keep] // 2
+
+    def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-            ids = tuple([t.id for t in self.model.tokenize(shown)])
-            if len(self.pieces) >= MEMORY:
-                self.pieces = {}
+            ids = self.earlier.get(piece)
+            if ids is None:
+                shown = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+                ids = _packed([t.id for t in self.model.tokenize(shown)])
+            if len(self.pieces) >= MEMORY // 2:
+                self.pieces, self.earlier = {}, self.pieces
             self.pieces[piece] = ids
         return ids
 
-    def _plain(self, word: str) -> tuple[int, ...]:
+    def _plain(self, word: str) -> bytes:
         """The ids of a lower-cased word of plain letters, digits and marks."""
         if word.isalpha():
             return self._piece(word)
         if word[:-1].isalpha() and not word[-1].isalnum():
             return self._piece(word[:-1]) + self._piece(word[-1])
-        ids = ()
-        for piece in PIECES.findall(word):
-            ids += self._piece(piece)
-        return ids
+        return b"".join(map(self._piece, PIECES.findall(word)))
 
     def _add(self, words: list[str]) -> None:
         """Remember the ids of new words (strings without ASCII white space)."""
         column = pa.array(words, pa.string())
         other = pc.match_substring_regex(column, self.other).to_numpy(zero_copy_only=False)
         lowered = pc.utf8_lower(column).to_numpy(zero_copy_only=False)
-        lists = [self.whole.encode(w, add_special_tokens=False).ids if o else self._plain(x) for w, x, o in zip(words, lowered, other)]
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        packed = [_packed(self.whole.encode(w, add_special_tokens=False).ids) if o else self._plain(x) for w, x, o in zip(words, lowered, other)]
+        counts = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         need, have = self.used + int(counts.sum()), len(self.index)
         if need > len(self.pool):
             self.pool = np.resize(self.pool, max(need, 2 * len(self.pool)))
         if have + len(words) > len(self.starts):
             size = max(have + len(words), 2 * len(self.starts))
-            self.starts, self.counts = np.resize(self.starts, size), np.resize(self.counts, size)
-        self.pool[self.used:need] = np.fromiter(chain.from_iterable(lists), np.uint32, need - self.used)
-        self.counts[have:have + len(words)] = counts
-        self.starts[have:have + len(words)] = self.used + np.cumsum(counts) - counts
+            self.starts, self.counts, self.seen = (np.resize(x, size) for x in (self.starts, self.counts, self.seen))
+        self.pool[self.used:need] = np.frombuffer(b"".join(packed), np.uint32)
+        new = slice(have, have + len(words))
+        self.counts[new] = counts
+        self.starts[new] = self.used + np.cumsum(counts) - counts
+        self.seen[new] = 0
         self.index.update(zip(words, range(have, have + len(words))))
         self.used = need
 
+    def _places(self, words: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Where the words are remembered (-1: not), and the numbers of those that are not, but for the empty one."""
+        places = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        return places, [i for i in np.flatnonzero(places < 0).tolist() if words[i]]
+
     def encode(self, texts: pa.Array, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)``: text ``i`` has ``ids[offsets[i]:offsets[i + 1]]``, the last being ``end_id`` unless that is None."""
         codes, bounds, words = word_codes(texts)
         distinct = words.to_numpy(zero_copy_only=False).tolist()
-        if len(self.index) + len(distinct) > MEMORY and self.index:
-            self._reset()
-        if missing := [w for w in distinct if w and w not in self.index]:
-            self._add(missing)
-        places = np.fromiter((self.index.get(w, -1) for w in distinct), np.int64, len(distinct))
+        places, missing = self._places(distinct)
+        if len(self.index) + len(missing) > MEMORY and self.index:
+            self._forget()
+            places, missing = self._places(distinct)
+        if missing:
+            places[missing] = np.arange(len(self.index), len(self.index) + len(missing))
+            self._add([distinct[i] for i in missing])
+        self.seen[places[places >= 0]] += 1
         at = places[codes]
         counts = self.counts[at]
         token_ends = np.concatenate([[0], np.cumsum(counts)])

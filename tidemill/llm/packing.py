@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm.encoder import END_ID, shared_encoder, tokenizer_path
-from tidemill.llm.words import slices, text_column
+from tidemill.llm.words import released, slices, text_column
 from tidemill.session import cut
 
 CAPACITY = 4096
@@ -41,6 +41,8 @@ GENERATIONS = 4
 POPULATION = 4
 CELL_BINS = 4
 OPEN_SHARE = 40
+#: Text bytes encoded at once inside a task.
+ENCODED_BYTES = 2 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -52,7 +54,7 @@ def pieces(docs: DataFrame, *, tokenizer: str | None = None, end_id: int | None
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(tokenizer)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=ENCODED_BYTES):
                 ids, offsets = encoder.encode(text_column(part), end_id)
                 data = memoryview(ids.astype("<u4").tobytes())
                 lengths = np.diff(offsets)
@@ -68,7 +70,7 @@ def pieces(docs: DataFrame, *, tokenizer: str | None = None, end_id: int | None
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut_up, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(cut_up), PIECES)
 
 
 class _Packing:

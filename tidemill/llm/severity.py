@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm import cws
-from tidemill.llm.words import slices, text_column, word_codes
+from tidemill.llm.words import release, released, slices, text_column, word_codes
 from tidemill.session import cut
 
 #: The most labelled documents the model is fitted on.
@@ -171,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, grades: int
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
     seen = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "text").limit(rows)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sample = seen.repartition(parts).mapInArrow(_features, "toxic int, words array<string>, x array<float>, sketch binary")
+    sample = seen.repartition(parts).mapInArrow(released(_features), "toxic int, words array<string>, x array<float>, sketch binary")
     sample = cut(sample.withColumn("row", F.monotonically_increasing_id()))
 
     known = sample.select("row", "toxic", "sketch").orderBy("row").toArrow().combine_chunks()
@@ -232,7 +232,7 @@ def _scored(model: Model):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs(doc_id, text)``: ``doc_id, severity`` (expected grade), ``grade`` (the likeliest), ``p_toxic, toxic``."""
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    return rows.mapInArrow(_scored(model), "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
+    return rows.mapInArrow(released(_scored(model)), "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
@@ -242,6 +242,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     def is_clean(texts: pa.Array) -> pa.Array:
         parts = slices(pa.RecordBatch.from_arrays([texts], names=["text"]))
         found = [model.probabilities(_scores(model, text_column(part)))[:, 0] < 0.5 for part in parts]
+        release()
         return pa.array(np.concatenate(found) if found else np.empty(0, bool))
 
     return docs.filter(is_clean(F.col("text").cast("string")))
