@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.helpers import SF_DIR, groups, shingles
@@ -225,3 +226,35 @@ def test_a_crowd_of_close_vectors(spark, monkeypatch):
         names = groups(list(range(len(vectors))), [(i, j) for i, j in zip(*np.nonzero(np.triu(near, 1)))])
         assert got == {i: (int(near[i].sum()) - 1, names[i]) for i in range(len(vectors))}
     assert dealt[1] < 8 * dealt[0]  # four times the crowd; sixteen would be its square
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 50])
+def test_cells_in_many_batches(rows):
+    """A cell whose rows come in several batches gives the links it gives in one."""
+    texts = ["a b c d e f g h i j", "a b c d e f g h i j", "k l m n o p", "a b c d e f g h i j", "k l m n o p", "q r s t u v", "q r s t u v", "lone one here to end it"]
+    cells = [1, 1, 1, 1, 1, 2, 2, 3]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array(cells, pa.int64()), pa.array([0] * 8, pa.int64()), pa.array([0] * 8, pa.int64()), pa.array([0] * 8, pa.int32()), pa.array(range(8), pa.int64()), pa.array(range(8), pa.int64()), pa.array(texts)],
+        names=["key1", "key2", "key3", "side", "sid", "component", "text"],
+    )
+    parts = [whole.slice(a, rows) for a in range(0, 8, rows)] + [whole.slice(0, 0)]
+    found = [pair for out in bottomk._cells(80, 5)(iter(parts)) for pair in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
+    assert sorted(found) == [(0, 1), (0, 3), (2, 4), (5, 6)]
+
+
+def test_workers_get_batches_of_a_few_megabytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        bottomk.near_duplicates(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["bytes"])
+
+        long = spark.range(4000, numPartitions=1).selectExpr("repeat(cast(id + 1000 as string), 1000) as text")
+        assert max(r.bytes for r in long.mapInArrow(sizes, "bytes long").collect()) < 5 << 20  # 16 MB in all
+        spark.conf.set(key, "1m")
+        bottomk.near_duplicates(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)

@@ -61,6 +61,20 @@ def test_memory_is_bounded(encoder, whole, monkeypatch):
     assert len(own.pieces) <= 5
 
 
+def test_common_words_stay_in_memory(encoder, whole, monkeypatch):
+    """A full memory drops the words that came once, not all, and pieces are dropped in halves."""
+    monkeypatch.setattr("tidemill.llm.encoder.MEMORY", 8)
+    own, asked = Encoder(tokenizer_path()), []
+    add = own._add
+    own._add = lambda words: asked.extend(words) or add(words)
+    for i in range(40):
+        text = f"common words stay rare{i}x other{i}y"
+        ids, _ = own.encode(pa.array([text]))
+        assert ids.tolist() == whole(text)
+        assert len(own.index) <= 8 and len(own.pieces) + len(own.earlier) <= 8
+    assert [asked.count(w) for w in ("common", "words", "stay")] == [1, 1, 1]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.just(0), st.integers(0, 3), st.integers(0, 49_407), st.integers(0, 2**64 - 1)), max_size=600))
 def test_simple8b_round_trip(values):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm.encoder import END_ID, shared_encoder, tokenizer_path
 from tidemill.llm.words import released, slices, text_column
-from tidemill.session import cut
+from tidemill.session import bound_batches, cut
 
 CAPACITY = 4096
 CELL = 4096
@@ -50,6 +50,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def pieces(docs: DataFrame, *, tokenizer: str | None = None, end_id: int | None = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """``docs(doc_id, text)`` cut into pieces: ``doc_id, piece, start, length, ids_crc32``."""
     tokenizer = tokenizer or tokenizer_path()
+    bound_batches(docs.sparkSession)
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(tokenizer)

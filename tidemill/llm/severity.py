@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm import cws
 from tidemill.llm.words import release, released, slices, text_column, word_codes
-from tidemill.session import cut
+from tidemill.session import bound_batches, cut
 
 #: The most labelled documents the model is fitted on.
 FIT_ROWS = 8_000
@@ -166,6 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, rows: int = FIT_ROWS, grades: int
     Features are counted and chosen by Spark; the driver gets the sample's fingerprints and the occurrences of the chosen features.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     chosen = labels.select("doc_id", "toxic").filter("doc_id is not null and toxic is not null")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
@@ -231,12 +232,14 @@ def _scored(model: Model):
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs(doc_id, text)``: ``doc_id, severity`` (expected grade), ``grade`` (the likeliest), ``p_toxic, toxic``."""
+    bound_batches(docs.sparkSession)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     return rows.mapInArrow(released(_scored(model)), "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that are not toxic, with all their columns. Only texts go to Python, and a flag comes back."""
+    bound_batches(docs.sparkSession)
 
     @F.arrow_udf("boolean")
     def is_clean(texts: pa.Array) -> pa.Array:
