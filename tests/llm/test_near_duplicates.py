@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import SF_DIR, groups, shingles
 from tidemill.llm import bottomk, components as contraction, crosspolytope
@@ -100,6 +101,33 @@ def test_near_duplicates_of_documents(spark):
     assert bottomk.near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("share", [1.0, 0.02])
+def test_texts_go_by_shuffles_and_in_turns(spark, monkeypatch, share):
+    """Where too many texts are compared for a broadcast, others stay out of the shuffle; all that is linked is found, in any number of turns."""
+    monkeypatch.setattr(bottomk, "ROLE_ROWS", 0)
+    monkeypatch.setattr(bottomk, "TURN_BYTES", 0)
+    monkeypatch.setattr(bottomk, "TURN_SHARE", share)
+    met, compared, rest = [], [], bottomk._wanted
+    monkeypatch.setattr(bottomk, "_wanted", lambda rows, roles: met.append((rows.count(), rest(rows, roles).count(), roles.select("doc_id").distinct().count())) or rest(rows, roles))
+    texts = _corpus() + [" ".join(f"lone{i}of{k}" for k in range(30)) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingles(t, 2) for t in texts]
+    names = groups(list(range(len(texts))), _linked(sets))
+    assert {r.doc_id: r.component_id for r in bottomk.near_duplicates(docs, width=2).collect()} == dict(enumerate(names))
+    assert all(wanted <= passed < every / 2 for every, passed, wanted in met) and any(wanted > 1 for *_, wanted in met)
+    assert len(met) > 20 if share < 1 else len(met) < 12
+
+
+def test_filter_of_wanted_texts(spark, monkeypatch):
+    """No wanted text is lost, whatever its hash, and few others pass; a filter that is too small passes more."""
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"), F.xxhash64("id").alias("text_hash"))
+    for bits, most in ((bottomk.MOST_BITS, 3_200), (bottomk.PAGE // 16, 20_000)):
+        monkeypatch.setattr(bottomk, "MOST_BITS", bits)
+        passed = {r.doc_id for r in bottomk._wanted(rows, rows.filter("doc_id % 10 = 0")).collect()}
+        assert passed >= set(range(0, 20_000, 10)) and len(passed) <= most
+    assert bottomk._wanted(rows, rows.limit(0)).count() == 0
+
+
 def _crowd_of_texts(rng, n):
     """Near copies of one text of which many are not alike enough, and other texts that share a line with them."""
     vocabulary = [f"v{i}" for i in range(90)]

@@ -3,8 +3,13 @@
 import os
 import subprocess
 import sys
+import time
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
+from tidemill.session import FREE_SHUFFLES, cut
+
 ROOT = Path(__file__).resolve().parents[1]
 
 SCRIPT = """
@@ -23,3 +28,26 @@ def test_workers_find_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", SCRIPT.format(root=str(ROOT))], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
     assert "ROWS" in done.stdout, done.stderr[-2000:]
+
+
+def test_cut_frees_its_shuffles(spark):
+    """Shuffle files go when the rows are written, not when the driver collects its garbage; a session that sets the way itself keeps it."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in files.getAllFiles().mkString(" ").split() if "/shuffle_" in f and f.endswith(".data")}
+
+    def left_by_cut():
+        before, stop = shuffled(), time.time() + 10
+        rows = cut(spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count())
+        while (left := shuffled() - before) and time.time() < stop:
+            time.sleep(0.2)
+        assert rows.count() == 7
+        return left
+
+    assert not left_by_cut() and spark.conf.get(FREE_SHUFFLES, None) is None
+    try:
+        spark.conf.set(FREE_SHUFFLES, "false")
+        assert left_by_cut() and spark.conf.get(FREE_SHUFFLES) == "false"
+    finally:
+        spark.conf.unset(FREE_SHUFFLES)
